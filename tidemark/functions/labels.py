@@ -11,6 +11,7 @@ from tidemark import vocabulary as V
 from tidemark.functions import numbers as N
 from tidemark.functions import strings as S
 from tidemark.functions.matching import HybridMatcher, WordMatcher, contains_term, plain_tokens
+from tidemark.functions.staging import staged
 from tidemark.registry import social_platforms
 
 Taxonomy = Mapping[str, Sequence[str]]
@@ -101,10 +102,10 @@ def with_relevance(
     hint = F.lit(None).cast("string") if hint is None else F.nullif(hint, F.lit(""))
     trust = F.lit(trust_hint) if isinstance(trust_hint, bool) else F.coalesce(trust_hint, F.lit(False))
     lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
-    df = df.withColumns({"_low": lowered, "_hint": hint, "_trust": trust})
-    df = df.withColumn("_tok", plain_tokens(F.col("_low")))
+    df = staged(df, {"_low": lowered, "_tok": plain_tokens(lowered), "_hint": hint, "_trust": trust})
     m = HybridMatcher(F.col("_low"), F.col("_tok"))
-    df = df.withColumns(
+    df = staged(
+        df,
         {
             "_kw": keywords_of(m, taxonomy),
             "_blocked": F.array_compact(
@@ -113,7 +114,7 @@ def with_relevance(
             "_cost": m.any(list(V.COVERAGE_TERMS) + list(V.COMPLAINT_TERMS)),
             "_foreign": m.any(V.FOREIGN_TERMS) & ~has_local_context(m),
             "_noise": m.any(V.NOISE_TEXTS),
-        }
+        },
     )
     hint_found = F.lit(False)
     for topic, terms in taxonomy.items():

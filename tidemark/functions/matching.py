@@ -31,6 +31,12 @@ def _any_of(conditions: list[Column]) -> Column:
     return result
 
 
+def _any_substring(text: Column, terms: list[str]) -> Column:
+    """Loop over a literal array: the plan stays small however long the list is, where one `contains`
+    per term would make a generated method too large for the JIT compiler."""
+    return F.exists(_literals(terms), lambda term: F.contains(text, term))
+
+
 def plain_tokens(lowered: Column) -> Column:
     """Distinct `[a-z0-9]` runs."""
     return F.array_distinct(F.split(lowered, "[^a-z0-9]+"))
@@ -60,7 +66,8 @@ class HybridMatcher:
     def any(self, terms: Iterable[str]) -> Column:
         words, phrases = self.split_terms(terms)
         conditions = [F.arrays_overlap(self.tokens, _literals(words))] if words else []
-        conditions += [F.contains(self.lowered, F.lit(p)) for p in phrases]
+        if phrases:
+            conditions.append(_any_substring(self.lowered, phrases))
         return _any_of(conditions)
 
     def hits(self, terms: Iterable[str]) -> Column:
@@ -70,9 +77,7 @@ class HybridMatcher:
         if phrases:
             found = F.concat(
                 found,
-                F.array_compact(
-                    F.array(*[F.when(F.contains(self.lowered, F.lit(p)), F.lit(p)) for p in phrases])
-                ),
+                F.filter(_literals(phrases), lambda term: F.contains(self.lowered, term)),
             )
         return F.array_sort(found)
 
@@ -87,14 +92,24 @@ class WordMatcher:
         lowered = F.lower(F.coalesce(text, F.lit("")))
         return cls(lowered, word_tokens(lowered))
 
-    def _phrase(self, term: str) -> Column:
-        """Substring check on the longest word first; the regex runs on the few rows that pass."""
-        pieces = term.split()
-        pattern = r"\s+".join(re.escape(piece) for piece in pieces)
-        longest = max(pieces, key=len)
-        return F.contains(self.lowered, F.lit(longest)) & self.lowered.rlike(
-            rf"(?U)(?<!\w){pattern}(?!\w)"
-        )
+    @staticmethod
+    def _phrases(terms: list[str]) -> Column:
+        """array<struct(term, longest, pattern)>: the longest word gates the regex."""
+        entries = []
+        for term in terms:
+            pieces = term.split()
+            body = r"\s+".join(re.escape(piece) for piece in pieces)
+            entries.append(
+                F.struct(
+                    F.lit(term).alias("term"),
+                    F.lit(max(pieces, key=len)).alias("longest"),
+                    F.lit(rf"(?U)(?<!\w){body}(?!\w)").alias("pattern"),
+                )
+            )
+        return F.array(*entries)
+
+    def _found(self, entry: Column) -> Column:
+        return F.contains(self.lowered, entry["longest"]) & F.rlike(self.lowered, entry["pattern"])
 
     @staticmethod
     def split_terms(terms: Iterable[str]) -> tuple[list[str], list[str]]:
@@ -105,16 +120,17 @@ class WordMatcher:
     def any(self, terms: Iterable[str]) -> Column:
         words, phrases = self.split_terms(terms)
         conditions = [F.arrays_overlap(self.tokens, _literals(words))] if words else []
-        return _any_of(conditions + [self._phrase(p) for p in phrases])
+        if phrases:
+            conditions.append(F.exists(self._phrases(phrases), self._found))
+        return _any_of(conditions)
 
     def hits(self, terms: Iterable[str]) -> Column:
         """Matching terms (distinct, not sorted)."""
         words, phrases = self.split_terms(terms)
         found = F.array_intersect(self.tokens, _literals(words))
         if phrases:
-            found = F.concat(
-                found, F.array_compact(F.array(*[F.when(self._phrase(p), F.lit(p)) for p in phrases]))
-            )
+            matching = F.filter(self._phrases(phrases), self._found)
+            found = F.concat(found, F.transform(matching, lambda entry: entry["term"]))
         return found
 
     def all_words(self, phrase: str) -> Column:
@@ -127,7 +143,7 @@ def contains_term(text: Column, terms: Iterable[str]) -> Column:
     """Any term as a plain substring. A term that contains another listed term adds nothing."""
     terms = sorted(set(terms), key=len)
     minimal = [t for i, t in enumerate(terms) if not any(s in t for s in terms[:i])]
-    return _any_of([F.contains(text, F.lit(t)) for t in minimal])
+    return _any_substring(text, minimal)
 
 
 def count_phrase(text: Column, phrase: Column) -> Column:

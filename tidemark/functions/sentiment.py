@@ -1,9 +1,11 @@
-"""Lexicon sentiment.
+"""Lexicon sentiment, in two forms with equal results.
 
-A text is split into tokens, each token carries its three predecessors, the lexicon is joined on the
-token, and the valences are summed per text. The join side is an ordinary table: Spark broadcasts it
-when its measured size allows and shuffles otherwise. All tokens of a text sit in one partition, so
-the per-text sum is finished before the shuffle and only one small row per text moves.
+* `lexicon_scorer`: a column expression for row-wise enrichment. The text is tokenised on the JVM; an
+  Arrow-batched function looks the tokens up in a size-checked dictionary. No row is shuffled.
+* `score_texts`: a join against a lexicon table of any size. Each token carries its three predecessors,
+  the lexicon is joined on the token and the valences are summed per text. Spark broadcasts the
+  lexicon when its measured size allows and shuffles otherwise; all tokens of a text sit in one
+  partition, so the sum is finished before the shuffle and one small row per text moves.
 
 The rule layer follows the published description (degree words, negation in the three words before,
 contrast at "but", punctuation emphasis). Input is lower-cased, so the capital-letter rule never applies.
@@ -13,14 +15,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tidemark import vocabulary as V
-from tidemark.functions.matching import _literals
+from tidemark.functions.staging import staged
 from tidemark.registry import dimension
 
-Scorer = Callable[[DataFrame, str, str], DataFrame]
+_UP, _DOWN, _NEGATING = frozenset(V.BOOSTERS_UP), frozenset(V.BOOSTERS_DOWN), frozenset(V.NEGATIONS)
+
+Scorer = Callable[[Column], Column]
+MAX_DICTIONARY = 200_000  # entries a task may hold
 
 
 def starter_lexicon(spark: SparkSession, entries: Mapping[str, float] | None = None) -> DataFrame:
@@ -98,8 +105,10 @@ def score_texts(
 ) -> DataFrame:
     """(key, compound) for every row of `df`; `key` must be unique. Texts without a hit score 0."""
     source = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    words = source.select(
-        "_key", sentiment_tokens(F.col("_text")).alias("_w"), _emphasis(F.coalesce("_text", F.lit(""))).alias("_e")
+    words = staged(source, {"_w": sentiment_tokens(F.col("_text"))}).select(
+        "_key", "_w",
+        (F.array_position("_w", "but") - 1).alias("_but"),
+        _emphasis(F.coalesce("_text", F.lit(""))).alias("_e"),
     )
 
     def entry(word: Column, i: Column) -> Column:
@@ -112,13 +121,12 @@ def score_texts(
             word.alias("token"),
             i.alias("pos"),
             *[before(n).alias(f"p{n}") for n in (1, 2, 3)],
-            (F.array_position("_w", "but") - 1).alias("but"),
         )
 
     # one row per token; a text without tokens keeps one row so that it is scored 0
     rows = words.select(
-        "_key", "_e", F.explode_outer(F.transform("_w", entry)).alias("_t")
-    ).select("_key", "_e", "_t.*")
+        "_key", "_e", F.col("_but").alias("but"), F.explode_outer(F.transform("_w", entry)).alias("_t")
+    ).select("_key", "_e", "but", "_t.*")
     valued = rows.join(lexicon.select("token", "valence"), "token", "left")
     value = F.coalesce(F.col("valence"), F.lit(0.0))
     if rules:
@@ -143,6 +151,50 @@ def score_texts(
     return totals.select(F.col("_key").alias(key), normalise(total).alias("compound"))
 
 
-def lexicon_scorer(lexicon: DataFrame, rules: bool = True) -> Scorer:
-    """A scorer for `enrich`; any function (df, key, text) -> (key, compound) can take its place."""
-    return lambda df, key, text: score_texts(df, key, text, lexicon, rules=rules)
+def _score_tokens(tokens: list[str], lexicon: Mapping[str, float]) -> float:
+    """Sum of valences of one token list after the degree, negation and contrast rules."""
+    but = tokens.index("but") if "but" in tokens else -1
+    total = 0
+    for i, token in enumerate(tokens):
+        value = lexicon.get(token)
+        if not value:
+            continue
+        sign = 1.0 if value > 0 else -1.0
+        negated = False
+        scored = value
+        for distance in (1, 2, 3):
+            word = tokens[i - distance] if i >= distance else ""
+            step = V.BOOST * V.BOOSTER_DAMPING[distance - 1]
+            scored += sign * (step if word in _UP else -step if word in _DOWN else 0.0)
+            negated = negated or word in _NEGATING or word.endswith("n't")
+        if negated:
+            scored *= V.NEGATION_FACTOR
+        if but >= 0 and i != but:
+            scored *= V.BUT_BEFORE if i < but else V.BUT_AFTER
+        total += round(scored * 1e9)
+    return total / 1e9
+
+
+def lexicon_scorer(lexicon: DataFrame | Mapping[str, float]) -> Scorer:
+    """Scorer for `enrich`: text column -> compound score column.
+
+    A lexicon table is read to the driver only up to `MAX_DICTIONARY` entries; use `score_texts` for
+    larger ones.
+    """
+    if isinstance(lexicon, DataFrame):
+        rows = lexicon.select("token", "valence").limit(MAX_DICTIONARY + 1).collect()
+        if len(rows) > MAX_DICTIONARY:
+            raise ValueError(f"lexicon has more than {MAX_DICTIONARY} entries; use score_texts")
+        lexicon = {row["token"]: row["valence"] for row in rows}
+    entries = dict(lexicon)
+
+    @F.pandas_udf(DoubleType())
+    def total_of(tokens: pd.Series) -> pd.Series:
+        return pd.Series([_score_tokens(list(t), entries) for t in tokens], dtype="float64")
+
+    def score(text: Column) -> Column:
+        total = total_of(sentiment_tokens(text))
+        lift = _emphasis(F.coalesce(text, F.lit("")))
+        return normalise(F.when(total > 0, total + lift).when(total < 0, total - lift).otherwise(total))
+
+    return score

@@ -11,6 +11,7 @@ from tidemark.functions import numbers as N
 from tidemark.functions import strings as S
 from tidemark.functions.matching import HybridMatcher, plain_tokens
 from tidemark.functions.sentiment import Scorer, sentiment_label
+from tidemark.functions.staging import staged
 from tidemark.registry import group_of
 
 MODEL_NAME = "vader"
@@ -28,23 +29,23 @@ def label_rows(raw: DataFrame, *, taxonomy: L.Taxonomy = V.TAXONOMY) -> DataFram
     for name in OPTIONAL:
         if name not in raw.columns:
             raw = raw.withColumn(name, F.lit(None).cast(types.get(name, "string")))
-    rows = raw.withColumns(
-        {"_clean": S.clean_markup(F.col("text")), "_eng": N.engagement_total(*[F.col(c) for c in COUNTERS])}
+    rows = staged(
+        raw, {"_clean": S.clean_markup(F.col("text")), "_eng": N.engagement_total(*[F.col(c) for c in COUNTERS])}
     )
-    rows = rows.withColumns(
+    clean = F.col("_clean")
+    rows = staged(
+        rows,
         {
-            "_tok": plain_tokens(F.col("_clean")),
-            "_score": L.relevance_score(F.col("_clean"), F.col("platform"), F.col("_eng")),
-        }
-    )
-    rows = rows.withColumn("_kw", L.keywords_of(HybridMatcher(F.col("_clean"), F.col("_tok")), taxonomy))
-    rows = rows.withColumn(
-        "_topic", L.resolved_topic(L.topic_of_keywords(F.col("_kw"), taxonomy), F.col("category"))
+            "_score": L.relevance_score(clean, F.col("platform"), F.col("_eng")),
+            "_kw": L.keywords_of(HybridMatcher(clean, plain_tokens(clean)), taxonomy),
+        },
     )
+    topic = L.topic_of_keywords(F.col("_kw"), taxonomy)
     return rows.withColumns(
         {
+            "_topic": L.resolved_topic(topic, F.col("category")),
             "_flags": L.quality_flags(
-                F.col("text"), F.col("_clean"), F.col("platform"), F.col("url"), F.col("_eng"), F.col("_score")
+                F.col("text"), clean, F.col("platform"), F.col("url"), F.col("_eng"), F.col("_score")
             ),
             "_status": L.outcome_of(F.col("_score"), F.col("id").isNull()),
         }
@@ -61,13 +62,13 @@ def enrich(
 ) -> DataFrame:
     """`raw_posts` rows to `posts` rows.
 
-    Rows with a relevance below -2 are discarded and get no score. `id` must be unique: the scores of a
-    scorer come back keyed by it.
+    Rows with a relevance below -2 are discarded and get no score. Every step is row-wise: nothing is
+    shuffled, and the cost grows with the number of rows alone.
     """
     rows = label_rows(raw, taxonomy=taxonomy)
-    scores = scorer(rows.where(F.col("_status") == "processed").select("id", "_clean"), "id", "_clean")
-    rows = rows.join(scores, "id", "left")
-    score = F.rint(F.col("compound") * 10_000) / 10_000
+    score = F.when(F.col("_status") == "processed", F.rint(scorer(F.col("_clean")) * 10_000) / 10_000)
+    rows = rows.withColumn("_sentiment", score)
+    score = F.col("_sentiment")
     return rows.select(
         F.col("id").alias("raw_id"),
         S.canonical_id(

@@ -11,6 +11,7 @@ from tidemark.functions import sentiment as SE
 from tidemark.functions import strings as S
 from tidemark.functions.matching import HybridMatcher, WordMatcher
 from tidemark.functions.numbers import engagement_total
+from tidemark.functions.staging import staged
 from tidemark.operators.enrich import enrich
 from tidemark.operators.keywords import category_keywords
 from tidemark.plans import views
@@ -309,8 +310,8 @@ NEWS = _news_sql()
 
 
 def _news_rows(spark, d):
-    rows = _text(spark, d).select("id", F.lower(S.squeeze(F.col("text"))).alias("_low"))
-    rows = rows.withColumn("_tok", MT.word_tokens(F.col("_low")))
+    rows = staged(_text(spark, d).select("id", "text"), {"_low": F.lower(S.squeeze(F.col("text")))}).drop("text")
+    rows = staged(rows, {"_tok": MT.word_tokens(F.col("_low"))})
     matcher = WordMatcher(F.col("_low"), F.col("_tok"))
     return rows.select("*", F.inline(L.news_categories(matcher))), matcher
 
@@ -344,8 +345,8 @@ def best_search_phrase(spark, d):
 )
 def phrase_containment(spark, d):
     """Text x search phrases: the first phrase of each category whose words all occur."""
-    rows = _text(spark, d).select(F.lower(S.squeeze(F.col("text"))).alias("_low"))
-    rows = rows.withColumn("_tok", MT.word_tokens(F.col("_low")))
+    rows = staged(_text(spark, d).select("text"), {"_low": F.lower(S.squeeze(F.col("text")))}).drop("text")
+    rows = staged(rows, {"_tok": MT.word_tokens(F.col("_low"))})
     m = WordMatcher(F.col("_low"), F.col("_tok"))
     pairs = F.array(
         *[
@@ -420,7 +421,7 @@ ENRICH_OUT = """ select id as raw_id, platform, clean as text, coalesce(t, categ
 
 
 def _enriched(spark, d):
-    return enrich(_text(spark, d), SE.lexicon_scorer(SE.starter_lexicon(spark)), processed_at=views.as_of())
+    return enrich(_text(spark, d), SE.lexicon_scorer(V.STARTER_LEXICON), processed_at=views.as_of())
 
 
 @query("p03_processed_rows", ENRICHED + ENRICH_OUT)
@@ -464,17 +465,18 @@ def html_to_text(spark, d):
 
 @query(
     "x02_replaceable_scorer",
-    BASE + "select id, case when length(text) % 2 = 0 then 0.5 else -0.5 end as compound from text_posts",
+    ENRICHED + " select id as raw_id, case when score < -2 then null when length(clean) % 2 = 0 then cast(0.5 as double) else cast(-0.5 as double) end as sentiment_score from c2",
 )
 def replaceable_scorer(spark, d):
-    """Any (df, key, text) -> (key, compound) function can score the rows."""
+    """Any text column -> score column function can take the lexicon's place."""
 
-    def by_length(df, key, text):
-        return df.select(key, F.when(F.length(text) % 2 == 0, 0.5).otherwise(-0.5).alias("compound"))
+    def by_length(text):
+        return F.when(F.length(text) % 2 == 0, 0.5).otherwise(-0.5)
 
-    rows = enrich(_text(spark, d), by_length, processed_at=views.as_of())
-    return rows.select(F.col("raw_id").alias("id"), F.coalesce("sentiment_score", F.lit(0.0)).alias("compound")).join(
-        by_length(_text(spark, d), "id", "text").withColumnRenamed("compound", "_c"), "id"
-    ).select("id", F.col("_c").alias("compound"))
+    return enrich(_text(spark, d), by_length, processed_at=views.as_of()).select("raw_id", "sentiment_score")
 
 
+@query("n08_sentiment_in_row", _sentiment_sql(True) + f" select id, {COMPOUND} as compound from s")
+def sentiment_in_row(spark, d):
+    score = SE.lexicon_scorer(V.STARTER_LEXICON)
+    return _text(spark, d).select("id", score(F.col("text")).alias("compound"))
