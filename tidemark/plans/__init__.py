@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("post_queries", "text_queries")
+MODULES = ("post_queries", "text_queries", "expression_queries", "operations_queries")
 
 
 def load() -> None:
