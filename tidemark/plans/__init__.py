@@ -2,7 +2,9 @@
 
 from importlib import import_module
 
-MODULES = ("post_queries", "text_queries", "expression_queries", "operations_queries")
+MODULES = (
+    "post_queries", "text_queries", "expression_queries", "operations_queries", "ingest_queries", "stream_queries",
+)
 
 
 def load() -> None:
