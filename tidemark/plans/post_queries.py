@@ -538,3 +538,13 @@ def topic_labels(spark, d):
         views.posts(spark, d).groupBy(topic_label(key, {"housing": "Housing / Rent"}).alias("category_label"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+@query(
+    "j04_all_against_clean",
+    BASE + """select topic as cost_category, count(*) as all_document_count, count(*) filter (where clean) as clean_document_count
+  from posts group by 1""",
+)
+def all_against_clean(spark, d):
+    """Both sides in one scan instead of a join of two results."""
+    return M.quality_comparison(views.posts(spark, d)).select("cost_category", "all_document_count", "clean_document_count")
