@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import vocabulary as V
 from tidemark.functions import numbers as N
 from tidemark.functions import strings as S
-from tidemark.functions.matching import HybridMatcher, WordMatcher, contains_term, plain_tokens
+from tidemark.functions.matching import HybridMatcher, WordMatcher, _literals, contains_term, let, overlaps
 from tidemark.functions.staging import staged
 from tidemark.registry import social_platforms
 
@@ -31,8 +31,9 @@ def all_terms(taxonomy: Taxonomy) -> list[str]:
 
 def topic_of(matcher: HybridMatcher, taxonomy: Taxonomy = V.TAXONOMY, default: str = V.DEFAULT_TOPIC) -> Column:
     """First topic in taxonomy order with any matching term."""
-    hit = first_of([(matcher.any(terms), topic) for topic, terms in taxonomy.items()])
-    return F.coalesce(hit, F.lit(default))
+    return let(
+        keywords_of(matcher, taxonomy), lambda found: F.coalesce(topic_of_keywords(found, taxonomy), F.lit(default))
+    )
 
 
 def keywords_of(matcher: HybridMatcher, taxonomy: Taxonomy = V.TAXONOMY) -> Column:
@@ -44,7 +45,7 @@ def topic_of_keywords(keywords: Column, taxonomy: Taxonomy = V.TAXONOMY) -> Colu
     """Topic from an array made by `keywords_of`: cheaper than matching the text again. Null if empty."""
     return first_of(
         [
-            (F.arrays_overlap(keywords, F.array(*[F.lit(t.casefold()) for t in terms])), topic)
+            (overlaps(keywords, [t.casefold() for t in terms]), topic)
             for topic, terms in taxonomy.items()
         ]
     )
@@ -101,40 +102,30 @@ def with_relevance(
     """
     hint = F.lit(None).cast("string") if hint is None else F.nullif(hint, F.lit(""))
     trust = F.lit(trust_hint) if isinstance(trust_hint, bool) else F.coalesce(trust_hint, F.lit(False))
-    lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
-    df = staged(df, {"_low": lowered, "_tok": plain_tokens(lowered), "_hint": hint, "_trust": trust})
-    m = HybridMatcher(F.col("_low"), F.col("_tok"))
-    df = staged(
-        df,
-        {
-            "_kw": keywords_of(m, taxonomy),
-            "_blocked": F.array_compact(
-                F.array(*[F.when(m.any(terms), F.lit(topic)) for topic, terms in blocked.items()])
-            ),
-            "_cost": m.any(list(V.COVERAGE_TERMS) + list(V.COMPLAINT_TERMS)),
-            "_foreign": m.any(V.FOREIGN_TERMS) & ~has_local_context(m),
-            "_noise": m.any(V.NOISE_TEXTS),
-        },
-    )
-    hint_found = F.lit(False)
+    df = staged(df, {"_hint": hint, "_trust": trust})
+    df, m = HybridMatcher.attach(df, F.col(text), "_r")
+    cost_terms = [*V.COVERAGE_TERMS, *V.COMPLAINT_TERMS]
+    lists = [*taxonomy.values(), *blocked.values(), cost_terms, V.FOREIGN_TERMS, V.LOCAL_CONTEXT_TERMS, V.NOISE_TEXTS]
+    df = staged(df, {"_hits": m.hits([term for terms in lists for term in terms])})
+    found = lambda terms: overlaps(F.col("_hits"), [t.casefold() for t in terms])
+
+    hint_found, is_blocked = F.lit(False), F.lit(False)
     for topic, terms in taxonomy.items():
-        found = F.arrays_overlap("_kw", F.array(*[F.lit(t.casefold()) for t in terms]))
-        hint_found = F.when(F.col("_hint") == topic, found).otherwise(hint_found)
-    df = df.withColumn(
-        "_topic",
-        F.when(hint_found, F.col("_hint")).otherwise(
-            F.coalesce(topic_of_keywords(F.col("_kw"), taxonomy), F.lit(default))
-        ),
-    )
+        hint_found = F.when(F.col("_hint") == topic, found(terms)).otherwise(hint_found)
+    text_topic = F.coalesce(topic_of_keywords(F.col("_hits"), taxonomy), F.lit(default))
+    df = staged(df, {"_topic": F.when(hint_found, F.col("_hint")).otherwise(text_topic)})
+    for topic, terms in blocked.items():
+        is_blocked = F.when(F.col("_topic") == topic, found(terms)).otherwise(is_blocked)
+
     keyword = F.col("_topic") != default  # the chosen topic is one whose terms were found
     trusted = F.col("_trust") & F.coalesce(F.col("_topic") == F.col("_hint"), F.lit(False))
-    verdict = F.when(
-        F.col("_topic").isin(*strict), keyword & (trusted | F.col("_cost"))
-    ).otherwise(keyword | F.col("_cost"))
-    blank = F.length(S.strip_text(F.col("_low"))) == 0
-    stopped = F.col("_noise") | F.array_contains("_blocked", F.col("_topic")) | F.col("_foreign")
+    cost = found(cost_terms)
+    verdict = F.when(F.col("_topic").isin(*strict), keyword & (trusted | cost)).otherwise(keyword | cost)
+    blank = F.length(S.strip_text(m.lowered)) == 0
+    foreign_only = found(V.FOREIGN_TERMS) & ~found(V.LOCAL_CONTEXT_TERMS)
+    stopped = found(V.NOISE_TEXTS) | is_blocked | foreign_only
     return df.withColumn(name, ~blank & ~stopped & verdict).drop(
-        "_low", "_hint", "_trust", "_tok", "_kw", "_blocked", "_cost", "_foreign", "_noise", "_topic"
+        "_hint", "_trust", "_r_low", "_r_tok", "_hits", "_topic"
     )
 
 
@@ -170,10 +161,11 @@ def quality_flags(
     url: Column,
     engagement: Column,
     relevance: Column,
+    local: Column,
     *,
     news_platform: str = "gdelt",
 ) -> Column:
-    """Sorted flags that explain how far a row can be trusted."""
+    """Sorted flags that explain how far a row can be trusted. `local` is only read for news rows."""
     name = F.lower(F.coalesce(platform, F.lit("")))
     lowered = F.lower(F.coalesce(raw_text, F.lit("")))
     news = name == news_platform
@@ -184,13 +176,12 @@ def quality_flags(
         | F.contains(lowered, F.lit("tax_"))
         | F.contains(lowered, F.lit("wb_"))
     )
-    local = has_local_context(HybridMatcher.over(raw_text))
     rules = [  # alphabetical, so the array comes out sorted
         (F.coalesce(relevance < 0, F.lit(False)), "low_relevance"),
         (news & heavy, "metadata_heavy"),
         (news & no_url, "missing_url"),
         (F.length(F.coalesce(cleaned, F.lit(""))) < 30, "short_text"),
-        (news & ~no_url & ~local, "weak_australia_context"),
+        (news & ~no_url & ~F.coalesce(local, F.lit(False)), "weak_australia_context"),
         (social & (engagement == 0), "zero_engagement"),
     ]
     return F.array_compact(F.array(*[F.when(rule, F.lit(flag)) for rule, flag in rules]))
@@ -210,24 +201,19 @@ def news_categories(
     A text needs a local and a general cost term; a category then needs a keyword and none of its
     blocked terms. `hits` is the sorted union of the three hit lists.
     """
-    local, cost = matcher.hits(local_terms), matcher.hits(cost_terms)
-    entries = []
-    for category, terms in category_terms.items():
-        found = matcher.hits(terms)
-        allowed = F.size(found) > 0
-        if blocked.get(category):
-            allowed = allowed & ~matcher.any(blocked[category])
-        entries.append(
-            F.when(
-                allowed,
-                F.struct(
-                    F.lit(category).alias("category"),
-                    S.sorted_set(F.concat(found, cost, local)).alias("hits"),
-                ),
-            )
-        )
-    eligible = matcher.any(local_terms) & matcher.any(cost_terms)
-    return F.when(eligible, F.array_compact(F.array(*entries)))
+    lists = [local_terms, cost_terms, *category_terms.values(), *blocked.values()]
+
+    def matches(found: Column) -> Column:
+        shared = [*local_terms, *cost_terms]
+        entries = []
+        for category, terms in category_terms.items():
+            allowed = overlaps(found, terms) & ~overlaps(found, blocked.get(category, ()))
+            hits = F.array_sort(F.array_intersect(found, _literals(dict.fromkeys([*terms, *shared]))))
+            entries.append(F.when(allowed, F.struct(F.lit(category).alias("category"), hits.alias("hits"))))
+        eligible = overlaps(found, local_terms) & overlaps(found, cost_terms)
+        return F.when(eligible, F.array_compact(F.array(*entries)))
+
+    return let(matcher.hits([term for terms in lists for term in terms]), matches)
 
 
 def best_phrase(matcher: WordMatcher, category: Column, phrases: Taxonomy = V.NEWS_SEARCH_PHRASES) -> Column:

@@ -6,35 +6,39 @@
   word characters); blanks in a term match any white space.
 * `contains_term`: plain substring.
 
-Single-word terms are looked up among the distinct tokens of a text, so the cost per text is one
-split plus hash lookups, not one regex per term.
+Single-word terms are looked up among the distinct tokens of a text: one split plus hash lookups per
+text, not one regex per term. Substring terms are grouped under a part they share ("price" for all
+price phrases), so most texts are searched for a few parts instead of every phrase. All lists become
+literal arrays, which keeps plans and generated code small however long the lists are.
+
+Matchers should sit on staged columns (`attach`); `over` is for short strings.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections import Counter
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.staging import staged
+
 
 def _literals(terms: Iterable[str]) -> Column:
     terms = list(terms)
     return F.array(*[F.lit(t) for t in terms]) if terms else F.expr("cast(array() as array<string>)")
 
 
-def _any_of(conditions: list[Column]) -> Column:
-    result = F.lit(False)
-    for condition in conditions:
-        result = result | condition
-    return result
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _any_substring(text: Column, terms: list[str]) -> Column:
-    """Loop over a literal array: the plan stays small however long the list is, where one `contains`
-    per term would make a generated method too large for the JIT compiler."""
-    return F.exists(_literals(terms), lambda term: F.contains(text, term))
+def overlaps(array: Column, terms: Iterable[str]) -> Column:
+    terms = list(terms)
+    return F.coalesce(F.arrays_overlap(array, _literals(terms)), F.lit(False)) if terms else F.lit(False)
 
 
 def plain_tokens(lowered: Column) -> Column:
@@ -47,15 +51,66 @@ def word_tokens(lowered: Column) -> Column:
     return F.array_distinct(F.split(lowered, r"(?U)[^\w]+"))
 
 
-class HybridMatcher:
+def _by_shared_part(terms: list[str]) -> list[tuple[str, list[str]]]:
+    """Group terms under the word that most of the remaining ones contain. Every term contains its part,
+    so a text without the part holds none of its terms."""
+    left, groups = list(terms), []
+    while left:
+        words = {w for t in left for w in re.findall(r"\w{3,}", t)} or set(left)
+        counts = Counter({w: sum(w in t for t in left) for w in words})
+        part, size = max(counts.items(), key=lambda item: (item[1], len(item[0]), item[0]))
+        if size <= 1:
+            return groups + [(t, [t]) for t in left]
+        groups.append((part, [t for t in left if part in t]))
+        left = [t for t in left if part not in t]
+    return groups
+
+
+def _grouped(terms: list[str]) -> Column:
+    """array<struct(part, terms)>"""
+    return F.array(
+        *[F.struct(F.lit(p).alias("part"), _literals(ts).alias("terms")) for p, ts in _by_shared_part(terms)]
+    )
+
+
+def _any_substring(text: Column, terms: list[str]) -> Column:
+    def group_found(group: Column) -> Column:
+        return F.contains(text, group["part"]) & F.exists(group["terms"], lambda t: F.contains(text, t))
+
+    return F.exists(_grouped(terms), group_found)
+
+
+def _substrings_found(text: Column, terms: list[str]) -> Column:
+    candidates = F.filter(_grouped(terms), lambda group: F.contains(text, group["part"]))
+    return F.flatten(
+        F.transform(candidates, lambda group: F.filter(group["terms"], lambda t: F.contains(text, t)))
+    )
+
+
+class _Matcher:
+    tokenise: Callable[[Column], Column]
+
     def __init__(self, lowered: Column, tokens: Column):
         self.lowered = lowered
         self.tokens = tokens
 
     @classmethod
-    def over(cls, text: Column) -> "HybridMatcher":
+    def over(cls, text: Column):
+        """Matcher on plain expressions: they are evaluated again at each use."""
         lowered = F.lower(F.coalesce(text, F.lit("")))
-        return cls(lowered, plain_tokens(lowered))
+        return cls(lowered, cls.tokenise(lowered))
+
+    @classmethod
+    def attach(cls, df: DataFrame, text: Column, name: str = "_m"):
+        """(df with staged `<name>_low` and `<name>_tok`, matcher on them)."""
+        low, tok = f"{name}_low", f"{name}_tok"
+        df = staged(df, {low: F.lower(F.coalesce(text, F.lit("")))})
+        df = staged(df, {tok: cls.tokenise(F.col(low))})
+        return df, cls(F.col(low), F.col(tok))
+
+
+class HybridMatcher(_Matcher):
+    tokenise = staticmethod(plain_tokens)
 
     @staticmethod
     def split_terms(terms: Iterable[str]) -> tuple[list[str], list[str]]:
@@ -65,51 +120,20 @@ class HybridMatcher:
 
     def any(self, terms: Iterable[str]) -> Column:
         words, phrases = self.split_terms(terms)
-        conditions = [F.arrays_overlap(self.tokens, _literals(words))] if words else []
-        if phrases:
-            conditions.append(_any_substring(self.lowered, phrases))
-        return _any_of(conditions)
+        found = overlaps(self.tokens, words)
+        return found | _any_substring(self.lowered, phrases) if phrases else found
 
     def hits(self, terms: Iterable[str]) -> Column:
         """Sorted distinct matching terms."""
         words, phrases = self.split_terms(terms)
         found = F.array_intersect(self.tokens, _literals(words))
         if phrases:
-            found = F.concat(
-                found,
-                F.filter(_literals(phrases), lambda term: F.contains(self.lowered, term)),
-            )
+            found = F.concat(found, _substrings_found(self.lowered, phrases))
         return F.array_sort(found)
 
 
-class WordMatcher:
-    def __init__(self, lowered: Column, tokens: Column):
-        self.lowered = lowered
-        self.tokens = tokens
-
-    @classmethod
-    def over(cls, text: Column) -> "WordMatcher":
-        lowered = F.lower(F.coalesce(text, F.lit("")))
-        return cls(lowered, word_tokens(lowered))
-
-    @staticmethod
-    def _phrases(terms: list[str]) -> Column:
-        """array<struct(term, longest, pattern)>: the longest word gates the regex."""
-        entries = []
-        for term in terms:
-            pieces = term.split()
-            body = r"\s+".join(re.escape(piece) for piece in pieces)
-            entries.append(
-                F.struct(
-                    F.lit(term).alias("term"),
-                    F.lit(max(pieces, key=len)).alias("longest"),
-                    F.lit(rf"(?U)(?<!\w){body}(?!\w)").alias("pattern"),
-                )
-            )
-        return F.array(*entries)
-
-    def _found(self, entry: Column) -> Column:
-        return F.contains(self.lowered, entry["longest"]) & F.rlike(self.lowered, entry["pattern"])
+class WordMatcher(_Matcher):
+    tokenise = staticmethod(word_tokens)
 
     @staticmethod
     def split_terms(terms: Iterable[str]) -> tuple[list[str], list[str]]:
@@ -119,19 +143,40 @@ class WordMatcher:
 
     def any(self, terms: Iterable[str]) -> Column:
         words, phrases = self.split_terms(terms)
-        conditions = [F.arrays_overlap(self.tokens, _literals(words))] if words else []
-        if phrases:
-            conditions.append(F.exists(self._phrases(phrases), self._found))
-        return _any_of(conditions)
+        return F.size(self.hits(terms)) > 0 if phrases else overlaps(self.tokens, words)
 
     def hits(self, terms: Iterable[str]) -> Column:
-        """Matching terms (distinct, not sorted)."""
+        """Matching terms (distinct, not sorted).
+
+        The words of a phrase that matches are all tokens of the text, so its regex runs only on texts
+        that hold every one of them.
+        """
         words, phrases = self.split_terms(terms)
-        found = F.array_intersect(self.tokens, _literals(words))
-        if phrases:
-            matching = F.filter(self._phrases(phrases), self._found)
-            found = F.concat(found, F.transform(matching, lambda entry: entry["term"]))
-        return found
+        if not phrases:
+            return F.array_intersect(self.tokens, _literals(words))
+        entries = F.array(*[self._entry(p) for p in phrases])
+        vocabulary = list(dict.fromkeys([*words, *(w for p in phrases for w in re.findall(r"\w+", p))]))
+
+        def found(present: Column) -> Column:
+            phrase_hits = F.filter(
+                entries,
+                lambda e: (F.size(F.array_except(e["words"], present)) == 0)
+                & F.rlike(self.lowered, e["pattern"]),
+            )
+            return F.concat(
+                F.array_intersect(present, _literals(words)), F.transform(phrase_hits, lambda e: e["term"])
+            )
+
+        return let(F.array_intersect(self.tokens, _literals(vocabulary)), found)
+
+    @staticmethod
+    def _entry(term: str) -> Column:
+        body = r"\s+".join(re.escape(piece) for piece in term.split())
+        return F.struct(
+            F.lit(term).alias("term"),
+            _literals(dict.fromkeys(re.findall(r"\w+", term))).alias("words"),
+            F.lit(rf"(?U)(?<!\w){body}(?!\w)").alias("pattern"),
+        )
 
     def all_words(self, phrase: str) -> Column:
         """Every word of the phrase occurs somewhere in the text."""

@@ -9,7 +9,7 @@ from tidemark import vocabulary as V
 from tidemark.functions import labels as L
 from tidemark.functions import numbers as N
 from tidemark.functions import strings as S
-from tidemark.functions.matching import HybridMatcher, plain_tokens
+from tidemark.functions.matching import HybridMatcher
 from tidemark.functions.sentiment import Scorer, sentiment_label
 from tidemark.functions.staging import staged
 from tidemark.registry import group_of
@@ -33,11 +33,15 @@ def label_rows(raw: DataFrame, *, taxonomy: L.Taxonomy = V.TAXONOMY) -> DataFram
         raw, {"_clean": S.clean_markup(F.col("text")), "_eng": N.engagement_total(*[F.col(c) for c in COUNTERS])}
     )
     clean = F.col("_clean")
+    rows, matcher = HybridMatcher.attach(rows, clean, "_c")
+    news = F.when(F.lower("platform") == "gdelt", F.col("text"))  # local context is asked of news rows only
+    rows, raw_matcher = HybridMatcher.attach(rows, news, "_n")
     rows = staged(
         rows,
         {
             "_score": L.relevance_score(clean, F.col("platform"), F.col("_eng")),
-            "_kw": L.keywords_of(HybridMatcher(clean, plain_tokens(clean)), taxonomy),
+            "_kw": L.keywords_of(matcher, taxonomy),
+            "_local": L.has_local_context(raw_matcher),
         },
     )
     topic = L.topic_of_keywords(F.col("_kw"), taxonomy)
@@ -45,7 +49,8 @@ def label_rows(raw: DataFrame, *, taxonomy: L.Taxonomy = V.TAXONOMY) -> DataFram
         {
             "_topic": L.resolved_topic(topic, F.col("category")),
             "_flags": L.quality_flags(
-                F.col("text"), clean, F.col("platform"), F.col("url"), F.col("_eng"), F.col("_score")
+                F.col("text"), clean, F.col("platform"), F.col("url"), F.col("_eng"), F.col("_score"),
+                F.col("_local"),
             ),
             "_status": L.outcome_of(F.col("_score"), F.col("id").isNull()),
         }

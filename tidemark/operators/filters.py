@@ -157,8 +157,9 @@ def keep_social(df: DataFrame, *, text: str = "text", seed: str = "harvested_que
         df, text, hint=F.col("_hint_topic"), trust_hint=F.col("_hint_topic").isNotNull(), name="_relevant"
     )
     social = F.coalesce(F.col("platform").isin(*social_platforms()), F.lit(False))
-    local = has_local_context(HybridMatcher.over(F.col(text)))
-    return df.where(~social | (F.col("_relevant") & local)).drop("_hint_topic", "_relevant")
+    df, matcher = HybridMatcher.attach(df, F.col(text), "_k")
+    wanted = F.col("_relevant") & has_local_context(matcher)
+    return df.where(~social | wanted).drop("_hint_topic", "_relevant", "_k_low", "_k_tok")
 
 
 # ----------------------------------------------------------------- indicators

@@ -82,17 +82,21 @@ def _text(spark, d):
     return views.text_posts(spark, d)
 
 
+def _matched(spark, d):
+    return HybridMatcher.attach(_text(spark, d), F.col("text"))
+
+
 # --------------------------------------------------------------------- labels
 @query("n01_topic_classifier", BASE + f"select id, coalesce({topic_case()}, 'cost_of_living') as topic from text_posts")
 def topic_classifier(spark, d):
-    return _text(spark, d).select("id", L.topic_of(HybridMatcher.over(F.col("text"))).alias("topic"))
+    rows, m = _matched(spark, d)
+    return rows.select("id", L.topic_of(m).alias("topic"))
 
 
 @query("n02_matched_keywords", BASE + f"select id, array_to_string({hybrid_hits(ALL_TERMS)}, '|') as keywords from text_posts")
 def matched_keywords(spark, d):
-    return _text(spark, d).select(
-        "id", F.array_join(L.keywords_of(HybridMatcher.over(F.col("text"))), "|").alias("keywords")
-    )
+    rows, m = _matched(spark, d)
+    return rows.select("id", F.array_join(L.keywords_of(m), "|").alias("keywords"))
 
 
 @query(
@@ -103,8 +107,8 @@ select id, coalesce(t, category, 'cost_of_living') as topic,
 from t""",
 )
 def topic_with_source(spark, d):
-    topic = L.topic_of(HybridMatcher.over(F.col("text")))
-    return _text(spark, d).select("id", "category", topic.alias("t")).select(
+    rows, m = _matched(spark, d)
+    return rows.select("id", "category", L.topic_of(m).alias("t")).select(
         "id", F.inline(F.array(L.resolved_topic(F.col("t"), F.col("category"))))
     )
 
@@ -156,7 +160,8 @@ def relevant_rows(spark, d):
 
 @query("n06_local_context", BASE + f"select id, {hybrid(V.LOCAL_CONTEXT_TERMS)} as local from text_posts")
 def local_context(spark, d):
-    return _text(spark, d).select("id", L.has_local_context(HybridMatcher.over(F.col("text"))).alias("local"))
+    rows, m = _matched(spark, d)
+    return rows.select("id", L.has_local_context(m).alias("local"))
 
 
 @query(
@@ -185,7 +190,7 @@ def context_of_parts(spark, d):
 
 @query("n07_relevance_score", BASE + CLEANED + f" select id, {SCORE} as relevance_score from cleaned")
 def relevance_score(spark, d):
-    rows = _text(spark, d).withColumn("_clean", S.clean_markup(F.col("text")))
+    rows = staged(_text(spark, d), {"_clean": S.clean_markup(F.col("text"))})
     return rows.select(
         "id",
         L.relevance_score(
@@ -206,12 +211,13 @@ FLAGS = f"""list_filter([case when {SCORE} < 0 then 'low_relevance' end,
 @query("n10_quality_flags", BASE + CLEANED + f" select id, array_to_string({FLAGS}, '|') as flags from cleaned")
 def quality_flags(spark, d):
     engagement = engagement_total(*[F.col(c) for c in ("like_count", "reply_count", "repost_count", "quote_count")])
-    rows = _text(spark, d).withColumn("_clean", S.clean_markup(F.col("text"))).withColumn("_e", engagement)
+    rows = staged(_text(spark, d), {"_clean": S.clean_markup(F.col("text")), "_e": engagement})
     rows = rows.withColumn("_score", L.relevance_score(F.col("_clean"), F.col("platform"), F.col("_e")))
+    rows, m = HybridMatcher.attach(rows, F.col("text"))
     return rows.select(
         "id",
         F.array_join(
-            L.quality_flags(F.col("text"), F.col("_clean"), F.col("platform"), F.col("url"), F.col("_e"), F.col("_score")), "|"
+            L.quality_flags(F.col("text"), F.col("_clean"), F.col("platform"), F.col("url"), F.col("_e"), F.col("_score"), L.has_local_context(m)), "|"
         ).alias("flags"),
     )
 
@@ -311,8 +317,7 @@ NEWS = _news_sql()
 
 def _news_rows(spark, d):
     rows = staged(_text(spark, d).select("id", "text"), {"_low": F.lower(S.squeeze(F.col("text")))}).drop("text")
-    rows = staged(rows, {"_tok": MT.word_tokens(F.col("_low"))})
-    matcher = WordMatcher(F.col("_low"), F.col("_tok"))
+    rows, matcher = WordMatcher.attach(rows, F.col("_low"))
     return rows.select("*", F.inline(L.news_categories(matcher))), matcher
 
 
@@ -346,8 +351,7 @@ def best_search_phrase(spark, d):
 def phrase_containment(spark, d):
     """Text x search phrases: the first phrase of each category whose words all occur."""
     rows = staged(_text(spark, d).select("text"), {"_low": F.lower(S.squeeze(F.col("text")))}).drop("text")
-    rows = staged(rows, {"_tok": MT.word_tokens(F.col("_low"))})
-    m = WordMatcher(F.col("_low"), F.col("_tok"))
+    rows, m = WordMatcher.attach(rows, F.col("_low"))
     pairs = F.array(
         *[
             F.struct(F.lit(c).alias("category"), L.best_phrase(m, F.lit(c), {c: V.NEWS_SEARCH_PHRASES[c]}).alias("search_term"))

@@ -14,7 +14,7 @@ from tidemark import vocabulary as V
 from tidemark.functions import strings as S
 from tidemark.functions import times
 from tidemark.functions.labels import best_phrase, news_categories
-from tidemark.functions.matching import WordMatcher, word_tokens
+from tidemark.functions.matching import WordMatcher
 from tidemark.functions.staging import staged
 
 LINES_PER_BATCH = 2_000
@@ -116,8 +116,7 @@ def archive_documents(lines: DataFrame, *, collected_at: Column | None = None) -
     """Archive lines to raw stream rows, one per matched category (none if nothing matches)."""
     rows = staged(lines, {"_f": F.split("line", "\t")})
     rows = staged(rows, {"_text": search_text(F.col("_f"))})
-    rows = staged(rows, {"_tok": word_tokens(F.col("_text"))})
-    matcher = WordMatcher(F.col("_text"), F.col("_tok"))
+    rows, matcher = WordMatcher.attach(rows, F.col("_text"))
     rows = rows.select("*", F.inline(news_categories(matcher)))
     field = lambda i: F.coalesce(F.get("_f", F.lit(i)), F.lit(""))
     zero = F.lit(0).cast("bigint")
