@@ -121,7 +121,7 @@ def with_relevance(
     trusted = F.col("_trust") & F.coalesce(F.col("_topic") == F.col("_hint"), F.lit(False))
     cost = found(cost_terms)
     verdict = F.when(F.col("_topic").isin(*strict), keyword & (trusted | cost)).otherwise(keyword | cost)
-    blank = F.length(S.strip_text(m.lowered)) == 0
+    blank = ~F.rlike(m.lowered, F.lit(r"(?U)\S"))
     foreign_only = found(V.FOREIGN_TERMS) & ~found(V.LOCAL_CONTEXT_TERMS)
     stopped = found(V.NOISE_TEXTS) | is_blocked | foreign_only
     return df.withColumn(name, ~blank & ~stopped & verdict).drop(
@@ -213,7 +213,8 @@ def news_categories(
         eligible = overlaps(found, local_terms) & overlaps(found, cost_terms)
         return F.when(eligible, F.array_compact(F.array(*entries)))
 
-    return let(matcher.hits([term for terms in lists for term in terms]), matches)
+    found = let(matcher.hits([term for terms in lists for term in terms]), matches)
+    return F.when(matcher.any(local_terms), found)  # the cheap test first: most texts stop here
 
 
 def best_phrase(matcher: WordMatcher, category: Column, phrases: Taxonomy = V.NEWS_SEARCH_PHRASES) -> Column:

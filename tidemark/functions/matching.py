@@ -17,7 +17,6 @@ Matchers should sit on staged columns (`attach`); `over` is for short strings.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -56,9 +55,9 @@ def _by_shared_part(terms: list[str]) -> list[tuple[str, list[str]]]:
     so a text without the part holds none of its terms."""
     left, groups = list(terms), []
     while left:
-        words = {w for t in left for w in re.findall(r"\w{3,}", t)} or set(left)
-        counts = Counter({w: sum(w in t for t in left) for w in words})
-        part, size = max(counts.items(), key=lambda item: (item[1], len(item[0]), item[0]))
+        words = {w for t in left for w in re.findall(r"\w{4,}", t)}
+        counts = [(sum(w in t for t in left), len(w), w) for w in words]
+        size, _, part = max(counts, default=(0, 0, ""))
         if size <= 1:
             return groups + [(t, [t]) for t in left]
         groups.append((part, [t for t in left if part in t]))

@@ -46,13 +46,16 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+_EDGE = r"[!-/:-@\[-`{-~]*"  # ASCII punctuation
+
+
 def sentiment_tokens(text: Column) -> Column:
-    """White-space tokens without surrounding punctuation; empty ones dropped."""
-    bare = F.transform(
-        F.split(F.lower(F.coalesce(text, F.lit(""))), r"(?U)\s+"),
-        lambda token: F.regexp_replace(token, r"(?U)^[\p{Punct}]+|[\p{Punct}]+$", ""),
-    )
-    return F.filter(bare, lambda token: token != "")
+    """White-space tokens without surrounding punctuation; empty ones dropped.
+
+    Punctuation next to white space is consumed by the separator, so one pass does both.
+    """
+    padded = F.concat(F.lit(" "), F.lower(F.coalesce(text, F.lit(""))), F.lit(" "))
+    return F.filter(F.split(padded, rf"(?U){_EDGE}\s+{_EDGE}"), lambda token: token != "")
 
 
 def normalise(total: Column, alpha: float = V.SENTIMENT_ALPHA) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import vocabulary as V
 from tidemark.functions.labels import Taxonomy
 from tidemark.functions.matching import count_phrase, count_word, letter_tokens, without_stopwords
+from tidemark.functions.staging import staged
 from tidemark.operators.filters import PostFilter, filter_posts, split_csv
 from tidemark.registry import topic_label
 
@@ -74,7 +75,7 @@ def category_keywords(
         rows = bounded_sample(rows, sample_size, sample_key)
     has_raw = "raw_text" in rows.columns
     text = F.coalesce(F.nullif(F.col("text"), F.lit("")), F.col("raw_text")) if has_raw else F.col("text")
-    texts = rows.select("topic", F.lower(F.coalesce(text, F.lit(""))).alias("_text"))
+    texts = staged(rows.select("topic", text.alias("_raw")), {"_text": F.lower(F.coalesce("_raw", F.lit("")))}).drop("_raw")
 
     found = F.lit(None)
     rank = F.lit(None)

@@ -267,7 +267,8 @@ RANKED = OFFICIAL + " select cost_category, item_name from pick_pct where cost_c
 def _picked(spark, d):
     topics = views.posts(spark, d).select(F.col("topic").alias("cost_category")).distinct()
     series = OF.series_of(views.indicators(spark, d), "Percentage change from previous year")
-    return OF.selected_items(topics, series, CANDIDATES)
+    picked = OF.selected_items(series, CANDIDATES)
+    return topics.withColumn("list_name", OF.list_key(CANDIDATES)).join(picked, "list_name").drop("list_name")
 
 
 query("j03_ranked_fallback", RANKED)(_picked)

@@ -18,6 +18,7 @@ from tidemark.plans import views
 from tidemark.plans.catalog import query
 from tidemark.plans.views import TEXT, ctes
 from tidemark.registry import taxonomy_dimension
+from tidemark.session import spread
 
 BASE = ctes(TEXT)
 
@@ -464,7 +465,8 @@ ENTITIES = "replace(replace(replace(replace(replace(t, '&copy;', '©'), '&quot;'
 select page_id, trim(regexp_replace({ENTITIES}, '\\s+', ' ', 'g')) as text from s""",
 )
 def html_to_text(spark, d):
-    return views.table(spark, d, "pages").select("page_id", S.html_to_text(F.col("html")).alias("text"))
+    pages = spread(views.table(spark, d, "pages").select("page_id", "html"), "page_id")
+    return pages.select("page_id", S.html_to_text(F.col("html")).alias("text"))
 
 
 @query(

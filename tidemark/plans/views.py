@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import spread
+
 AS_OF = "2001-08-10 00:00:00"
 
 
@@ -197,7 +199,7 @@ def text_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw posts with whole texts, from documents."""
     phrases = F.array(*[F.lit(p) for p in PHRASES])
     return (
-        table(spark, sf_dir, "documents")
+        spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"), "doc_id")
         .select(
             "doc_id", "lang", "source",
             F.concat(F.col("text"), F.lit(" "), F.element_at(phrases, (F.col("doc_id") % 24 + 1).cast("int"))).alias("text"),
