@@ -16,6 +16,7 @@ from tidemark.registry import group_platforms, social_platforms
 
 TIME_FIELDS = ("created_at", "harvested_at", "processed_at")
 QUALITY_MODES = ("all", "clean")
+MONTH = "created_month"  # partition column of stored posts, `yyyy-MM` of created_at
 
 
 def split_csv(value: str | None) -> list[str]:
@@ -88,6 +89,17 @@ def in_time_range(column: Column, start: str | None, end: str | None) -> Column:
     return condition
 
 
+def in_months(start: str | None, end: str | None) -> Column:
+    """The same range on the month partition, so that other partitions are not listed or read."""
+    month = lambda value: times.period_of(F.to_timestamp(F.lit(value)), "month")
+    condition = F.lit(True)
+    if start:
+        condition = condition & (F.col(MONTH) >= month(start))
+    if end:
+        condition = condition & (F.col(MONTH) <= month(end))
+    return condition
+
+
 def filter_posts(df: DataFrame, f: PostFilter = PostFilter(), *, processed_only: bool = True) -> DataFrame:
     """Processed rows that pass every given argument."""
     if processed_only:
@@ -100,6 +112,8 @@ def filter_posts(df: DataFrame, f: PostFilter = PostFilter(), *, processed_only:
         df = df.where(F.col("platform").isin(group_platforms()[f.source_group]))
     if f.start or f.end:
         df = df.where(in_time_range(F.col(f.time_field), f.start, f.end))
+        if f.time_field == "created_at" and MONTH in df.columns:
+            df = df.where(in_months(f.start, f.end))
     if flags := excluded_flags(f.quality, f.exclude_quality_flags):
         df = df.where(~carries_flag(flags))
     return df

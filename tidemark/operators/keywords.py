@@ -92,7 +92,9 @@ def category_keywords(
         .groupBy("topic", "keyword").agg(F.sum("n").alias("frequency"))
         .withColumn("_rank", rank.cast("bigint"))
     )
-    missing = texts.join(F.broadcast(counts.select("topic").distinct()), "topic", "left_anti")  # <= len(taxonomy) rows
+    # at most len(topics) rows; summing the frequency keeps the plan below equal, so its shuffle is reused
+    covered = counts.groupBy("topic").agg(F.sum("frequency").alias("_f")).where("_f > 0").select("topic")
+    missing = texts.join(F.broadcast(covered), "topic", "left_anti")
     tokens = (
         missing.select("topic", F.explode(without_stopwords(letter_tokens(F.col("_text")), stopwords)).alias("keyword"))
         .groupBy("topic", "keyword").agg(F.count(F.lit(1)).alias("frequency"))
@@ -101,7 +103,7 @@ def category_keywords(
     order = Window.partitionBy("topic").orderBy(F.col("frequency").desc(), "_rank", "keyword")
     return (
         counts.unionByName(tokens)
-        .withColumn("rank", F.row_number().over(order))
+        .withColumn("rank", F.row_number().over(order).cast("bigint"))
         .where(F.col("rank") <= limit)
         .select(
             F.col("topic").alias("cost_category"), topic_label(F.col("topic")).alias("category_label"),

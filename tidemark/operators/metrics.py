@@ -13,11 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark import vocabulary as V
 from tidemark.functions import numbers as N
 from tidemark.functions import strings as S
 from tidemark.functions import times
-from tidemark.operators.filters import PostFilter, carries_flag, check_period, filter_posts, is_clean
+from tidemark.operators.filters import PostFilter, check_period, filter_posts, is_clean
 from tidemark.registry import group_of, topic_label
 
 LABELS = ("positive", "neutral", "negative")
@@ -224,7 +223,7 @@ def fill_gaps(trend: DataFrame, first: str, last: str, categories: Sequence[str]
 def latest_periods(periods: DataFrame, count: int = 24) -> DataFrame:
     """The latest observed periods with their position, oldest first. Top-k first: at most `count` rows sort."""
     kept = periods.select("period").distinct().orderBy(F.col("period").desc()).limit(count)
-    return kept.withColumn("position", F.row_number().over(Window.orderBy("period")))
+    return kept.withColumn("position", F.row_number().over(Window.orderBy("period")).cast("bigint"))
 
 
 def yoy_change(df: DataFrame, f: PostFilter = PostFilter()) -> DataFrame:

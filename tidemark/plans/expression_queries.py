@@ -42,7 +42,7 @@ SQUEEZED = r"trim(regexp_replace(text, '\s+', ' ', 'g'))"
 text("e01_clean_markup", lambda: S.clean_markup(T()), CLEAN)
 text("e02_fold", lambda: F.sha1(S.fold(T())), "sha1(lower(text))")
 text("e03_compact", lambda: F.sha1(S.compact(T())), f"sha1({SQUEEZED})")
-text("e05_squeeze", lambda: F.length(S.squeeze(T())), f"length({SQUEEZED})")
+text("e05_squeeze", lambda: F.length(S.squeeze(T())).cast("bigint"), f"length({SQUEEZED})")
 text(
     "e06_hybrid_match",
     lambda: HybridMatcher.over(T()).any(["rent", "the", "cost-of-living", "power bill"]),
@@ -133,7 +133,7 @@ expression(
 )
 
 
-@query("e14_column_by_prefix", "select s_suppkey, s_name as value, null as missing from supplier")
+@query("e14_column_by_prefix", "select s_suppkey, s_name as value, cast(null as varchar) as missing from supplier")
 def column_by_prefix(spark, d):
     """Columns named `CODE` or `CODE: label`, resolved once against the schema."""
     from tidemark.sources.indicators import optional_column, required_column

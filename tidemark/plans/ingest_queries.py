@@ -261,7 +261,7 @@ LOCAL = bounded(V.SOCIAL_LOCAL_TERMS["bluesky"], "lower(concat(text, ' ', source
     "s08_social_search",
     BASE + f""", n as (select *, trim(regexp_replace(text, '\\s+', ' ', 'g')) as t, case when doc_id % 10 <> 9 then concat('at://', id) when doc_id % 20 <> 19 then concat('cid-', doc_id) end as sid from text_posts)
 select concat('bluesky:', sid) as _id, coalesce(category, 'housing') as category, sid as source_id, source as author_handle, lang as author_display_name, sha1(t) as text_key,
-  strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') as created_at, like_count, 0 as quote_count, case when category = 'fuel' then 'fuel terms' else 'rent prices' end as search_term
+  strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') as created_at, like_count, cast(0 as bigint) as quote_count, case when category = 'fuel' then 'fuel terms' else 'rent prices' end as search_term
   from n where sid is not null and {LOCAL}""",
 )
 def social_search(spark, d):

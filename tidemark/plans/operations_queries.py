@@ -331,7 +331,7 @@ def series_order(spark, d):
 
     series = OF.series_of(views.indicators(spark, d), "Index numbers")
     rank = F.row_number().over(Window.partitionBy("item_name").orderBy("period"))
-    return series.select("item_name", "period", rank.alias("rank"))
+    return series.select("item_name", "period", rank.cast("bigint").alias("rank"))
 
 
 # ------------------------------------------------------------------ event logs

@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tidemark import vocabulary as V
 from tidemark.functions import numbers as N
 from tidemark.functions import strings as S
 from tidemark.functions import times
 from tidemark.operators import metrics as M
-from tidemark.operators.filters import PostFilter, filter_posts, in_time_range, is_clean, is_processed
+from tidemark.operators.filters import PostFilter, filter_posts, is_clean, is_processed
 from tidemark.plans import views
 from tidemark.plans.catalog import query
 from tidemark.plans.views import LABELS, POSTS, ctes
-from tidemark.registry import group_of, label_dimension, source_dimension
+from tidemark.registry import label_dimension, source_dimension
 
 
 def r4(expression: str) -> str:
@@ -36,7 +35,6 @@ SENT = f"""{mean4()} as avg_sentiment,
   {r4("count(*) filter (where sentiment_label = 'neutral') / count(*)")} as neutral_ratio,
   {r4("count(*) filter (where sentiment_label = 'negative') / count(*)")} as negative_ratio"""
 BASE = ctes(POSTS, LABELS)
-IDS = "select raw_id from"
 
 
 def _ids(f: PostFilter):
@@ -374,7 +372,7 @@ def min_max_scaled(spark, d):
 # ------------------------------------------------------- sorts, limits, top-k
 # The compare ignores row order, so each sort is checked through its rank.
 def _ranked(df, *order):
-    return df.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    return df.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
 @query("o01_counts_desc", BASE + """select topic as cost_category, count(*) as document_count,

@@ -10,10 +10,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.filters import MONTH
 from tidemark.operators.latest import last_per_key
 
-MONTH = "created_month"
-
 
 def with_month(df: DataFrame, ts: str = "created_at") -> DataFrame:
     """Partition column; rows without a time go to the partition `none`."""
