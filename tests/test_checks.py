@@ -35,6 +35,9 @@ def test_query_matches_sql(spark, duck, small_dir, name):
     df = QUERIES[name](spark, small_dir)
     expected = duck.sql(CHECKS[name])
     assert sorted(df.columns) == sorted(expected.columns)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert operator not in plan
     assert _rows(df.collect(), df.columns) == _rows(expected.fetchall(), expected.columns)
 
 

@@ -58,14 +58,16 @@ def test_archive_files_end_to_end(spark, tmp_path):
         f"1 {'0' * 32} http://x/20250101003000.gkg.csv.zip",
     ]
     manifest = AR.parse_manifest(local_table(spark, {"value": lines}))
-    verified = AR.verify_archives(manifest, AR.read_archive_files(spark, str(tmp_path)))
+    (tmp_path / "20250101004500.gkg.csv.zip").write_bytes(b"no zip at all")
+    files = AR.read_archive_files(spark, str(tmp_path))
+    verified = AR.verify_archives(manifest, files)
     assert [r["archive_id"] for r in AR.rejected(verified).collect()] == ["20250101003000"]
-    unpacked = AR.archive_lines(AR.accepted(verified))
-    assert unpacked.count() == 2
-    docs = AR.archive_documents(unpacked).collect()
+    unpacked = AR.archive_lines(files)
+    assert AR.keep_verified(unpacked, manifest).count() == 2
+    docs = AR.archive_documents(unpacked, manifest).collect()
     assert [(d["_id"], d["category"], d["search_term"]) for d in docs] == [("rec-1:housing", "housing", "rent increase australia")]
     assert "australia" in docs[0]["matched_terms"] and docs[0]["platform"] == "gdelt"
-    unified = SR.unify(AR.archive_documents(unpacked), SOURCES[2]).first()
+    unified = SR.unify(AR.archive_documents(unpacked, manifest), SOURCES[2]).first()
     assert unified["like_count"] is None and unified["created_at"].isoformat() == "2025-01-01T00:15:00"
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import vocabulary as V
 from tidemark.functions import numbers as N
 from tidemark.functions import strings as S
-from tidemark.functions.matching import HybridMatcher, WordMatcher, _literals, contains_term, let, overlaps
+from tidemark.functions.matching import HybridMatcher, WordMatcher, _literals, contains_term, let, overlaps, plain_tokens
 from tidemark.functions.staging import staged
 from tidemark.registry import social_platforms
 
@@ -66,10 +66,13 @@ def resolved_topic(text_topic: Column, harvest_category: Column, default: str =
 
 def topic_of_seed(seed: Column, taxonomy: Taxonomy = V.TAXONOMY, default: str = V.DEFAULT_TOPIC) -> Column:
     """Topic hint of a search seed; null for generic seeds and for seeds that match nothing."""
-    plain = F.replace(S.strip_text(F.lower(seed)), F.lit("_"), F.lit(" "))
+    lowered = F.lower(F.coalesce(seed, F.lit("")))
+    plain = F.replace(S.strip_text(lowered), F.lit("_"), F.lit(" "))
     named = first_of([(plain == topic.replace("_", " "), topic) for topic in taxonomy])
-    matched = F.nullif(topic_of(HybridMatcher.over(seed), taxonomy, default), F.lit(default))
-    return F.when(plain.isin(*V.GENERIC_SEEDS), F.lit(None)).otherwise(F.coalesce(named, matched))
+    both = F.struct(lowered.alias("low"), plain_tokens(lowered).alias("tok"))
+    matched = let(both, lambda s: topic_of(HybridMatcher(s["low"], s["tok"]), taxonomy, default))
+    hint = F.coalesce(named, F.nullif(matched, F.lit(default)))
+    return F.when(~plain.isin(*V.GENERIC_SEEDS), hint)
 
 
 def has_local_context(matcher: HybridMatcher, terms: Sequence[str] = V.LOCAL_CONTEXT_TERMS) -> Column:

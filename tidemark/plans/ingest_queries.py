@@ -126,18 +126,21 @@ def _archive_files(spark, d):
     )
 
 
-def _verified(spark, d):
-    """Every ninth archive has a wrong checksum in the manifest."""
+def _archives(spark, d):
+    """(manifest, files); every ninth archive has a wrong checksum in the manifest."""
     path = scratch_dir(spark, "archives")
-    _archive_files(spark, d).write.parquet(path)  # bytes are made once; both sides below read them
+    _archive_files(spark, d).write.parquet(path)  # bytes are made once; manifest and contents both read them
     files = spark.read.parquet(path)
+    return archive_manifest_of(files), files
+
+
+def archive_manifest_of(files):
     bad = F.col("archive_id").cast("bigint") % 9 == 0
-    manifest = files.select(
+    return files.select(
         "archive_id", F.to_timestamp("archive_id", "yyyyMMddHHmmss").alias("archive_time"),
         F.concat(F.lit("http://data.example.org/"), F.col("archive_id"), F.lit(".gkg.csv.zip")).alias("url"),
         F.when(bad, F.lit("0" * 32)).otherwise(F.md5("content")).alias("md5"),
     )
-    return AR.verify_archives(manifest, files)
 
 
 ARCHIVED = BASE + """, arch as (select *, strftime(timestamp '2025-01-01' + to_minutes(cast(15 * (doc_id // 20) as int)), '%Y%m%d%H%M%S') as archive_id from text_posts),
@@ -147,18 +150,19 @@ low as (select *, trim(regexp_replace(lower(concat_ws(' ', concat(source, '.exam
 
 @query("s05_archive_lines", ARCHIVED + " select archive_id, count(*) as lines from ok_arch group by 1")
 def archive_lines(spark, d):
-    lines = AR.archive_lines(AR.accepted(_verified(spark, d)))
-    return lines.groupBy("archive_id").agg(F.count(F.lit(1)).alias("lines"))
+    manifest, files = _archives(spark, d)
+    counts = AR.archive_lines(files).groupBy("archive_id", "actual_md5").agg(F.count(F.lit(1)).alias("lines"))
+    return AR.keep_verified(counts, manifest).select("archive_id", "lines")
 
 
 @query("s06_checksum_rejects", ARCHIVED + " select distinct archive_id, 'md5 mismatch' as error from arch where cast(archive_id as bigint) % 9 = 0")
 def checksum_rejects(spark, d):
-    return AR.rejected(_verified(spark, d)).select("archive_id", "error")
+    return AR.rejected(AR.verify_archives(*_archives(spark, d))).select("archive_id", "error")
 
 
 @query("j13_manifest_content_join", ARCHIVED + " select cast(archive_id as bigint) % 9 <> 0 as valid, count(distinct archive_id) as archives from arch group by 1")
 def manifest_content_join(spark, d):
-    return _verified(spark, d).groupBy("valid").agg(F.count(F.lit(1)).alias("archives"))
+    return AR.verify_archives(*_archives(spark, d)).groupBy("valid").agg(F.count(F.lit(1)).alias("archives"))
 
 
 def _category_rows() -> str:
@@ -182,7 +186,8 @@ def _category_rows() -> str:
   concat(source, '.example.org') as domain, sha1(t) as text_key, archive_id as gkg_file_id, hits as matched_terms, '-2.5' as tone from rows_of""",
 )
 def archive_documents(spark, d):
-    rows = AR.archive_documents(AR.archive_lines(AR.accepted(_verified(spark, d))), collected_at=views.as_of())
+    manifest, files = _archives(spark, d)
+    rows = AR.archive_documents(AR.archive_lines(files), manifest, collected_at=views.as_of())
     return rows.select(
         "_id", "category", "search_term", "source_id", "url", "domain", F.sha1("text").alias("text_key"), "gkg_file_id",
         F.array_join("matched_terms", "|").alias("matched_terms"), "tone",
@@ -191,8 +196,10 @@ def archive_documents(spark, d):
 
 @query("p06_search_text", ARCHIVED + " select id, sha1(t) as text_key from low")
 def search_text(spark, d):
-    lines = AR.archive_lines(AR.accepted(_verified(spark, d))).select(F.split("line", "\t").alias("f"))
-    return lines.select(F.col("f")[0].alias("id"), F.sha1(AR.search_text(F.col("f"))).alias("text_key"))
+    manifest, files = _archives(spark, d)
+    fields = F.split("line", "\t")
+    texts = AR.archive_lines(files).select("archive_id", "actual_md5", fields[0].alias("id"), F.sha1(AR.search_text(fields)).alias("text_key"))
+    return AR.keep_verified(texts, manifest).select("id", "text_key")
 
 
 # ----------------------------------------------------------------- indicators

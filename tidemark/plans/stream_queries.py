@@ -12,7 +12,7 @@ from tidemark.functions.sentiment import lexicon_scorer
 from tidemark.operators import routing as RO
 from tidemark.plans import views
 from tidemark.plans.catalog import query
-from tidemark.plans.ingest_queries import TSF, UNIFIED, VERSIONS, _archive_files, _category_rows, ARCHIVED
+from tidemark.plans.ingest_queries import TSF, UNIFIED, VERSIONS, _archive_files, _category_rows, ARCHIVED, archive_manifest_of
 from tidemark.plans.post_queries import mean4, r4
 from tidemark.plans.text_queries import ENRICHED
 from tidemark.plans.views import AS_OF, LABELS, LIFECYCLE, MESSAGES, POSTS, RAW, REQUESTS, ctes
@@ -87,12 +87,7 @@ def _landed_archives(spark, d):
     named = files.select(F.concat(F.lit("/landing/"), "archive_id", F.lit(".gkg.csv.zip")).alias("path"), "archive_id", "content")
     named.repartition(4).write.parquet(path)
     stored = spark.read.parquet(path)
-    bad = F.col("archive_id").cast("bigint") % 9 == 0
-    manifest = stored.select(
-        "archive_id", F.to_timestamp("archive_id", "yyyyMMddHHmmss").alias("archive_time"),
-        F.concat(F.lit("http://data.example.org/"), F.col("archive_id"), F.lit(".gkg.csv.zip")).alias("url"),
-        F.when(bad, F.lit("0" * 32)).otherwise(F.md5("content")).alias("md5"),
-    )
+    manifest = archive_manifest_of(stored)
     stream = J.file_stream(spark, path, _ddl(stored), file_format="parquet", files_per_batch=2)
     return stream, stored.select("archive_id", "content"), manifest
 

@@ -117,17 +117,17 @@ def topic_with_source(spark, d):
 @query(
     "n04_topic_of_seed",
     BASE + f""", seeds as (select doc_id, case doc_id % 5 when 0 then ' Eating_Out ' when 1 then 'cost-of-living' when 2 then 'rent ' || lang
-  when 3 then 'home goods' else left(text, 40) end as seed from text_posts)
+  when 3 then 'home goods' else text end as seed from text_posts)
 select doc_id, case when trim(lower(replace(seed, '_', ' '))) in ('cost of living','cost-of-living','living costs','rising costs','rising prices') then null
   when trim(lower(replace(seed, '_', ' '))) in ({', '.join(q(t.replace('_', ' ')) for t in V.TAXONOMY)}) then replace(trim(lower(replace(seed, '_', ' '))), ' ', '_')
   else {topic_case('lower(seed)')} end as topic from seeds""",
 )
 def topic_of_seed(spark, d):
-    """Seeds are short search strings; here they are made from the documents."""
+    """Topic names, generic phrases, short queries and whole texts as seeds."""
     seeds = _text(spark, d).selectExpr(
         "doc_id",
         "case doc_id % 5 when 0 then ' Eating_Out ' when 1 then 'cost-of-living' when 2 then concat('rent ', lang) "
-        "when 3 then 'home goods' else left(text, 40) end as seed",
+        "when 3 then 'home goods' else text end as seed",
     )
     return seeds.select("doc_id", L.topic_of_seed(F.col("seed")).alias("topic"))
 

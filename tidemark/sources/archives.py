@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
+import itertools
 import zipfile
 from collections.abc import Iterator
 
@@ -18,7 +20,7 @@ from tidemark.functions.matching import WordMatcher
 from tidemark.functions.staging import staged
 
 LINES_PER_BATCH = 2_000
-ARCHIVE_LINES = "archive_id string, url string, sequence bigint, line string"
+ARCHIVE_LINES = "archive_id string, actual_md5 string, sequence bigint, line string"
 
 
 def parse_manifest(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -58,16 +60,18 @@ def read_archive_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def verify_archives(manifest: DataFrame, files: DataFrame) -> DataFrame:
-    """Manifest rows with their content and `valid`: checksum equal, or none given. One join; callers split
-    it into accepted and rejected rows."""
-    joined = manifest.join(files, "archive_id")
-    return joined.withColumn("actual_md5", F.md5("content")).withColumn(
+    """Manifest rows of the landed files with their checksum and `valid`: equal, or none given.
+
+    Contents are reduced to checksums before the join; no archive is shuffled.
+    """
+    sums = files.select("archive_id", F.md5("content").alias("actual_md5"))
+    return manifest.join(sums, "archive_id").withColumn(
         "valid", (F.col("md5") == "") | (F.col("md5") == F.col("actual_md5"))
     )
 
 
 def accepted(verified: DataFrame) -> DataFrame:
-    return verified.where("valid").select("archive_id", "archive_time", "url", "content")
+    return verified.where("valid").select("archive_id", "archive_time", "url")
 
 
 def rejected(verified: DataFrame) -> DataFrame:
@@ -76,33 +80,44 @@ def rejected(verified: DataFrame) -> DataFrame:
     )
 
 
+def keep_verified(rows: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Rows whose archive is in the manifest with the checksum they were read under, with the archive's url."""
+    known = manifest.select("archive_id", "md5", F.col("url").alias("archive_url"))
+    joined = rows.join(known, "archive_id")
+    return joined.where((F.col("md5") == "") | (F.col("md5") == F.col("actual_md5"))).drop("md5", "actual_md5")
+
+
 def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """First member of each zip, line by line; undecodable bytes are replaced."""
+    """First member of each zip, line by line; undecodable bytes are replaced. A file that is no zip has
+    no lines: its checksum tells whether it was expected."""
     for batch in batches:
-        for archive_id, url, content in zip(batch["archive_id"], batch["url"], batch["content"]):
+        for archive_id, content in zip(batch["archive_id"], batch["content"]):
+            if not zipfile.is_zipfile(io.BytesIO(content)):
+                continue
+            checksum = hashlib.md5(content).hexdigest()
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
                 with archive.open(archive.namelist()[0]) as member:
-                    lines: list[str] = []
-                    done = 0
-                    for line in io.TextIOWrapper(member, encoding="utf-8", errors="replace"):
-                        lines.append(line.rstrip("\n"))
-                        if len(lines) == LINES_PER_BATCH:
-                            yield _frame(archive_id, url, done, lines)
-                            done, lines = done + len(lines), []
-                    if lines:
-                        yield _frame(archive_id, url, done, lines)
-
-
-def _frame(archive_id: str, url: str, done: int, lines: list[str]) -> pd.DataFrame:
-    return pd.DataFrame(
-        {"archive_id": archive_id, "url": url, "sequence": range(done + 1, done + len(lines) + 1), "line": lines}
-    )
+                    text = io.TextIOWrapper(member, encoding="utf-8", errors="replace")
+                    start = 1
+                    while lines := [line.rstrip("\n") for line in itertools.islice(text, LINES_PER_BATCH)]:
+                        yield pd.DataFrame(
+                            {
+                                "archive_id": archive_id,
+                                "actual_md5": checksum,
+                                "sequence": range(start, start + len(lines)),
+                                "line": lines,
+                            }
+                        )
+                        start += len(lines)
+
 
+def archive_lines(files: DataFrame) -> DataFrame:
+    """(archive_id, actual_md5, sequence, line) of archive files.
 
-def archive_lines(archives: DataFrame) -> DataFrame:
-    """(archive_id, url, sequence, line). Spark has no zip codec, so tasks unpack their own archives; a
-    task holds one archive and a batch of lines at a time."""
-    return archives.select("archive_id", "url", "content").mapInPandas(_unzip, ARCHIVE_LINES)
+    Spark has no zip codec, so each task unpacks the files of its own split (their total size is bounded by
+    `spark.sql.files.maxPartitionBytes`), one archive and one batch of lines at a time.
+    """
+    return files.select("archive_id", "content").mapInPandas(_unzip, ARCHIVE_LINES)
 
 
 def search_text(fields: Column) -> Column:
@@ -112,12 +127,16 @@ def search_text(fields: Column) -> Column:
     return F.lower(S.squeeze(F.array_join(filled, " ")))
 
 
-def archive_documents(lines: DataFrame, *, collected_at: Column | None = None) -> DataFrame:
-    """Archive lines to raw stream rows, one per matched category (none if nothing matches)."""
+def archive_documents(lines: DataFrame, manifest: DataFrame, *, collected_at: Column | None = None) -> DataFrame:
+    """Archive lines to raw stream rows, one per matched category (none if nothing matches).
+
+    Lines are filtered where they are unpacked; only the few that match meet the manifest, which drops
+    those of archives with a wrong checksum.
+    """
     rows = staged(lines, {"_f": F.split("line", "\t")})
     rows = staged(rows, {"_text": search_text(F.col("_f"))})
     rows, matcher = WordMatcher.attach(rows, F.col("_text"))
-    rows = rows.select("*", F.inline(news_categories(matcher)))
+    rows = keep_verified(rows.select("*", F.inline(news_categories(matcher))), manifest)
     field = lambda i: F.coalesce(F.get("_f", F.lit(i)), F.lit(""))
     zero = F.lit(0).cast("bigint")
     return rows.select(
@@ -129,7 +148,7 @@ def archive_documents(lines: DataFrame, *, collected_at: Column | None = None) -
         F.col("_text").alias("text"),
         F.date_format(times.stamp_time(F.col("archive_id")), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("created_at"),
         *[zero.alias(c) for c in ("like_count", "reply_count", "repost_count", "quote_count")],
-        F.col("archive_id").alias("gkg_file_id"), F.col("url").alias("gkg_url"),
+        F.col("archive_id").alias("gkg_file_id"), F.col("archive_url").alias("gkg_url"),
         *[
             field(i).alias(name)
             for i, name in ((7, "themes"), (8, "v2themes"), (9, "locations"), (10, "v2locations"),

@@ -20,7 +20,7 @@ from tidemark.operators.enrich import enrich
 from tidemark.operators.filters import PostFilter, filter_posts
 from tidemark.operators.metrics import LABELS, category, with_label
 from tidemark.operators.routing import MAX_ATTEMPTS, decode_messages, merge_runs, route_messages, run_parts
-from tidemark.registry import SourceSpec
+from tidemark.registry import MAX_BROADCAST_ROWS, SourceSpec
 from tidemark.sources import archives as AR
 from tidemark.sources import sinks as K
 from tidemark.sources.streams import unify
@@ -97,10 +97,10 @@ def ingest_archives(stream: DataFrame, manifest: DataFrame, table: str, rejects:
         files = batch.select(
             F.regexp_extract("path", r"/(\d{14})\.gkg\.csv\.zip$", 1).alias("archive_id"), "content"
         )
-        verified = AR.verify_archives(manifest, files)
-        documents = AR.archive_documents(AR.archive_lines(AR.accepted(verified)), collected_at=collected_at)
+        documents = AR.archive_documents(AR.archive_lines(files), manifest, collected_at=collected_at)
         K.insert_if_absent(K.with_month(documents.withColumn("_t", times.any_time(F.col("created_at"))), "_t").drop("_t"), table, key="_id")
-        K.insert_if_absent(AR.rejected(verified), rejects, key="archive_id", partition=None)
+        bad = AR.rejected(AR.verify_archives(manifest, files))
+        K.insert_if_absent(bad, rejects, key="archive_id", partition=None)
 
     return run_available(stream, body, checkpoint)
 
@@ -119,9 +119,11 @@ def run_backfill(manifest: DataFrame, files: DataFrame, table: str, completed: s
         pending = AR.remaining_archives(manifest, spark.read.parquet(completed))
     if max_archives:
         pending = pending.orderBy("archive_time", "archive_id").limit(max_archives)
-    verified = AR.verify_archives(pending, files)
-    good = AR.accepted(verified)
-    documents = AR.archive_documents(AR.archive_lines(good), collected_at=collected_at).persist()
+    pending = pending.persist()
+    if pending.count() <= MAX_BROADCAST_ROWS:  # a small run skips the other files before unpacking
+        files = files.join(F.broadcast(pending.select("archive_id")), "archive_id", "left_semi")
+    good = AR.accepted(AR.verify_archives(pending, files))
+    documents = AR.archive_documents(AR.archive_lines(files), pending, collected_at=collected_at).persist()
     try:
         stamped = documents.withColumn("_t", times.any_time(F.col("created_at")))
         K.insert_if_absent(K.with_month(stamped, "_t").drop("_t"), table, key="_id")
@@ -133,6 +135,7 @@ def run_backfill(manifest: DataFrame, files: DataFrame, table: str, completed: s
         return done
     finally:
         documents.unpersist()
+        pending.unpersist()
 
 
 def reclaim_stale(raw: DataFrame, as_of: Column, *, minutes: int = 120) -> DataFrame:
