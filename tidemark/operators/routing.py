@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 MESSAGE = "message_id string, kind string, attempts bigint, _corrupt string"
 MAX_ATTEMPTS = 3
+SLICE_MICROS = 10_000  # slice length of a request window
 KEPT_PAYLOAD = 2000  # characters of an undecodable payload kept for the record
 
 
@@ -62,12 +63,12 @@ def window_counts(df: DataFrame, *, seconds: int = 60, limit: int = 600) -> Data
 def window_positions(df: DataFrame, *, seconds: int = 60, limit: int = 600, key: str = "event_id") -> DataFrame:
     """Position of every request in its (client, route, window), and whether it is still allowed.
 
-    A window is cut into one-second slices: rows are ranked inside a slice and shifted by the running
-    total of the earlier slices (at most `seconds` per window). So a busy client is spread over tasks.
+    A window is cut into slices of `SLICE_MICROS`: rows are ranked inside a slice and shifted by the
+    running total of the earlier slices (a fixed number per window). So a busy client is spread over tasks.
     """
     groups = ["client", "route", "window_start"]
     rows = df.withColumn("window_start", window_start(F.col("ts"), seconds)).withColumn(
-        "_slice", F.unix_seconds("ts")
+        "_slice", F.floor(F.unix_micros("ts") / SLICE_MICROS)
     )
     slices = rows.groupBy(*groups, "_slice").agg(F.count(F.lit(1)).alias("_c"))
     before = F.sum("_c").over(
