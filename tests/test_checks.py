@@ -8,9 +8,10 @@ import decimal
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.plans import catalog
 
-QUERIES = entry.queries()
-CHECKS = entry.oracle_sql()
+QUERIES = catalog.QUERIES
+CHECKS = catalog.CHECKS
 
 
 def _value(v):
