@@ -8,8 +8,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, hilbert_shards, html_extract, language_id, packing, quality_rules, simhash
-from tidemark.session import tune
+from tidemark.llm import (
+    bpe, hilbert_shards, html_extract, jaccard_join, language_id, packing, quality_rules, simhash, suffix_dedup, token_files,
+)
+from tidemark.session import scratch_dir, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,3 +119,23 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document, packed into sequences of 4096 tokens."""
     return packing.pack_documents(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, written, read back and checked."""
+    path = scratch_dir(spark, "token-files")
+    token_files.write_token_files(documents(spark, sf_dir), path, vocabulary("byte_bpe_50k.json"))
+    return token_files.read_token_checksums(spark, path)
+
+
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 200 bytes that start elsewhere too."""
+    return suffix_dedup.removed_digests(documents(spark, sf_dir))
+
+
+@query
+def op7_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with similar sets of word shingles."""
+    return jaccard_join.component_rows(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
