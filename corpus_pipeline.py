@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import language_id, packing, quality_rules
+from tidemark.llm import jaccard_join, language_id, packing, quality_rules, suffix_dedup
 from tidemark.llm.common import saved
 from tidemark.llm.queries import documents, vocabulary
 from tidemark.session import tune
@@ -26,6 +26,18 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return language_id.keep_identified(docs)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id. Texts without words stay."""
+    tune(spark)
+    return jaccard_join.keep_one_per_component(docs)
+
+
+def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that occur elsewhere; a cut character goes as a whole, null texts stay null."""
+    tune(spark)
+    return suffix_dedup.remove_repeats(docs)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 4096 tokens."""
     tune(spark)
@@ -35,6 +47,8 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("quality_rules", quality_stage),
     ("language_id", language_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("repeated_passages", repeat_stage),
     ("packing", packing_stage),
 ]
 
