@@ -7,8 +7,10 @@ grams meet in one task. There a suffix array is built: suffixes smaller than the
 directly, all others are induced by scans over the buckets of first bytes; neighbours that agree on `length` bytes
 are repeats, if they start at different places.
 
-Grams at very many places are dealt by longer common cores for eight ranges of offsets, and equal surroundings are
-counted before they are sent, so that no passage, however common, gathers all its texts in one task.
+Within a text, equal surroundings (periodic text has many) are settled where it is read and stand for one place.
+The surroundings of grams at very many places are reduced to distinct ones before they are sorted and then dealt
+by longer common cores for eight ranges of offsets, so that no passage, however common, gathers all its texts in
+one task.
 
 Null texts are empty; nothing is removed from texts shorter than `length`. Repeated rows are texts that start
 elsewhere: all their bytes go, like those of all copies. Nulls in other columns do no harm. An empty table gives no
@@ -189,153 +191,225 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(text.alias("text"), F.unhex(F.md5(text.cast("binary"))).alias("digest"))
 
 
+def _around(data: bytes, pos: int, length: int) -> tuple[int, bytes]:
+    """(start, bytes) of all strings of `length` bytes that cover the gram at a position."""
+    base = max(0, pos - (length - GRAM))
+    return base, data[base : pos + length]
+
+
+def _settled(data: bytes, where: np.ndarray, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """(kept indices, whether each stands for several places, runs covered by surroundings that occur again here)."""
+    _, group, count = np.unique(hashes, return_inverse=True, return_counts=True)
+    again = np.flatnonzero(count[group] > 1)
+    keep, twice = np.ones(len(where), bool), np.zeros(len(where), bool)
+    seen: dict[bytes, tuple[int, int]] = {}
+    runs: set[tuple[int, int]] = set()
+    for i in again.tolist():
+        base, around = _around(data, int(where[i]), length)
+        first, at = seen.setdefault(around, (i, base))
+        if first == i or len(around) < length:
+            continue
+        keep[i] = False  # the same strings as those around the first place
+        if at != base:
+            twice[first] = True
+            runs.update(((at, at + len(around)), (base, base + len(around))))
+    if runs:
+        low, high = merged(*np.array(sorted(runs)).T)
+        return np.flatnonzero(keep), twice[keep], list(zip(low.tolist(), high.tolist()))
+    return np.flatnonzero(keep), twice[keep], []
+
+
 def places(texts: DataFrame, length: int) -> DataFrame:
-    """(hash, digest, pos) of the sampled places of every text; copies in one task are read once."""
+    """(hash, digest, pos, twice, high) of the sampled places of every text; copies in one task are read once.
+
+    Rows without a hash are runs from `pos` to `high` that are known to be repeated inside the text.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
             for part in text_slices(batch, "text", 4_000_000):
                 data, offsets = text_buffer(part.column(0))
-                hashes, owners, positions = [], [], []
+                columns: list[list[np.ndarray]] = [[], [], [], [], []]
                 for i, digest in enumerate(part.column(1).to_pylist()):
                     if digest in seen:
                         continue
                     seen.add(digest)
-                    where, h = sampled_places(data[offsets[i] : offsets[i + 1]], length)
-                    hashes.append(h)
-                    positions.append(where)
-                    owners.append(np.full(len(where), i))
+                    own = data[offsets[i] : offsets[i + 1]]
+                    where, h = sampled_places(own, length)
+                    kept, twice, runs = _settled(own.tobytes(), where, h, length)
+                    low, high = np.array(runs, np.int64).reshape(-1, 2).T
+                    blank = np.zeros(len(runs), np.int64)
+                    n = len(kept)
+                    for column, values in zip(columns, (
+                        np.concatenate([h[kept].view(np.int64), blank]), np.full(n + len(runs), i), np.concatenate([where[kept], low]),
+                        np.concatenate([twice, blank.astype(bool)]), np.concatenate([np.full(n, -1), high]),
+                    )):
+                        column.append(values)
                 if len(seen) > 1_000_000:
                     seen.clear()
-                if hashes:
-                    rows = pa.array(np.concatenate(owners), pa.int64())
+                if columns[0]:
+                    h, owner, pos, twice, high = (np.concatenate(c) for c in columns)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(hashes).view(np.int64)), part.column(1).take(rows), pa.array(np.concatenate(positions), pa.int64())],
-                        names=["hash", "digest", "pos"],
+                        [pa.array(h, mask=high >= 0), part.column(1).take(pa.array(owner)), pa.array(pos), pa.array(twice), pa.array(high, mask=high < 0)],
+                        names=["hash", "digest", "pos", "twice", "high"],
                     )
 
-    return texts.select("text", "digest").mapInArrow(run, "hash long, digest binary, pos long")
+    return texts.select("text", "digest").mapInArrow(run, "hash long, digest binary, pos long, twice boolean, high long")
 
 
-def surroundings(texts: DataFrame, length: int, hot: int) -> DataFrame:
-    """(digest, base, key, around, hot) of the places whose gram occurs at another place too.
+def surroundings(texts: DataFrame, found: DataFrame, length: int, hot: int) -> DataFrame:
+    """(digest, base, key, around, at, twice, hot) of the places whose gram occurs at another place too.
 
-    `around` holds all strings of `length` bytes that cover the place (for a hot gram: those of one range of
-    offsets) and starts at byte `base`.
+    `around` holds all strings of `length` bytes that cover the gram, which is at `at` in it, and starts at byte `base`; `twice` marks those
+    that stand for several places of their text, `hot` those whose gram is at more than `hot` places.
     """
-    found = saved(places(texts, length), "places")
-    marks = found.select("hash", F.xxhash64("digest", "pos").alias("m"))
-    again = marks.groupBy("hash").agg(F.min("m").alias("a"), F.max("m").alias("b"), F.count("*").alias("n")).filter("a != b")
-    wanted = found.join(again.select("hash", (F.col("n") > hot).alias("hot")), "hash")
-    of_text = wanted.groupBy("digest").agg(F.collect_set(F.struct("pos", "hash", "hot")).alias("places"))
+    grams = found.filter("hash is not null")
+    marks = grams.select("hash", "twice", F.xxhash64("digest", "pos").alias("m"))
+    again = marks.groupBy("hash").agg(F.min("m").alias("a"), F.max("m").alias("b"), F.count("*").alias("n"), F.max("twice").alias("t"))
+    again = again.filter("a != b or t").select("hash", (F.col("n") > hot).alias("hot"))
+    of_text = grams.join(again, "hash").groupBy("digest").agg(F.collect_set(F.struct("pos", "hash", "twice", "hot")).alias("places"))
     once = texts.groupBy("digest").agg(F.first("text").alias("text"))
-    span = -(-(length - GRAM + 1) // _CLASSES)
-
-    def cut(data: bytes, pos: int, key: int, is_hot: bool) -> Iterator[tuple[int, int, bytes]]:
-        last = length - GRAM  # the greatest offset of the place in a string that covers it
-        if not is_hot:
-            base = max(0, pos - last)
-            yield base, key, data[base : pos + length]
-            return
-        for low in range(0, last + 1, span):
-            high = min(low + span - 1, last)
-            if pos - low < 0 or pos + length - high > len(data):
-                continue  # no string of this range fits into the text
-            core = data[pos - low : pos + length - high]
-            base = max(0, pos - high)
-            code = hashlib.blake2b(core, digest_size=8, key=bytes([low // span])).digest()
-            yield base, int.from_bytes(code, "little", signed=True), data[base : pos + length - low]
+    names = ["digest", "base", "key", "around", "at", "twice", "hot"]
+    types = (pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.bool_(), pa.bool_())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["digest", "base", "key", "around", "hot"]
         for batch in batches:
-            rows: list[tuple[bytes, int, int, bytes, bool]] = []
+            rows: list[tuple] = []
             for digest, text, listed in zip(*(batch.column(k) for k in range(3))):
                 data, own = text.as_py().encode(), digest.as_py()
                 for p in listed.as_py():
-                    rows.extend((own, *piece, p["hot"]) for piece in cut(data, p["pos"], p["hash"], p["hot"]))
+                    base, around = _around(data, p["pos"], length)
+                    rows.append((own, base, p["hash"], around, p["pos"] - base, p["twice"], p["hot"]))
                 if len(rows) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _AROUND)], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
                     rows = []
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _AROUND)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     joined = once.join(of_text, "digest").select("digest", "text", "places")
-    return joined.mapInArrow(run, "digest binary, base long, key long, around binary, hot boolean")
-
+    return joined.mapInArrow(run, "digest binary, base long, key long, around binary, at long, twice boolean, hot boolean")
 
-_AROUND = (pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.bool_())
 
-
-def _starts_of(group: list[tuple[int, bytes, bytes, int, int]], length: int) -> tuple[list[int], list[int], list[int]]:
-    """(row, low, high) of the repeated runs of rows (key, around, digest, base, places: more than one or not)."""
+def _starts_of(group: list[tuple], length: int) -> tuple[list[int], list[int], list[int]]:
+    """(row, low, high) of the repeated runs of rows (key, around, digest, base, twice, ...)."""
     index: dict[bytes, list[int]] = {}
+    keys: dict[int, int] = {}  # distinct surroundings of each key
     for i, row in enumerate(group):
+        if row[1] not in index:
+            keys[row[0]] = keys.get(row[0], 0) + 1
         index.setdefault(row[1], []).append(i)
-    strings = list(index)
-    firsts = [group[rows[0]] for rows in index.values()]
-    base = np.array([int.from_bytes(g[2][:8], "little", signed=True) for g in firsts], np.int64)
-    with np.errstate(over="ignore"):
-        base = base * 2 + np.array([g[3] for g in firsts], np.int64)
-    many = np.array([
-        any(group[i][2:4] != group[rows[0]][2:4] for i in rows) or group[rows[0]][4] > 1 for rows in index.values()
-    ])
     out: tuple[list[int], list[int], list[int]] = ([], [], [])
-    for rows, starts in zip(index.values(), repeated_starts(strings, base, many, length)):
-        low, high = merged(starts, starts + length)
+
+    def add(rows: list[int], low: list[int], high: list[int]) -> None:
         for i in rows:
             out[0].extend([i] * len(low))
-            out[1].extend(low.tolist())
-            out[2].extend(high.tolist())
+            out[1].extend(low)
+            out[2].extend(high)
+
+    strings, base, many, members = [], [], [], []
+    for around, rows in index.items():
+        first = group[rows[0]]
+        several = first[4] or any(group[i][2:4] != first[2:4] or group[i][4] for i in rows)
+        if len(around) < length:
+            continue
+        if keys[first[0]] == 1:  # nothing to compare with: all of it is repeated, or nothing
+            if several:
+                add(rows, [0], [len(around)])
+            continue
+        strings.append(around)
+        base.append((int.from_bytes(first[2][:8], "little", signed=True) * 2 + first[3] + (1 << 63)) % (1 << 64) - (1 << 63))
+        many.append(several)
+        members.append(rows)
+    if strings:
+        for rows, starts in zip(members, repeated_starts(strings, np.array(base, np.int64), np.array(many), length)):
+            low, high = merged(starts, starts + length)
+            add(rows, low.tolist(), high.tolist())
     return out
 
 
 def _sorted_groups(rows: DataFrame, length: int) -> DataFrame:
-    """Repeated runs (low, high: bytes of `around`) of rows (digest, base, key, around, places), by groups of one key."""
+    """Repeated runs of rows (key, around, digest, base, twice, code, shift), by groups of one key.
+
+    Returns (digest, code, low, high); low and high are offsets in `around` plus `shift`.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple[int, bytes, bytes, int, int]] = []
+        group: list[tuple] = []
         size, key = 0, None
 
         def flush() -> pa.RecordBatch:
             at, low, high = _starts_of(group, length)
-            arrays = [pa.array([group[i][2] for i in at], pa.binary()), pa.array([group[i][3] for i in at], pa.int64()),
-                      pa.array([group[i][0] for i in at], pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64())]
-            return pa.RecordBatch.from_arrays(arrays, names=["digest", "base", "key", "low", "high"])
+            shift = np.array([group[i][6] for i in at], np.int64)
+            arrays = [pa.array([group[i][2] for i in at], pa.binary()), pa.array([group[i][5] for i in at], pa.binary()),
+                      pa.array(np.array(low, np.int64) + shift), pa.array(np.array(high, np.int64) + shift)]
+            return pa.RecordBatch.from_arrays(arrays, names=["digest", "code", "low", "high"])
 
         for batch in batches:
-            for k, around, digest, base, n in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if k != key and size >= _CHUNK:  # an array holds whole groups
+            for row in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                if row[0] != key and size >= _CHUNK:  # an array holds whole groups
                     yield flush()
                     group, size = [], 0
-                key = k
-                group.append((k, around, digest, base, n))
-                size += len(around)
+                key = row[0]
+                group.append(row)
+                size += len(row[1])
         if group:
             yield flush()
 
-    dealt = rows.select("key", "around", "digest", "base", "places").repartition(shuffle_width(rows), "key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "digest binary, base long, key long, low long, high long")
+    columns = ["key", "around", "digest", "base", "twice", "code", "shift"]
+    dealt = rows.select(*columns).repartition(shuffle_width(rows), "key").sortWithinPartitions("key")
+    return dealt.mapInArrow(run, "digest binary, code binary, low long, high long")
+
+
+def _by_cores(once: DataFrame, length: int) -> DataFrame:
+    """Distinct surroundings of hot grams (code, around, digest, base, twice, at: the gram's offset) as one row for
+    each range of offsets that their strings may have, keyed by the bytes that all strings of the range share."""
+    last = length - GRAM
+    span = -(-(last + 1) // _CLASSES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.binary(), pa.int64())
+        for batch in batches:
+            rows: list[tuple] = []
+            for code, around, digest, base, twice, pos in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                for low in range(0, last + 1, span):
+                    high = min(low + span - 1, last)
+                    if pos - low < 0 or pos + length - high > len(around):
+                        continue  # no string of this range fits into the text
+                    core = hashlib.blake2b(around[pos - low : pos + length - high], digest_size=8, key=bytes([low // span]))
+                    start = max(0, pos - high)
+                    key = int.from_bytes(core.digest(), "little", signed=True)
+                    rows.append((key, around[start : pos + length - low], digest, base + start, twice, code, start))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                                 names=["key", "around", "digest", "base", "twice", "code", "shift"])
+
+    return once.select("code", "around", "digest", "base", "twice", "at").mapInArrow(
+        run, "key long, around binary, digest binary, base long, twice boolean, code binary, shift long"
+    )
 
 
 def repeated_runs(docs: DataFrame, length: int = LENGTH, hot: int = HOT_PLACES) -> DataFrame:
-    """`digest` of each text with repeats and its covered `runs` (low, high), not yet merged."""
+    """`digest` of each text with repeats and lists of its covered `runs` (low, high), not yet merged."""
     texts = keyed(docs)
-    around = saved(surroundings(texts, length, hot), "around")
-    plain = _sorted_groups(around.filter("not hot").withColumn("places", F.lit(1)), length)
-    runs = plain.select("digest", (F.col("base") + F.col("low")).alias("low"), (F.col("base") + F.col("high")).alias("high"))
-    # the surroundings of hot grams are sorted once each and their runs are joined to all their places
-    common = around.filter("hot").withColumn("code", F.unhex(F.md5("around")))
-    once = common.groupBy("key", "code").agg(
-        F.first("around").alias("around"), F.min(F.struct("digest", "base")).alias("o"), F.max(F.struct("digest", "base")).alias("p")
-    ).withColumn("places", F.when(F.col("o") == F.col("p"), 1).otherwise(2))
-    found = _sorted_groups(once.select("key", "around", "places", "o.digest", "o.base"), length)
-    by_code = once.select("key", "code", "o.digest", "o.base").join(found, ["key", "digest", "base"]).select("key", "code", "low", "high")
-    hot_runs = common.select("key", "code", "digest", "base").join(by_code, ["key", "code"])
-    hot_runs = hot_runs.select("digest", (F.col("base") + F.col("low")).alias("low"), (F.col("base") + F.col("high")).alias("high"))
+    found = saved(places(texts, length), "places")
+    around = saved(surroundings(texts, found, length, hot), "around")
+    listed = F.collect_set(F.struct("low", "high")).alias("runs")
+    plain = around.filter("not hot").withColumn("code", F.lit(None).cast("binary")).withColumn("shift", F.col("base"))
+    runs = _sorted_groups(plain, length).groupBy("digest").agg(listed)
+    # distinct surroundings of hot grams are sorted once each, and their runs go to all their places
+    common = around.filter("hot").withColumn("code", F.unhex(F.md5(F.concat(F.col("around"), F.encode(F.concat_ws(":", "key", "at"), "utf-8")))))
+    place = F.struct("digest", "base")
+    once = common.groupBy("code").agg(
+        F.first("around").alias("around"), F.min(place).alias("o"), F.max(place).alias("p"), F.max("twice").alias("t"), F.first("at").alias("at")
+    ).select("code", "around", "o.*", (F.col("t") | (F.col("o") != F.col("p"))).alias("twice"), "at")
+    of_code = _sorted_groups(_by_cores(once, length), length).groupBy("code").agg(listed.alias("rel"))
+    moved = F.transform("rel", lambda r: F.struct((r["low"] + F.col("base")).alias("low"), (r["high"] + F.col("base")).alias("high")))
+    hot_runs = common.select("code", "digest", "base").join(of_code, "code").select("digest", moved.alias("runs"))
     copies = texts.groupBy("digest").agg(F.count("*").alias("n"), F.max(F.octet_length("text")).cast("long").alias("size"))
-    whole = copies.filter((F.col("n") > 1) & (F.col("size") >= length)).select("digest", F.lit(0).cast("long").alias("low"), F.col("size").alias("high"))
-    every = runs.unionByName(hot_runs).unionByName(whole)
-    return saved(every.groupBy("digest").agg(F.collect_set(F.struct("low", "high")).alias("runs")), "runs")
+    span = F.array(F.struct(F.lit(0).cast("long").alias("low"), F.col("size").alias("high")))
+    whole = copies.filter((F.col("n") > 1) & (F.col("size") >= length)).select("digest", span.alias("runs"))
+    inside = found.filter("hash is null").groupBy("digest").agg(F.collect_set(F.struct(F.col("pos").alias("low"), "high")).alias("runs"))
+    every = runs.unionByName(hot_runs).unionByName(whole).unionByName(inside)
+    return saved(every.groupBy("digest").agg(F.flatten(F.collect_set("runs")).alias("runs")), "runs")
 
 
 def cut_rows(docs: DataFrame, runs: DataFrame, columns: list[str], make: Callable[[bytes, np.ndarray, np.ndarray], tuple], schema: str) -> DataFrame:
