@@ -162,7 +162,8 @@ def compare_with_edited(docs: DataFrame) -> DataFrame:
         "edited_sha256": F.sha2(F.col("_edited").cast("binary"), 256),
     })
     keys = ["_row", "doc_id", "_digest", "n_chars", "edited_sha256"]
-    printed = fingerprints(keyed, {"_text": "_own", "_edited": "_other"}, keys)
+    # stored, as the ranges below read it several times
+    printed = saved(fingerprints(keyed, {"_text": "_own", "_edited": "_other"}, keys), "printed")
     followed = with_next(printed, {"_own": "_next_own"})
     return followed.select(
         "doc_id", "n_chars", "edited_sha256", as_hex(F.col("_own")).alias("fingerprint"),
