@@ -20,10 +20,10 @@ def one(spark, text, expression):
 
 
 TOPIC_CASES = [
-    ("My rent is too high", "housing"),
-    ("Electricity bills are painful", "energy"),
-    ("HECS indexation is painful", "debt"),
-    ("Bulk billing gap fees keep rising", "healthcare"),
+    ("They raised the rent again", "housing"),
+    ("Our electricity bills doubled", "energy"),
+    ("HECS indexation hits in June", "debt"),
+    ("No bulk billing left in town", "healthcare"),
     ("Nothing of the kind", "cost_of_living"),
 ]
 
@@ -36,19 +36,19 @@ def test_topics(spark):
 
 def test_keywords(spark):
     m = HybridMatcher.over(F.col("text"))
-    assert "groceries" in one(spark, "Groceries are more expensive", L.keywords_of(m))
-    assert one(spark, "Parental leave", L.keywords_of(m)) == []
+    assert "groceries" in one(spark, "Groceries cost a fortune now", L.keywords_of(m))
+    assert one(spark, "Long service leave", L.keywords_of(m)) == []
     assert one(spark, "a rent increase", L.keywords_of(m)) == ["rent", "rent increase"]
 
 
 RELEVANCE_CASES = [
-    ("Rent free in my head", "housing", False, False),
-    ("Australian renters face rising prices and mortgage stress in Melbourne", "housing", False, True),
-    ("Flexible work in demand as employees try to dodge rising fuel costs", "groceries", False, True),
-    ("Europe has maybe six weeks of jet fuel left", "fuel", False, False),
-    ("Best budget RV and motorhome destinations in Australia", "housing", True, False),
-    ("Aldi, Bunnings and Chemist Warehouse win top customer awards", "", True, False),
-    ("Iran war fuels good news for Ampol and business shares", "", True, False),
+    ("That song lives rent free in my mind", "housing", False, False),
+    ("Australian renters in Melbourne report mortgage stress and higher prices", "housing", False, True),
+    ("Staff ask to work from home while fuel costs keep rising", "groceries", False, True),
+    ("Europe runs low on jet fuel this summer", "fuel", False, False),
+    ("Ten motorhome destinations in Australia for a small budget", "housing", True, False),
+    ("Bunnings and Aldi take home customer awards", "", True, False),
+    ("Good news for Ampol shares as war fuels demand", "", True, False),
     ("A musical about rent increase in Sydney", "housing", False, False),
     ("   ", "housing", True, False),
 ]
@@ -66,10 +66,10 @@ def test_relevance(spark):
 @pytest.mark.parametrize(
     "text, local",
     [
-        ("Perth households face higher grocery prices", True),
-        ("Woolworths shoppers are angry about prices", True),
-        ("US consumer sentiment falls on inflation fears", False),
-        ("Inflation Reduction Act reaction gets worse", False),
+        ("Households in Perth pay more for groceries", True),
+        ("Prices at Woolworths upset many customers", True),
+        ("Inflation worries weigh on US consumer sentiment", False),
+        ("Critics attack the Inflation Reduction Act", False),
     ],
 )
 def test_local_context(spark, text, local):

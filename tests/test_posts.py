@@ -187,12 +187,11 @@ def test_nearest_rank_large_group(spark):
         assert got == want
 
 
-def test_local_dimension_bound(spark, monkeypatch):
+def test_dimensions_are_joined_alike_at_every_size(spark):
     from tidemark import registry
 
-    small = registry.dimension(spark, {"a": [1, 2]})
-    monkeypatch.setattr(registry, "MAX_BROADCAST_ROWS", 1)
-    large = registry.dimension(spark, {"a": [1, 2]})
-    hinted = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-    assert hinted(small) and not hinted(large)
+    for rows in (2, 5000):
+        table = registry.dimension(spark, {"a": list(range(rows))})
+        assert "broadcast" not in table._jdf.queryExecution().analyzed().toString().lower()
+        assert table.count() == rows
     assert local_table(spark, {"a": [1]}).count() == 1

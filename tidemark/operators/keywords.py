@@ -14,12 +14,12 @@ from tidemark.functions.staging import staged
 from tidemark.operators.filters import PostFilter, filter_posts, split_csv
 from tidemark.registry import topic_label
 
-SAMPLE_LOW, SAMPLE_HIGH = 100, 5000
-
 
 def bounded_sample(df: DataFrame, size: int, key: str) -> DataFrame:
-    """Sampling operator: the first rows in key order, size clamped to 100..5000 (a top-k, no full sort)."""
-    return df.orderBy(key).limit(min(max(size, SAMPLE_LOW), SAMPLE_HIGH))
+    """Sampling operator: the first `size` rows in key order (a top-k, no full sort)."""
+    if size < 1:
+        raise ValueError("a sample needs a positive size")
+    return df.orderBy(key).limit(size)
 
 
 def _keyword_counts(text: Column, terms: Sequence[str]) -> Column:

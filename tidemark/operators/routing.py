@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 MESSAGE = "message_id string, kind string, attempts bigint, _corrupt string"
 MAX_ATTEMPTS = 3
 SLICE_MICROS = 10_000  # slice length of a request window
-KEPT_PAYLOAD = 2000  # characters of an undecodable payload kept for the record
 
 
 def decode_messages(df: DataFrame, payload: str = "payload") -> DataFrame:
@@ -22,7 +21,7 @@ def decode_messages(df: DataFrame, payload: str = "payload") -> DataFrame:
         F.when(~poison, F.col("_m.message_id")).alias("message_id"),
         F.when(poison, F.lit("poison_message")).otherwise(F.col("_m.kind")).alias("kind"),
         F.when(poison, F.lit(0)).otherwise(F.coalesce("_m.attempts", F.lit(0))).cast("bigint").alias("attempts"),
-        F.when(poison, F.substring(payload, 1, KEPT_PAYLOAD)).alias("raw_payload"),
+        F.when(poison, F.col(payload)).alias("raw_payload"),
     )
 
 
@@ -85,14 +84,16 @@ def window_positions(df: DataFrame, *, seconds: int = 60, limit: int = 600, key:
 
 
 def recent_events(df: DataFrame, limit: int = 50) -> DataFrame:
-    """Newest events, at most 500. A bounded report."""
-    return df.orderBy(F.col("emitted_at").desc(), "event_id").limit(max(1, min(limit, 500)))
+    """Newest `limit` events: a top-k."""
+    if limit < 1:
+        raise ValueError("a report needs a positive size")
+    return df.orderBy(F.col("emitted_at").desc(), "event_id").limit(limit)
 
 
-def retained_events(df: DataFrame, as_of: Column, *, hours: int = 24, length: int = 500) -> DataFrame:
-    """Retention rule of the event log: the newest `length` events younger than `hours`."""
+def retained_events(df: DataFrame, as_of: Column, *, hours: int = 24, length: int | None = None) -> DataFrame:
+    """Retention rule of the event log: events younger than `hours`; only the newest `length` if it is given."""
     young = df.where(F.col("emitted_at") > as_of - F.make_dt_interval(hours=F.lit(hours)))
-    return young.orderBy(F.col("emitted_at").desc(), "event_id").limit(length)
+    return young if length is None else young.orderBy(F.col("emitted_at").desc(), "event_id").limit(length)
 
 
 RUN_KEYS = ("run_id", "job_name")

@@ -11,7 +11,6 @@ from tidemark.operators.filters import filter_posts, is_error, is_pending, is_st
 from tidemark.operators.metrics import platform_name
 
 STALE_MINUTES = 120
-ERROR_ROWS_LOW, ERROR_ROWS_HIGH = 1, 200
 
 
 def current_status() -> Column:
@@ -100,8 +99,9 @@ def status_histogram(raw: DataFrame) -> DataFrame:
 
 
 def error_logs(raw: DataFrame, size: int = 50, *, function_name: str = "enrichment") -> DataFrame:
-    """Newest error rows, at most 200, in log form. A bounded report: only `size` rows are sorted out."""
-    size = min(max(size, ERROR_ROWS_LOW), ERROR_ROWS_HIGH)
+    """Newest `size` error rows in log form. A top-k: only that many rows are sorted out."""
+    if size < 1:
+        raise ValueError("a report needs a positive size")
     column = lambda n, t="string": F.col(n) if n in raw.columns else F.lit(None).cast(t)
     stamp = F.coalesce(column("analysis_processed_at", "timestamp"), column("harvested_at", "timestamp"))
     return (

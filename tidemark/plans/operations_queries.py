@@ -103,7 +103,7 @@ ERRORS = RAWBASE + """select strftime(harvested_at, '%Y-%m-%d %H:%M:%S') as time
   cast(null as varchar) as source_es_id, cast(null as varchar) as url from raw_posts where analysis_status in ('error', 'failed')"""
 
 
-@query("a17_error_logs", ERRORS + " order by harvested_at desc, id limit 200")
+@query("a17_error_logs", ERRORS + " order by harvested_at desc, id limit 500")
 def error_logs(spark, d):
     return _text_times(ST.error_logs(_raw(spark, d), 500), "timestamp")
 
@@ -115,7 +115,7 @@ def error_total(spark, d):
 
 @query("p09_error_projection", ERRORS + " order by harvested_at desc, id limit 1")
 def error_projection(spark, d):
-    return _text_times(ST.error_logs(_raw(spark, d), 0), "timestamp")
+    return _text_times(ST.error_logs(_raw(spark, d), 1), "timestamp")
 
 
 @query("a20_status_histogram", RAWBASE + "select coalesce(analysis_status, 'pending') as status, count(*) as document_count from raw_posts group by 1")
@@ -356,7 +356,7 @@ def recent_events(spark, d):
 
 @query(
     "r12_retention",
-    LOGGED + "select event_id from logged where emitted_at > timestamp '2024-01-31 12:00:00' - interval 24 hours order by emitted_at desc, event_id limit 500",
+    LOGGED + "select event_id from logged where emitted_at > timestamp '2024-01-31 12:00:00' - interval 24 hours",
 )
 def retention(spark, d):
     as_of = F.lit("2024-01-31 12:00:00").cast("timestamp")
@@ -365,7 +365,7 @@ def retention(spark, d):
 
 @query(
     "e42_json_with_poison",
-    ctes(MESSAGES) + "select event_id, coalesce(kind, 'poison_message') as kind, attempts, case when kind is null then left(payload, 2000) end as raw_payload from messages",
+    ctes(MESSAGES) + "select event_id, coalesce(kind, 'poison_message') as kind, attempts, case when kind is null then payload end as raw_payload from messages",
 )
 def json_with_poison(spark, d):
     return RO.decode_messages(views.messages(spark, d)).select("event_id", "kind", "attempts", "raw_payload")

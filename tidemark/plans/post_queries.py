@@ -402,9 +402,9 @@ def excluded_desc(spark, d):
     return _ranked(out, F.col("excluded_document_count").desc(), "cost_category")
 
 
-@query("o06_bounded_sample", BASE + "select raw_id from posts order by raw_id limit 5000")
+@query("o06_bounded_sample", BASE + "select raw_id from posts order by raw_id limit 9999")
 def bounded_sample(spark, d):
-    """Sampling operator: the size is clamped to 100..5000 and rows are taken in key order."""
+    """Sampling operator: rows are taken in key order."""
     from tidemark.operators.keywords import bounded_sample as sample
 
     return sample(filter_posts(views.posts(spark, d)), 9999, "raw_id").select("raw_id")

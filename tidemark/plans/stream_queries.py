@@ -223,7 +223,7 @@ def running_attempts(spark, d):
     return spark.read.parquet(table).select("message_id", "attempts")
 
 
-@query("r09_poison_messages", ctes(MESSAGES) + "select event_id, left(payload, 2000) as raw_payload from messages where kind is null")
+@query("r09_poison_messages", ctes(MESSAGES) + "select event_id, payload as raw_payload from messages where kind is null")
 def poison_messages(spark, d):
     return RO.decode_messages(views.messages(spark, d)).where(F.col("kind") == "poison_message").select("event_id", "raw_payload")
 

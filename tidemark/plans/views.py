@@ -180,8 +180,8 @@ PHRASES = (
     "Wages are not great, no pay rise",
     "HECS debt and student debt repayments",
     "School fees and childcare fees are rising in Perth",
-    "Europe has maybe six weeks of jet fuel left",
-    "Rent free in my head",
+    "Europe runs low on jet fuel this summer",
+    "That song lives rent free in my mind",
     "Register for the school ranking webinar, buy now",
     "Housing affordability: no-grounds evictions in Tasmania",
     "A West End musical about a landlord in Brisbane",

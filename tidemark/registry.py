@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from tidemark import vocabulary as V
 
-# Dimension rows that may be broadcast. Larger ones are joined by shuffle.
-MAX_BROADCAST_ROWS = 100_000
-
 
 @dataclass(frozen=True)
 class SourceSpec:
@@ -78,10 +75,8 @@ def local_table(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
 
 
 def dimension(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
-    """A dimension table; hinted for broadcast only when its row count is under the bound."""
-    table = local_table(spark, columns)
-    rows = len(next(iter(columns.values())))
-    return F.broadcast(table) if rows <= MAX_BROADCAST_ROWS else table
+    """A dimension table: a local relation of known size, so the planner chooses how it is joined."""
+    return local_table(spark, columns)
 
 
 def source_dimension(spark: SparkSession, sources: Iterable[SourceSpec] = SOURCES) -> DataFrame:

@@ -28,10 +28,13 @@ def tune(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared folder named by `spark.checkpoint.dir`.
 
-    Only where that setting is absent (tests, local runs) a local folder is made and set.
+    Where that setting is absent a local folder is made and set if the master is local; on a cluster it is an error,
+    as executors would write to their own disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"

@@ -20,7 +20,7 @@ from tidemark.operators.enrich import enrich
 from tidemark.operators.filters import PostFilter, filter_posts
 from tidemark.operators.metrics import LABELS, category, with_label
 from tidemark.operators.routing import MAX_ATTEMPTS, decode_messages, merge_runs, route_messages, run_parts
-from tidemark.registry import MAX_BROADCAST_ROWS, SourceSpec
+from tidemark.registry import SourceSpec
 from tidemark.sources import archives as AR
 from tidemark.sources import sinks as K
 from tidemark.sources.streams import unify
@@ -120,8 +120,8 @@ def run_backfill(manifest: DataFrame, files: DataFrame, table: str, completed: s
     if max_archives:
         pending = pending.orderBy("archive_time", "archive_id").limit(max_archives)
     pending = pending.persist()
-    if pending.count() <= MAX_BROADCAST_ROWS:  # a small run skips the other files before unpacking
-        files = files.join(F.broadcast(pending.select("archive_id")), "archive_id", "left_semi")
+    # other files are skipped before they are unpacked, however many are pending
+    files = files.join(pending.select("archive_id"), "archive_id", "left_semi")
     good = AR.accepted(AR.verify_archives(pending, files))
     documents = AR.archive_documents(AR.archive_lines(files), pending, collected_at=collected_at).persist()
     try:
