@@ -34,7 +34,7 @@ LENGTH = 200
 GRAM = 40
 HOT_PLACES = 4_000  # places of one gram beyond which its surroundings are dealt by longer cores
 _CLASSES = 8
-_CHUNK = 1 << 20  # bytes of surroundings in one suffix array
+_CHUNK = 1 << 19  # bytes of surroundings in one suffix array
 _END = 0xFF  # is in no UTF-8 text
 _RANDOM = np.random.default_rng(7919)
 _BYTE = _RANDOM.integers(0, 1 << 64, 256, dtype=np.uint64)
