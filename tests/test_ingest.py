@@ -89,6 +89,49 @@ def test_backfill_resumes(spark, tmp_path):
     assert spark.read.parquet(table).count() == 4
 
 
+def test_damaged_archive_is_rejected_and_stays_pending(spark, tmp_path):
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    body = bytearray(_zip(_record(_7="rent food prices", _9="Melbourne") * 50))
+    body[60:70] = bytes(10)
+    (landed / "20250101001500.gkg.csv.zip").write_bytes(body)
+    empty = io.BytesIO()
+    zipfile.ZipFile(empty, "w").close()
+    (landed / "20250101003000.gkg.csv.zip").write_bytes(empty.getvalue())
+    lines = [
+        f"1 {hashlib.md5(body).hexdigest()} http://x/20250101001500.gkg.csv.zip",
+        f"1 {hashlib.md5(empty.getvalue()).hexdigest()} http://x/20250101003000.gkg.csv.zip",
+    ]
+    manifest = AR.parse_manifest(local_table(spark, {"value": lines}))
+    files = AR.read_archive_files(spark, str(landed))
+    errors = {r["archive_id"]: r["error"] for r in AR.rejected(AR.verify_archives(manifest, files)).collect()}
+    assert sorted(errors) == ["20250101001500", "20250101003000"] and errors["20250101003000"] == "no member"
+    assert AR.archive_lines(files).count() == 0
+    table, done = str(tmp_path / "table"), str(tmp_path / "done")
+    assert J.run_backfill(manifest, files, table, done).count() == 0
+
+
+def test_copies_meet_one_result(spark):
+    raw = spark.range(8).selectExpr("'a' as id", "'pending' as analysis_status")
+    results = spark.range(8).selectExpr("'a' as id", "'processed' as status", "timestamp_seconds(id) as processed_at")
+    rows = K.with_results(raw, results).collect()
+    assert len(rows) == 8 and {r["analysis_status"] for r in rows} == {"processed"}
+
+
+def test_upsert_takes_map_columns(spark, tmp_path):
+    path = str(tmp_path / "maps")
+    for version in ("1", "2"):
+        rows = spark.range(3).selectExpr("cast(id as string) as id", f"map('v', '{version}') as raw_row", f"'2025-01' as {K.MONTH}")
+        K.upsert(rows.union(rows), path)
+    assert [r["raw_row"] for r in spark.read.parquet(path).collect()] == [{"v": "2"}] * 3
+
+
+def test_attempts_may_be_text(spark):
+    payloads = ['{"kind": "k", "attempts": "2"}', '{"kind": "k", "attempts": 2.0}', '{"kind": "k", "attempts": "many"}', '{"kind": "k", "attempts": 1e99}']
+    rows = RO.decode_messages(local_table(spark, {"payload": payloads})).collect()
+    assert [(r["kind"], r["attempts"]) for r in rows] == [("k", 2), ("k", 2), ("k", 0), ("k", 0)]
+
+
 def test_indicator_csv(spark, tmp_path):
     header = "DATAFLOW,MEASURE: Measure,INDEX: Index,TSEST: Adjustment Type,REGION: Region,FREQ: Frequency,TIME_PERIOD,OBS_VALUE,UNIT_MEASURE: Unit of Measure"
     rows = [
@@ -174,4 +217,4 @@ def test_routing(spark):
         ("dead_letter", 0, "poison_message"),
         ("dead_letter", 0, "poison_message"),
     ]
-    assert len(out[3]["raw_payload"]) == 2000
+    assert len(out[3]["raw_payload"]) == 3009

@@ -28,6 +28,16 @@ TOPIC_CASES = [
 ]
 
 
+@pytest.mark.parametrize("text, hits", [
+    ("Der Müll bleibt liegen", ["müll"]), ("Müllabfuhr", []), ("zu große Kosten", ["große"]), ("2müll müll9", []), ("", []),
+])
+def test_terms_with_other_letters(spark, text, hits):
+    terms = ("müll", "große")
+    m = HybridMatcher.over(F.col("text"))
+    assert one(spark, text, m.hits(terms)) == hits
+    assert one(spark, text, m.any(terms)) is bool(hits)
+
+
 def test_topics(spark):
     df = local_table(spark, {"text": [t for t, _ in TOPIC_CASES], "topic": [x for _, x in TOPIC_CASES]})
     got = df.select("topic", L.topic_of(HybridMatcher.over(F.col("text"))).alias("got")).collect()

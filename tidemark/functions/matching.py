@@ -1,7 +1,7 @@
 """Term matching. Three rules exist and are kept apart:
 
-* `HybridMatcher`: terms made of `[a-z0-9]` must stand alone between other characters; every other
-  term (blank, hyphen, apostrophe inside) matches as a plain substring.
+* `HybridMatcher`: terms made of letters and digits must stand alone between characters other than
+  `[a-z0-9]`; every other term (blank, hyphen, apostrophe inside) matches as a plain substring.
 * `WordMatcher`: a term must stand between non-word characters (Unicode letters, digits and `_` are
   word characters); blanks in a term match any white space.
 * `contains_term`: plain substring.
@@ -112,20 +112,31 @@ class HybridMatcher(_Matcher):
     tokenise = staticmethod(plain_tokens)
 
     @staticmethod
-    def split_terms(terms: Iterable[str]) -> tuple[list[str], list[str]]:
-        folded = list(dict.fromkeys(term.casefold() for term in terms))
-        words = [t for t in folded if t.isalnum()]
-        return words, [t for t in folded if not t.isalnum()]
+    def split_terms(terms: Iterable[str]) -> tuple[list[str], list[str], list[str]]:
+        """Terms that are tokens, alphanumeric terms with other letters, phrases."""
+        folded = list(dict.fromkeys(term.lower() for term in terms))
+        words = [t for t in folded if re.fullmatch("[a-z0-9]+", t)]
+        foreign = [t for t in folded if t.isalnum() and t not in words]
+        return words, foreign, [t for t in folded if not t.isalnum()]
+
+    def _stands_alone(self, term: str) -> Column:
+        pattern = rf"(?<![a-z0-9]){re.escape(term)}(?![a-z0-9])"
+        return F.contains(self.lowered, F.lit(term)) & F.rlike(self.lowered, F.lit(pattern))
 
     def any(self, terms: Iterable[str]) -> Column:
-        words, phrases = self.split_terms(terms)
+        words, foreign, phrases = self.split_terms(terms)
         found = overlaps(self.tokens, words)
+        for term in foreign:
+            found = found | self._stands_alone(term)
         return found | _any_substring(self.lowered, phrases) if phrases else found
 
     def hits(self, terms: Iterable[str]) -> Column:
         """Sorted distinct matching terms."""
-        words, phrases = self.split_terms(terms)
+        words, foreign, phrases = self.split_terms(terms)
         found = F.array_intersect(self.tokens, _literals(words))
+        if foreign:
+            alone = [F.when(self._stands_alone(t), F.lit(t)) for t in foreign]
+            found = F.concat(found, F.array_compact(F.array(*alone)))
         if phrases:
             found = F.concat(found, _substrings_found(self.lowered, phrases))
         return F.array_sort(found)

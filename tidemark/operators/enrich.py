@@ -17,7 +17,7 @@ from tidemark.registry import group_of
 MODEL_NAME = "vader"
 MODEL_VERSION = "lexicon_topic_sentiment_1"
 COUNTERS = ("like_count", "reply_count", "repost_count", "quote_count")
-OPTIONAL = ("source_index", "source_es_id", "source_id", "url", "gkg_url", "category", "created_at", "harvested_at", *COUNTERS)
+OPTIONAL = ("source_index", "source_es_id", "source_id", "url", "gkg_url", "category", "created_at", "harvested_at", "collected_at", *COUNTERS)
 
 
 def label_rows(raw: DataFrame, *, taxonomy: L.Taxonomy = V.TAXONOMY) -> DataFrame:
@@ -25,7 +25,7 @@ def label_rows(raw: DataFrame, *, taxonomy: L.Taxonomy = V.TAXONOMY) -> DataFram
 
     Each costly column is made once and read by the later ones.
     """
-    types = {c: "bigint" for c in COUNTERS} | {"created_at": "timestamp", "harvested_at": "timestamp"}
+    types = {c: "bigint" for c in COUNTERS} | {"created_at": "timestamp", "harvested_at": "timestamp", "collected_at": "timestamp"}
     for name in OPTIONAL:
         if name not in raw.columns:
             raw = raw.withColumn(name, F.lit(None).cast(types.get(name, "string")))
@@ -82,7 +82,7 @@ def enrich(
         ).alias("canonical_id"),
         "source_index", "source_es_id", "platform",
         group_of(F.col("platform")).alias("source_group"),
-        "created_at", "harvested_at",
+        "created_at", F.coalesce("harvested_at", "collected_at").alias("harvested_at"),
         (processed_at if processed_at is not None else F.current_timestamp()).alias("processed_at"),
         F.col("_clean").alias("text"),
         F.col("text").alias("raw_text"),

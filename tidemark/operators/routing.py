@@ -5,22 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MESSAGE = "message_id string, kind string, attempts bigint, _corrupt string"
+MESSAGE = "message_id string, kind string, attempts string, _corrupt string"
 MAX_ATTEMPTS = 3
 SLICE_MICROS = 10_000  # slice length of a request window
 
 
 def decode_messages(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """JSON payloads to columns. What is not a JSON object becomes a poison message with its text."""
+    """JSON payloads to columns. What is not a JSON object becomes a poison message with its text.
+
+    Attempts may be given as a number or as text; what is no number counts as none.
+    """
     parsed = F.from_json(F.col(payload), MESSAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     out = df.withColumn("_m", parsed)
     is_object = F.coalesce(F.trim(F.col(payload)).startswith("{"), F.lit(False))
     poison = F.col("_m").isNull() | F.col("_m._corrupt").isNotNull() | ~is_object
+    given = F.col("_m.attempts")
+    attempts = F.coalesce(given.try_cast("bigint"), given.try_cast("double").try_cast("bigint"), F.lit(0))
     return out.select(
         *df.columns,
         F.when(~poison, F.col("_m.message_id")).alias("message_id"),
         F.when(poison, F.lit("poison_message")).otherwise(F.col("_m.kind")).alias("kind"),
-        F.when(poison, F.lit(0)).otherwise(F.coalesce("_m.attempts", F.lit(0))).cast("bigint").alias("attempts"),
+        F.when(poison, F.lit(0)).otherwise(attempts).cast("bigint").alias("attempts"),
         F.when(poison, F.col(payload)).alias("raw_payload"),
     )
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 import hashlib
 import io
 import itertools
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidemark import vocabulary as V
 from tidemark.functions import strings as S
@@ -59,25 +62,46 @@ def read_archive_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _fault(content: bytes) -> str | None:
+    """Read the first member to its end, a piece at a time; what hinders that, or None."""
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            names = archive.namelist()
+            if not names:
+                return "no member"
+            with archive.open(names[0]) as member:
+                while member.read(1 << 20):
+                    pass
+    except (zipfile.BadZipFile, zlib.error, struct.error, EOFError, OSError, RuntimeError, ValueError) as error:
+        return f"{type(error).__name__}: {error}"
+    return None
+
+
+@F.pandas_udf(StringType())
+def _faults(contents: pd.Series) -> pd.Series:
+    return contents.map(_fault).astype(object)
+
+
 def verify_archives(manifest: DataFrame, files: DataFrame) -> DataFrame:
-    """Manifest rows of the landed files with their checksum and `valid`: equal, or none given.
+    """Manifest rows of the landed files with their checksum, `valid` (equal, or none given) and `fault`: why
+    the file cannot be unpacked, null if it can.
 
-    Contents are reduced to checksums before the join; no archive is shuffled.
+    Contents are reduced to checksums and faults before the join; no archive is shuffled.
     """
-    sums = files.select("archive_id", F.md5("content").alias("actual_md5"))
+    sums = files.select("archive_id", F.md5("content").alias("actual_md5"), _faults("content").alias("fault"))
     return manifest.join(sums, "archive_id").withColumn(
         "valid", (F.col("md5") == "") | (F.col("md5") == F.col("actual_md5"))
     )
 
 
 def accepted(verified: DataFrame) -> DataFrame:
-    return verified.where("valid").select("archive_id", "archive_time", "url")
+    return verified.where("valid and fault is null").select("archive_id", "archive_time", "url")
 
 
 def rejected(verified: DataFrame) -> DataFrame:
-    return verified.where(~F.col("valid")).select(
-        "archive_id", "url", "md5", "actual_md5", F.lit("md5 mismatch").alias("error")
-    )
+    """Archives with a wrong checksum, and those with the right one that cannot be unpacked."""
+    error = F.when(~F.col("valid"), F.lit("md5 mismatch")).otherwise(F.col("fault"))
+    return verified.where("not valid or fault is not null").select("archive_id", "url", "md5", "actual_md5", error.alias("error"))
 
 
 def keep_verified(rows: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -88,11 +112,11 @@ def keep_verified(rows: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """First member of each zip, line by line; undecodable bytes are replaced. A file that is no zip has
-    no lines: its checksum tells whether it was expected."""
+    """First member of each zip, line by line; undecodable bytes are replaced. A file that cannot be read to
+    its end has no lines: `verify_archives` tells why."""
     for batch in batches:
         for archive_id, content in zip(batch["archive_id"], batch["content"]):
-            if not zipfile.is_zipfile(io.BytesIO(content)):
+            if _fault(content):
                 continue
             checksum = hashlib.md5(content).hexdigest()
             with zipfile.ZipFile(io.BytesIO(content)) as archive:

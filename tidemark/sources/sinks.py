@@ -55,7 +55,9 @@ def replace_partitions(df: DataFrame, path: str, *, partition: str) -> None:
 def _order(df: DataFrame) -> list[Column]:
     """Write order: harvest time if there is one, then the whole row, so that the choice is definite."""
     lead = [F.col("harvested_at")] if "harvested_at" in df.columns else []
-    return [*lead, F.xxhash64(*[F.col(c) for c in df.columns])]
+    # maps cannot be hashed; their text can
+    plain = [F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in df.schema.fields]
+    return [*lead, F.xxhash64(*plain)]
 
 
 def insert_if_absent(df: DataFrame, path: str, *, key: str = "id", partition: str | None = MONTH) -> DataFrame:
@@ -130,10 +132,12 @@ def upsert(df: DataFrame, path: str, *, key: str = "id", partition: str = MONTH,
 def with_results(raw: DataFrame, results: DataFrame, *, key: str = "id") -> DataFrame:
     """Raw rows with the status and time of their processing result, if there is one.
 
-    `results` has (key, status, processed_at), one row per key.
+    `results` has (key, status, processed_at); the newest counts where a key has several, so that copies of
+    a row meet one result each.
     """
-    new = results.select(
-        F.col(key), F.col("status").alias("_status"), F.col("processed_at").alias("_processed_at")
+    newest = F.max(F.struct("processed_at", "status"))
+    new = results.groupBy(key).agg(newest.alias("_r")).select(
+        F.col(key), F.col("_r.status").alias("_status"), F.col("_r.processed_at").alias("_processed_at")
     )
     processed_at = (
         F.col("analysis_processed_at") if "analysis_processed_at" in raw.columns else F.lit(None).cast("timestamp")
