@@ -96,8 +96,21 @@ def sampled_places(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) ->
     return place, np.concatenate(hashes)[first]
 
 
-def two_stage_suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
-    """All suffixes in the order of their first `depth` bytes at least."""
+def _needed(wanted: np.ndarray, smaller: np.ndarray) -> np.ndarray:
+    """The wanted suffixes and those that they are induced from: all up to the next one that is sorted directly."""
+    n = len(wanted)
+    starts = np.flatnonzero(wanted)
+    stops = np.append(np.flatnonzero(smaller), n - 1)
+    ends = stops[np.searchsorted(stops[:-1], starts)]
+    opened = np.bincount(starts, minlength=n + 1) - np.bincount(ends + 1, minlength=n + 1)
+    return np.cumsum(opened)[:n] > 0
+
+
+def two_stage_suffix_array(text: np.ndarray, depth: int = LENGTH, wanted: np.ndarray | None = None) -> np.ndarray:
+    """The suffixes in the order of their first `depth` bytes at least.
+
+    With a mask of wanted suffixes, others are left out unless a wanted one is induced from them.
+    """
     n = len(text)
     cuts = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
     run = np.diff(np.append(cuts, n))
@@ -105,35 +118,38 @@ def two_stage_suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     rises = text[cuts] < after  # the suffixes of the last run are greater than the empty one
     rises[-1] = False
     smaller = np.repeat(rises, run)  # suffix smaller than its successor
-    direct = np.flatnonzero(smaller)
+    needed = np.ones(n, bool) if wanted is None else _needed(wanted, smaller)
+    induce = needed & ~smaller
+    direct = np.flatnonzero(needed & smaller)
     padded = np.concatenate([text, np.zeros(depth, np.uint8)])
     rows = np.lib.stride_tricks.sliding_window_view(padded, depth)[direct]
     direct = direct[np.argsort(np.ascontiguousarray(rows).view(f"S{depth}").ravel(), kind="stable")]
     del rows
     direct_cut = np.searchsorted(text[direct], np.arange(257))
     induced: list[list[np.ndarray]] = [[] for _ in range(256)]
-    induced[text[-1]].append(np.array([n - 1]))
+    if induce[-1]:
+        induced[text[-1]].append(np.array([n - 1]))
     out = []
     for c in range(256):
         wave = np.concatenate(induced[c]) if induced[c] else np.zeros(0, np.int64)
         waves = [wave]
         while len(wave):  # those of the bucket that precede a member of it
             before = wave[wave > 0] - 1
-            wave = before[(text[before] == c) & ~smaller[before]]
+            wave = before[(text[before] == c) & induce[before]]
             waves.append(wave)
         bucket = np.concatenate([*waves, direct[direct_cut[c] : direct_cut[c + 1]]])
         if not len(bucket):
             continue
         out.append(bucket)
         before = bucket[bucket > 0] - 1
-        before = before[(text[before] > c) & ~smaller[before]]
+        before = before[(text[before] > c) & induce[before]]
         order = np.argsort(text[before], kind="stable")
         before = before[order]
         first = text[before]
         marks = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]])) if len(first) else []
         for a, b in zip(marks, [*marks[1:], len(first)]):
             induced[first[a]].append(before[a:b])
-    return np.concatenate(out)
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
 def equal_neighbours(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
@@ -161,10 +177,11 @@ def repeated_starts(strings: list[bytes], base: np.ndarray, many: np.ndarray, le
     end = bytes([_END])
     text = np.frombuffer(end.join(strings) + end, np.uint8)
     first = np.cumsum(sizes) - sizes
-    order = two_stage_suffix_array(text, length)
     owner = np.repeat(np.arange(len(strings)), sizes)
     offset = np.arange(len(text)) - first[owner]
-    order = order[offset[order] + length <= sizes[owner[order]] - 1]
+    whole = offset + length <= sizes[owner] - 1  # suffixes of `length` bytes or more in their string
+    order = two_stage_suffix_array(text, length, whole)
+    order = order[whole[order]]
     if not len(order):
         return [np.zeros(0, np.int64)] * len(strings)
     opens = np.flatnonzero(~equal_neighbours(text, order, length))
