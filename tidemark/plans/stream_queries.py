@@ -28,11 +28,12 @@ def _ddl(df) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
-def _landed(spark, df, name, parts=4):
-    """Land a frame as several files (column store) and stream them one file per batch."""
+def _landed(spark, df, name):
+    """Land a frame as one file per core of the cluster (column store) and stream them in two batches."""
     path = scratch_dir(spark, name)
-    df.repartition(parts).write.parquet(path)
-    return J.file_stream(spark, path, _ddl(df), file_format="parquet", files_per_batch=2)
+    files = max(2, spark.sparkContext.defaultParallelism)
+    df.repartition(files).write.parquet(path)
+    return path, J.file_stream(spark, path, _ddl(df), file_format="parquet", files_per_batch=(files + 1) // 2)
 
 
 def _social_frame(spark, d, platform="bluesky"):
@@ -58,8 +59,8 @@ def incremental_files(spark, d):
 
 @query("r02_bounded_batches", UNIFIED + " select id from unified where platform = 'mastodon'")
 def bounded_batches(spark, d):
-    """At most two files per batch until nothing is left."""
-    stream = _landed(spark, _social_frame(spark, d, "mastodon"), "r02-files")
+    """At most half of the files per batch until nothing is left."""
+    _, stream = _landed(spark, _social_frame(spark, d, "mastodon"), "r02-files")
     table = scratch_dir(spark, "r02-table")
     J.ingest(stream, SOURCES[1], table, scratch_dir(spark, "r02-checkpoint"), imported_at=views.as_of())
     return spark.read.parquet(table).select("id")
@@ -75,21 +76,18 @@ def late_copies(spark, d):
     def body(batch, _):
         K.insert_if_absent(K.with_month(batch), table)
 
-    J.run_available(_landed(spark, twice, "r05-files"), body, scratch_dir(spark, "r05-checkpoint"))
+    J.run_available(_landed(spark, twice, "r05-files")[1], body, scratch_dir(spark, "r05-checkpoint"))
     return spark.read.parquet(table).select("id")
 
 
 # -------------------------------------------------------------------- archives
 def _landed_archives(spark, d):
     """Archives as a stream of (path, content) rows, and their manifest; every ninth checksum is wrong."""
-    path = scratch_dir(spark, "stream-archives")
     files = _archive_files(spark, d)
     named = files.select(F.concat(F.lit("/landing/"), "archive_id", F.lit(".gkg.csv.zip")).alias("path"), "archive_id", "content")
-    named.repartition(4).write.parquet(path)
+    path, stream = _landed(spark, named, "stream-archives")
     stored = spark.read.parquet(path)
-    manifest = archive_manifest_of(stored)
-    stream = J.file_stream(spark, path, _ddl(stored), file_format="parquet", files_per_batch=2)
-    return stream, stored.select("archive_id", "content"), manifest
+    return stream, stored.select("archive_id", "content"), archive_manifest_of(stored)
 
 
 def _ingested(spark, d):
@@ -125,7 +123,7 @@ def resumable_backfill(spark, d):
 
 # -------------------------------------------------------------------- enrichment
 def _streamed_posts(spark, d, name):
-    stream = _landed(spark, _social_frame(spark, d), f"{name}-files")
+    _, stream = _landed(spark, _social_frame(spark, d), f"{name}-files")
     raw, posts = scratch_dir(spark, f"{name}-raw"), scratch_dir(spark, f"{name}-posts")
     J.enrich_stream(stream, SOURCES[0], raw, posts, scratch_dir(spark, f"{name}-checkpoint"),
                     lexicon_scorer(V.STARTER_LEXICON), processed_at=views.as_of(), imported_at=views.as_of())
@@ -168,11 +166,12 @@ def reclaim_stale(spark, d):
     "r14_topic_trend",
     ctes(POSTS, LABELS) + f"""select strftime(created_at, '%Y-%m') as period, topic as cost_category, category_label, count(*) as document_count, {mean4()} as avg_sentiment,
   count(*) filter (where sentiment_label = 'positive') as positive_count, count(*) filter (where sentiment_label = 'neutral') as neutral_count,
-  count(*) filter (where sentiment_label = 'negative') as negative_count, {r4("count(*) filter (where sentiment_label = 'negative') / count(*)")} as negative_ratio
+  count(*) filter (where sentiment_label = 'negative') as negative_count, {r4("count(*) filter (where sentiment_label = 'positive') / count(*)")} as positive_ratio,
+  {r4("count(*) filter (where sentiment_label = 'neutral') / count(*)")} as neutral_ratio, {r4("count(*) filter (where sentiment_label = 'negative') / count(*)")} as negative_ratio
   from posts join labels_of on topic = cost_category group by 1, 2, 3""",
 )
 def topic_trend(spark, d):
-    stream = _landed(spark, views.posts(spark, d), "r14-files")
+    _, stream = _landed(spark, views.posts(spark, d), "r14-files")
     table = scratch_dir(spark, "r14-table")
     J.topic_trend(stream, table, scratch_dir(spark, "r14-checkpoint"))
     return spark.read.parquet(table)
@@ -209,7 +208,7 @@ ROUTES = ctes(MESSAGES) + """, routed as (select *, coalesce(kind, 'poison_messa
 
 @query("r08_retry_and_dead_letters", ROUTES + " select event_id, k as kind, route, next_attempts, reason from routed")
 def retry_and_dead_letters(spark, d):
-    stream = _landed(spark, views.messages(spark, d), "r08-files")
+    _, stream = _landed(spark, views.messages(spark, d), "r08-files")
     table = scratch_dir(spark, "r08-table")
     J.route_stream(stream, table, scratch_dir(spark, "r08-checkpoint"), F.col("failed"))
     return spark.read.parquet(table).select("event_id", "kind", F.col("route").cast("string").alias("route"), "next_attempts", "reason")
@@ -217,7 +216,7 @@ def retry_and_dead_letters(spark, d):
 
 @query("r08_running_attempts", ctes(MESSAGES) + "select cast(event_id as varchar) as message_id, attempts from messages where kind is not null")
 def running_attempts(spark, d):
-    stream = _landed(spark, views.messages(spark, d), "r08b-files")
+    _, stream = _landed(spark, views.messages(spark, d), "r08b-files")
     table = scratch_dir(spark, "r08b-table")
     J.running_attempts(stream, table, scratch_dir(spark, "r08b-checkpoint"))
     return spark.read.parquet(table).select("message_id", "attempts")
@@ -247,7 +246,7 @@ def job_runs(spark, d):
 @query("r11_job_runs_stream", RUNS)
 def job_runs_stream(spark, d):
     """Starts and ends arrive in different batches."""
-    stream = _landed(spark, views.lifecycle_events(spark, d), "r11-files")
+    _, stream = _landed(spark, views.lifecycle_events(spark, d), "r11-files")
     table = scratch_dir(spark, "r11-table")
     J.pair_runs(stream, table, scratch_dir(spark, "r11-checkpoint"))
     as_of = F.lit("2024-01-31 12:00:00").cast("timestamp")

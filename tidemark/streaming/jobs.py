@@ -188,7 +188,9 @@ def topic_trend(posts: DataFrame, table: str, checkpoint: str, *, period: str =
 
     def body(batch: DataFrame, _: int) -> None:
         out = batch.withColumn("avg_sentiment", N.mean_score(F.col("_units"), F.col("_scored")))
-        out = out.withColumn("negative_ratio", N.ratio(F.col("negative_count"), F.col("document_count")))
+        out = out.withColumns(
+            {f"{label}_ratio": N.ratio(F.col(f"{label}_count"), F.col("document_count")) for label in LABELS}
+        )
         K.replace_table(with_label(out.drop("_units", "_scored")), table, partition=None)
 
     return run_available(counts, body, checkpoint, mode="complete")
