@@ -340,6 +340,46 @@ def test_hamming_search_is_exact(spark):
     assert got == {(tuple(f), tuple(g)) for f in every for g in every if f != g and far(f, g) <= 3}
 
 
+@pytest.mark.parametrize("hot", [2_000, 5])
+def test_hamming_search_at_the_registered_radius(spark, hot, monkeypatch):
+    """Bits changed anywhere, up to the radius and beyond; one large group, whose keys are dealt in parts if `hot` is small."""
+    monkeypatch.setattr(simhash, "HOT_KEY", hot)
+    rng = random.Random(6)
+    signed = lambda x: [(x >> s & (1 << 64) - 1) - (x >> s + 63 & 1) * (1 << 64) for s in (0, 64)]
+    base = [rng.getrandbits(128) for _ in range(12)]
+    flipped = [x ^ sum(1 << i for i in rng.sample(range(128), n)) for x in base for n in (1, 7, 14, 19, 20, 21, 22, 30)]
+    group = [base[0] ^ sum(1 << i for i in rng.sample(range(128), 4)) for _ in range(60)]
+    every = list(dict.fromkeys(base + flipped + group))
+    df = spark.createDataFrame([(signed(x),) for x in every + base], "fp array<long>")
+    asked = spark.createDataFrame([(signed(x),) for x in base], "fp array<long>")
+    got = _multiset((tuple(r["query"]), tuple(r["found"]), r["distance"]) for r in simhash.neighbours(asked, df).collect())
+    pairs = [(x, y, bin(x ^ y).count("1")) for x in base for y in every]
+    assert got == _multiset((tuple(signed(x)), tuple(signed(y)), n) for x, y, n in pairs if 0 < n <= simhash.RADIUS)
+
+
+def test_near_copies_are_found(spark):
+    """Recall of the registered search on copies that share 0.8 of their five-word shingles, against brute force."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(3000)]
+    rows, near = [], {}
+    shingles = lambda t: {tuple(t[i : i + 5]) for i in range(len(t) - 4)}
+    for i in range(40):
+        base = rng.choices(words, k=rng.randint(150, 400))
+        rows.append((50 * i, " ".join(base)))
+        for k in range(1, 5):
+            copy = list(base)
+            while len(a := shingles(base)) and len(a & shingles(copy)) / len(a | shingles(copy)) > 0.83:
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            a, b = shingles(base), shingles(copy)
+            if len(a & b) / len(a | b) >= 0.8:
+                near[50 * i] = near.get(50 * i, 0) + 1
+            rows.append((50 * i + k, " ".join(copy)))
+    out = simhash.with_near_counts(simhash.compare_with_edited(spark.createDataFrame(rows, "doc_id long, text string")))
+    got = {r["doc_id"]: r["n_near"] for r in out.filter("n_near is not null").collect()}
+    assert sum(near.values()) > 100
+    assert sum(min(got[k], n) for k, n in near.items()) >= 0.97 * sum(near.values())
+
+
 def test_hilbert_neighbours_touch():
     side = 8
     points = np.array([(x, y, z) for x in range(side) for y in range(side) for z in range(side)])
