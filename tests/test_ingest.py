@@ -218,3 +218,27 @@ def test_routing(spark):
         ("dead_letter", 0, "poison_message"),
     ]
     assert len(out[3]["raw_payload"]) == 3009
+
+
+def test_late_requests_are_counted(spark, tmp_path):
+    """Files out of order, days behind what was read before; the last batch written again changes nothing."""
+    path, table, checkpoint = (str(tmp_path / n) for n in ("files", "table", "checkpoint"))
+    schema = "client string, route string, ts timestamp"
+    parts = [
+        [("a", "x", "2024-01-09 10:00:05")] * 3 + [("b", "x", "2024-01-09 10:00:59")],
+        [("a", "x", "2024-01-01 10:00:05"), ("a", "x", "2024-01-09 10:00:06"), ("b", "y", "2023-12-31 23:59:59")],
+        [("a", "x", "2024-01-01 10:00:06"), (None, "x", "2024-01-01 10:00:06"), ("", "x", "2024-01-01 10:00:06"),
+         ("c|d", "e", "2024-01-01 10:00:06"), ("c", "d|e", "2024-01-01 10:00:06"), ("a", None, "2024-01-05 00:00:00")],
+    ]
+    frames = [spark.createDataFrame(p, "client string, route string, t string").select("client", "route", F.col("t").cast("timestamp").alias("ts")) for p in parts]
+    counts = lambda: sorted(map(repr, spark.read.parquet(table).select(
+        "client", "route", F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("w"), "requests", "over_limit").collect()))
+    for frame in frames:
+        frame.coalesce(1).write.mode("append").parquet(path)
+        J.count_windows(J.file_stream(spark, path, schema, file_format="parquet"), table, checkpoint, limit=3)
+    expected = spark.createDataFrame([r for p in parts for r in p], "client string, route string, t string").groupBy(
+        "client", "route", F.substring("t", 1, 16).alias("w")).agg(F.count("*").alias("requests")).withColumn("over_limit", F.col("requests") > 3)
+    want = sorted(map(repr, expected.collect()))
+    assert counts() == want
+    J.add_window_counts(frames[-1], 2, table, limit=3)  # the batch id of the third run
+    assert counts() == want

@@ -21,8 +21,6 @@ from tidemark.session import scratch_dir
 from tidemark.sources import sinks as K
 from tidemark.streaming import jobs as J
 
-EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-
 
 def _ddl(df) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
@@ -184,8 +182,8 @@ def topic_trend(spark, d):
   from requests group by 1, 2, 3""",
 )
 def window_counts(spark, d):
-    events = J.file_stream(spark, d, EVENTS, file_format="parquet", glob="events.parquet")
-    requests = events.selectExpr("cast(user_id as string) as client", "event_type as route", "cast(ts as timestamp) as ts")
+    """Two batches of files, each with requests of all times."""
+    _, requests = _landed(spark, views.requests(spark, d).select("client", "route", "ts"), "r10-files")
     table = scratch_dir(spark, "r10-table")
     J.count_windows(requests, table, scratch_dir(spark, "r10-checkpoint"), seconds=3600, limit=1)
     return spark.read.parquet(table).select("client", "route", F.date_format("window_start", TSF).alias("window_start"), "requests", "over_limit")

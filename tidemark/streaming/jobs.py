@@ -25,8 +25,6 @@ from tidemark.sources import archives as AR
 from tidemark.sources import sinks as K
 from tidemark.sources.streams import unify
 
-LOOKBACK = "2 hours"
-
 
 def file_stream(spark: SparkSession, path: str, schema: str, *, file_format: str = "json",
                 files_per_batch: int | None = None, glob: str | None = None) -> DataFrame:
@@ -152,26 +150,45 @@ def reclaim_stale(raw: DataFrame, as_of: Column, *, minutes: int = 120) -> DataF
 
 
 # ------------------------------------------------------------------- windows
-def count_windows(requests: DataFrame, table: str, checkpoint: str, *, seconds: int = 60, limit: int = 600,
-                  watermark: str = LOOKBACK) -> StreamingQuery:
-    """Requests per (client, route, window). Windows older than the watermark leave the state; changed
-    counts replace the stored ones. Counting is partial per task, so a busy client costs one row each."""
+def add_window_counts(requests: DataFrame, batch_id: int, table: str, *, seconds: int = 60, limit: int = 600) -> None:
+    """Add one batch's requests per (client, route, window) to the stored counts.
+
+    A stored row names the batch that it last took requests from and the count `before` it, so that the batch may be
+    written again, also after a failure that left only a part of the table rewritten.
+    """
     counts = (
-        requests.withWatermark("ts", watermark)
-        .groupBy(F.window("ts", f"{seconds} seconds"), "client", "route")
+        requests.groupBy(F.window("ts", f"{seconds} seconds"), "client", "route")
         .agg(F.count(F.lit(1)).alias("requests"))
         .select("client", "route", F.col("window.start").alias("window_start"), "requests")
     )
 
-    def body(batch: DataFrame, _: int) -> None:
-        rows = batch.withColumn("id", S.digest_id("window-", F.col("client"), F.col("route"), F.col("window_start")))
-        rows = rows.withColumn("over_limit", F.col("requests") > limit)
-        largest = lambda df: df.groupBy("id").agg(
-            F.max_by(F.struct(*[F.col(c) for c in df.columns if c != "id"]), "requests").alias("r")
-        ).select("id", "r.*")
-        K.upsert(K.with_month(rows, "window_start"), table, resolve=largest)
-
-    return run_available(counts, body, checkpoint, mode="update")
+    def part(c: str) -> Column:  # nulls and separators have ids of their own
+        return F.coalesce(F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\p")), F.lit("\\n"))
+
+    rows = counts.withColumn("id", S.digest_id("window-", part("client"), part("route"), F.col("window_start")))
+    rows = rows.withColumns({"before": F.lit(0).cast("bigint"), "last_batch": F.lit(batch_id).cast("bigint")})
+
+    def added(df: DataFrame) -> DataFrame:
+        same = F.col("last_batch").eqNullSafe(F.lit(batch_id))
+        before = F.coalesce(F.max(F.when(~same, F.col("requests"))), F.max(F.when(same, F.col("before"))))
+        own = F.max(F.when(same, F.col("requests") - F.col("before")))
+        kept = [c for c in ("client", "route", "window_start", K.MONTH) if c in df.columns]
+        merged = df.groupBy("id").agg(*[F.first(c).alias(c) for c in kept], before.alias("before"), own.alias("_own"))
+        return merged.withColumn("requests", F.col("before") + F.col("_own")).drop("_own").withColumns(
+            {"last_batch": F.lit(batch_id).cast("bigint"), "over_limit": F.col("requests") > limit}
+        )
+
+    K.upsert(K.with_month(rows, "window_start"), table, resolve=added)
+
+
+def count_windows(requests: DataFrame, table: str, checkpoint: str, *, seconds: int = 60, limit: int = 600) -> StreamingQuery:
+    """Requests per (client, route, window), however late they come: each batch is counted on its own and added to
+    the table, which is the only state. Counting is partial per task, so a busy client costs one row each."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        add_window_counts(batch, batch_id, table, seconds=seconds, limit=limit)
+
+    return run_available(requests, body, checkpoint)
 
 
 def topic_trend(posts: DataFrame, table: str, checkpoint: str, *, period: str = "month",
