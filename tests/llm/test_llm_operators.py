@@ -201,6 +201,49 @@ def test_suffix_dedup(odd, hot):
     assert _multiset(map(tuple, suffix_dedup.removed_digests(odd, hot=hot).collect())) == _multiset(expected)
 
 
+def _without_repeats(data):
+    """(id, bytes, bytes removed, digest of the rest) by brute force."""
+    count: dict = {}
+    for _, raw in data:
+        for i in range(len(raw) - 199):
+            count[raw[i : i + 200]] = count.get(raw[i : i + 200], 0) + 1
+    out = []
+    for doc_id, raw in data:
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - 199):
+            if count[raw[i : i + 200]] > 1:
+                gone[i : i + 200] = b"\1" * 200
+        out.append((doc_id, len(raw), sum(gone), hashlib.sha256(bytes(b for b, g in zip(raw, gone) if not g)).hexdigest()))
+    return out
+
+
+def test_common_passage_is_not_gathered(spark, odd, monkeypatch):
+    """A passage in many texts, longer than a core: no group above the bound is sorted, and nothing is lost."""
+    rng = random.Random(9)
+    letters = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    passage = letters(230)
+    texts = [(1000 + i, letters(150) + passage + letters(150)) for i in range(60)]
+    # the same with equal edges now and then, and a passage too short to be repeated
+    edge, short = letters(40), letters(190)
+    texts += [(2000 + i, letters(100) + edge + passage + letters(100)) for i in range(5)]
+    texts += [(3000 + i, letters(100) + short + letters(100)) for i in range(20)]
+    df = odd.select("doc_id", "text").unionByName(spark.createDataFrame(texts, "doc_id long, text string"))
+    sizes = []
+    sort = suffix_dedup._sorted_groups
+
+    def watched(rows, length):
+        sizes.append(rows.groupBy("key").agg(F.sum(F.octet_length("around")).alias("n")).agg(F.max("n")).first()[0] or 0)
+        return sort(rows, length)
+
+    monkeypatch.setattr(suffix_dedup, "_sorted_groups", watched)
+    expected = _multiset(_without_repeats([(d, t.encode()) for d, t in _texts(df)]))
+    for bound in (4_000, 0):
+        sizes.clear()
+        got = suffix_dedup.removed_digests(df, hot=10, group_bytes=bound).select("doc_id", "n_bytes", "n_removed", "kept_sha256").collect()
+        assert _multiset(map(tuple, got)) == expected
+        assert len(sizes) == 2 and sizes[1] <= bound  # the first call has the grams at few places
+
+
 def test_remove_repeats_keeps_columns(odd):
     out = suffix_dedup.remove_repeats(odd)
     assert out.columns == odd.columns and out.count() == odd.count()

@@ -9,8 +9,10 @@ are repeats, if they start at different places.
 
 Within a text, equal surroundings (periodic text has many) are settled where it is read and stand for one place.
 The surroundings of grams at very many places are reduced to distinct ones before they are sorted and then dealt
-by longer common cores for eight ranges of offsets, so that no passage, however common, gathers all its texts in
-one task.
+by longer common cores for eight ranges of offsets. Where a passage is longer than a core, its edges still give one
+core very many distinct surroundings: those of a core with too many bytes are dealt by each of their strings of
+`length` bytes, whose first and last place are aggregated. So no passage, however common, gathers all its texts in one
+task, and no suffix array is built over more than a few megabytes.
 
 Null texts are empty; nothing is removed from texts shorter than `length`. Repeated rows are texts that start
 elsewhere: all their bytes go, like those of all copies. Nulls in other columns do no harm. An empty table gives no
@@ -33,7 +35,9 @@ from tidemark.llm.shingles import mixed, text_buffer
 LENGTH = 200
 GRAM = 40
 HOT_PLACES = 4_000  # places of one gram beyond which its surroundings are dealt by longer cores
+GROUP_BYTES = 1 << 21  # bytes of the surroundings of one core beyond which they are dealt by their strings
 _CLASSES = 8
+_SALTS = 16
 _CHUNK = 1 << 19  # bytes of surroundings in one suffix array
 _END = 0xFF  # is in no UTF-8 text
 _RANDOM = np.random.default_rng(7919)
@@ -404,7 +408,51 @@ def _by_cores(once: DataFrame, length: int) -> DataFrame:
     )
 
 
-def repeated_runs(docs: DataFrame, length: int = LENGTH, hot: int = HOT_PLACES) -> DataFrame:
+def _by_strings(rows: DataFrame, length: int) -> DataFrame:
+    """Repeated runs (code, low, high) of rows of cores too large for one suffix array, by each string of `length` bytes.
+
+    A string is repeated if its least and its greatest place differ. Strings of one row overlap, so that the first and
+    the last repeated one make its run. Finding the strings again is salted, as one may be in most rows.
+    """
+    types = (pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.binary(), pa.int64())
+    names = ["string", "digest", "pos", "twice", "code", "low"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made: list[tuple] = []
+            for around, digest, base, twice, code, shift in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                for at in range(len(around) - length + 1):
+                    string = hashlib.blake2b(around[at : at + length], digest_size=16).digest()
+                    made.append((string, digest, base + at, twice, code, shift + at))
+                if len(made) > 50_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made), types)], names=names)
+                    made = []
+            if made:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made), types)], names=names)
+
+    strings = rows.select("around", "digest", "base", "twice", "code", "shift").mapInArrow(
+        run, "string binary, digest binary, pos long, twice boolean, code binary, low long"
+    )
+    strings = saved(strings, "strings")
+    place = F.struct("digest", "pos")
+    seen = strings.groupBy("string").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.max("twice").alias("t"))
+    again = seen.filter("a != b or t").select("string", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+    salted = strings.select("string", "code", "low", F.pmod(F.hash("code"), F.lit(_SALTS)).alias("salt"))
+    found = salted.join(again, ["string", "salt"])
+    return found.groupBy("code").agg(F.min("low").alias("low"), (F.max("low") + length).alias("high"))
+
+
+def _hot_runs(once: DataFrame, length: int, group_bytes: int) -> DataFrame:
+    """Repeated runs (code, low, high) of distinct surroundings of hot grams."""
+    cores = saved(_by_cores(once, length), "cores")
+    sizes = cores.groupBy("key").agg(F.sum(F.octet_length("around")).alias("bytes"))
+    # one row for each `group_bytes` of surroundings at most
+    large = F.broadcast(sizes.filter(F.col("bytes") > group_bytes).select("key"))
+    small_runs = _sorted_groups(cores.join(large, "key", "left_anti"), length).select("code", "low", "high")
+    return small_runs.unionByName(_by_strings(cores.join(large, "key", "left_semi"), length))
+
+
+def repeated_runs(docs: DataFrame, length: int = LENGTH, hot: int = HOT_PLACES, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """`digest` of each text with repeats and lists of its covered `runs` (low, high), not yet merged."""
     texts = keyed(docs)
     found = saved(places(texts, length), "places")
@@ -418,7 +466,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, hot: int = HOT_PLACES)
     once = common.groupBy("code").agg(
         F.first("around").alias("around"), F.min(place).alias("o"), F.max(place).alias("p"), F.max("twice").alias("t"), F.first("at").alias("at")
     ).select("code", "around", "o.*", (F.col("t") | (F.col("o") != F.col("p"))).alias("twice"), "at")
-    of_code = _sorted_groups(_by_cores(once, length), length).groupBy("code").agg(listed.alias("rel"))
+    of_code = _hot_runs(once, length, group_bytes).groupBy("code").agg(listed.alias("rel"))
     moved = F.transform("rel", lambda r: F.struct((r["low"] + F.col("base")).alias("low"), (r["high"] + F.col("base")).alias("high")))
     hot_runs = common.select("code", "digest", "base").join(of_code, "code").select("digest", moved.alias("runs"))
     copies = texts.groupBy("digest").agg(F.count("*").alias("n"), F.max(F.octet_length("text")).cast("long").alias("size"))
@@ -458,13 +506,13 @@ def _rest(data: bytes, low: np.ndarray, high: np.ndarray) -> bytes:
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
-def removed_digests(docs: DataFrame, length: int = LENGTH, hot: int = HOT_PLACES) -> DataFrame:
+def removed_digests(docs: DataFrame, length: int = LENGTH, hot: int = HOT_PLACES, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """`doc_id`, `n_bytes`, `n_removed`, `n_spans` and `kept_sha256` of every row."""
     def make(data: bytes | None, low: np.ndarray, high: np.ndarray) -> tuple:
         data = data or b""
         return len(data), int((high - low).sum()), len(low), hashlib.sha256(_rest(data, low, high)).hexdigest()
 
-    out = cut_rows(docs, repeated_runs(docs, length, hot), ["doc_id"], make, "n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    out = cut_rows(docs, repeated_runs(docs, length, hot, group_bytes), ["doc_id"], make, "n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
