@@ -296,8 +296,23 @@ STATUS_SQL = "with pg as (select *, regexp_replace(regexp_replace(html, '(?i)<br
 )
 def social_status(spark, d):
     """Pages as statuses with HTML content; the interval is a filter of the source."""
+    return _social_status(spark, d, F.col("page_id"))
+
+
+@query(
+    "s09_social_status_spread",
+    STATUS_SQL.replace("to_hours(cast(page_id as int))", "to_hours(cast(page_id % 200 as int))")
+    + f""" select concat('mastodon:mastodon:', page_id) as _id, cast(page_id as varchar) as source_id, u as url, sha1(t) as text_key, '#rents' as api_query,
+  strftime(c, '%Y-%m-%dT%H:%M:%SZ') as created_at, page_id % 5 as like_count from tx where c >= timestamp '2025-03-02' and c <= timestamp '2025-03-09' and t <> '' and {STATUS_LOCAL}""",
+)
+def social_status_spread(spark, d):
+    """The same with a clock that has 169 of each 200 pages inside the interval, at every scale."""
+    return _social_status(spark, d, F.col("page_id") % 200)
+
+
+def _social_status(spark, d, hours):
     path = scratch_dir(spark, "social-status")
-    created = F.timestamp_seconds(F.lit(1740787200) + F.col("page_id") * 3600)
+    created = F.timestamp_seconds(F.lit(1740787200) + hours * 3600)
     status = F.struct(
         F.col("page_id").cast("string").alias("id"),
         F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("https://aus.social/@x/"), F.col("page_id").cast("string"))).otherwise(F.col("url")).alias("url"),

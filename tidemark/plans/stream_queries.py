@@ -147,6 +147,38 @@ def streaming_enrichment(spark, d):
     return posts.select("raw_id", "topic", F.array_join("matched_keywords", "|").alias("keywords"), "relevance_score", "processing_status")
 
 
+def _all_streamed_posts(spark, d, name):
+    """All sources, each a stream with its own checkpoint, into one pair of tables."""
+    raw, posts = scratch_dir(spark, f"{name}-raw"), scratch_dir(spark, f"{name}-posts")
+    for source in SOURCES:
+        _, stream = _landed(spark, _social_frame(spark, d, source.name), f"{name}-{source.name}-files")
+        J.enrich_stream(stream, source, raw, posts, scratch_dir(spark, f"{name}-{source.name}-checkpoint"),
+                        lexicon_scorer(V.STARTER_LEXICON), processed_at=views.as_of(), imported_at=views.as_of())
+    return spark.read.parquet(raw), spark.read.parquet(posts)
+
+
+@query(
+    "r06_status_machine_all_sources",
+    ENRICHED + " select platform, case when score < -2 then 'discarded' else 'processed' end as analysis_status, true as stamped, count(*) as n from c2 group by 1, 2",
+)
+def status_machine_all_sources(spark, d):
+    raw, _ = _all_streamed_posts(spark, d, "r06-all")
+    return raw.groupBy("platform", "analysis_status", F.col("analysis_processed_at").isNotNull().alias("stamped")).agg(F.count(F.lit(1)).alias("n"))
+
+
+LABEL_OF = "case platform " + " ".join(f"when '{s.name}' then '{s.label}'" for s in SOURCES) + " end"
+
+
+@query(
+    "r13_streaming_enrichment_all_sources",
+    ENRICHED + f""" select concat('unified-', sha1(concat({LABEL_OF}, '|', id))) as raw_id, platform, coalesce(t, category, 'cost_of_living') as topic, array_to_string(kw, '|') as keywords,
+  score as relevance_score, case when score < -2 then 'discarded' else 'processed' end as processing_status from c2""",
+)
+def streaming_enrichment_all_sources(spark, d):
+    _, posts = _all_streamed_posts(spark, d, "r13-all")
+    return posts.select("raw_id", "platform", "topic", F.array_join("matched_keywords", "|").alias("keywords"), "relevance_score", "processing_status")
+
+
 STALE = f"(coalesce(analysis_status, '') = 'processing' and analysis_started_at < timestamp '{AS_OF}' - interval 120 minutes)"
 
 
