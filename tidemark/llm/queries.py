@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    bpe, hilbert_shards, html_extract, jaccard_join, language_id, packing, quality_rules, simhash, suffix_dedup, token_files,
+    bpe, hilbert_shards, html_extract, jaccard_join, language_id, merkle, packing, quality_rules, simhash, suffix_dedup,
+    token_files,
 )
 from tidemark.session import scratch_dir, tune
 
@@ -139,3 +140,77 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with similar sets of word shingles."""
     return jaccard_join.component_rows(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and tamper check of every document."""
+    return merkle.tamper_check(documents(spark, sf_dir)).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified",
+    )
+
+
+# crc32 of the decimal id: a table of 256 remainders, one step per byte
+CRC_STEP = """
+crc AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, x: xor(c >> 1, (c & 1) * 3988292384)) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)
+)"""
+
+
+def crc_of(value: str) -> str:
+    """DuckDB's crc32 (unsigned) of an integer's decimal digits, beside the table `crc`."""
+    digits = f"list_transform(string_split(CAST({value} AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {digits}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+CHECKS["op12_merkle_manifest"] = f"""
+WITH RECURSIVE {CRC_STEP}, fields AS (
+  SELECT doc_id, source, text, {_field("doc_id")} || {_field("source")} || {_field("lang")} || {_field("n_chars")} AS head,
+         coalesce({crc_of("doc_id")} % 5 = 0, false) AS tampered
+  FROM documents, crc
+), leafs AS (
+  SELECT doc_id, source, sha256(head || {_field("text")}) AS leaf,
+         CASE WHEN tampered THEN sha256(head || {_field("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")})
+              ELSE sha256(head || {_field("text")}) END AS seen
+  FROM fields
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, seen) - 1 AS place,
+         count(*) OVER (PARTITION BY source) AS n FROM leafs
+), nodes AS (
+  SELECT 0 AS level, source, place, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT level + 1, source, place // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY place))
+  FROM nodes WHERE n > 1 GROUP BY level, source, place // 16, n
+), subroots AS (
+  SELECT source, h AS subroot, level AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, place, n, subroot AS h FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY place)) FROM tops WHERE n > 1 GROUP BY level, place // 16, n
+), walk AS (
+  SELECT p.doc_id, p.source, p.leaf, p.place AS start, 0 AS level, p.place, p.n, p.seen AS folded, '' AS proof FROM placed p
+  UNION ALL
+  SELECT w.doc_id, w.source, w.leaf, w.start, w.level + 1, w.place // 16, (w.n + 15) // 16,
+         sha256(string_agg(CASE WHEN s.place = w.place THEN w.folded ELSE s.h END, '' ORDER BY s.place)),
+         w.proof || coalesce(string_agg(s.h, '' ORDER BY s.place) FILTER (WHERE s.place <> w.place), '')
+  FROM walk w JOIN nodes s ON s.level = w.level AND s.source IS NOT DISTINCT FROM w.source AND s.place // 16 = w.place // 16
+  WHERE w.n > 1 GROUP BY w.doc_id, w.source, w.leaf, w.start, w.level, w.place, w.n, w.folded, w.proof
+), climbed AS (
+  SELECT w.doc_id, w.source, w.leaf, w.start, s.subroot, 0 AS level, s.place, s.n, w.folded, w.proof
+  FROM walk w JOIN subroots s ON s.source IS NOT DISTINCT FROM w.source WHERE w.n = 1
+  UNION ALL
+  SELECT w.doc_id, w.source, w.leaf, w.start, w.subroot, w.level + 1, w.place // 16, (w.n + 15) // 16,
+         sha256(string_agg(CASE WHEN s.place = w.place THEN w.folded ELSE s.h END, '' ORDER BY s.place)),
+         w.proof || coalesce(string_agg(s.h, '' ORDER BY s.place) FILTER (WHERE s.place <> w.place), '')
+  FROM climbed w JOIN tops s ON s.level = w.level AND s.place // 16 = w.place // 16
+  WHERE w.n > 1 GROUP BY w.doc_id, w.source, w.leaf, w.start, w.subroot, w.level, w.place, w.n, w.folded, w.proof
+), root AS (SELECT h AS root FROM tops WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM climbed, root WHERE n = 1
+"""
