@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    bpe, hilbert_shards, html_extract, jaccard_join, language_id, merkle, packing, quality_rules, simhash, suffix_dedup,
-    token_files,
+    bpe, hilbert_shards, html_extract, jaccard_join, language_id, merkle, packing, prefix_trie, quality_rules, simhash,
+    suffix_dedup, token_files,
 )
 from tidemark.session import scratch_dir, tune
 
@@ -214,3 +214,40 @@ WITH RECURSIVE {CRC_STEP}, fields AS (
 SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
 FROM climbed, root WHERE n = 1
 """
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.rebuilt_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet")).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256",
+    )
+
+
+CHECKS["op13_prefix_trie"] = f"""
+WITH {CRC_STEP}, own AS (
+  SELECT conv_id, list({{'turn': md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 'octets': strlen(coalesce(text, ''))}}
+                       ORDER BY turn NULLS FIRST, coalesce(role, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), built AS (
+  SELECT o.conv_id, list_concat(coalesce(b.turns[1:o.h], []), o.turns[o.h + 1:]) AS turns
+  FROM (SELECT conv_id, turns, {crc_of("conv_id")} % 9 AS h FROM own, crc) o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5
+), paths AS (
+  SELECT conv_id, len(turns) AS n, turns, unnest(range(0, len(turns) + 1)) AS depth FROM built
+), nodes AS (
+  SELECT depth, turns[1:depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256
+  FROM paths GROUP BY depth, turns[1:depth]
+), families AS (
+  SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY path[1:depth - 1]
+), valued AS (
+  SELECT n.*, coalesce(f.n_children, 0) AS n_children, p.conv_id AS parent_conv_id,
+         CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * n.path[n.depth].octets END AS saved
+  FROM nodes n LEFT JOIN families f ON f.path = n.path LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+), below AS (
+  SELECT path[1:d] AS path, CAST(sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM valued) GROUP BY path[1:d]
+)
+SELECT v.conv_id, v.depth, v.parent_conv_id, v.n_convs, v.n_children, b.n_leaves, b.saved_tokens, v.ends_sha256
+FROM valued v JOIN below b ON b.path = v.path
+"""
