@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    bpe, hilbert_shards, html_extract, jaccard_join, language_id, merkle, packing, prefix_trie, quality_rules, simhash,
-    suffix_dedup, token_files,
+    bpe, hilbert_shards, html_extract, jaccard_join, language_id, merkle, packing, prefix_trie, quality_rules,
+    secret_scan, simhash, suffix_dedup, token_files,
 )
 from tidemark.session import scratch_dir, tune
 
@@ -142,6 +142,12 @@ def op7_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.component_rows(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document: the patterns' and those of random strings."""
+    return secret_scan.digests(secret_scan.find_secrets(documents(spark, sf_dir).select("doc_id", "text")))
+
+
 @query
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots, proof and tamper check of every document."""
