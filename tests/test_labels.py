@@ -152,6 +152,69 @@ def test_sentiment_rules(spark):
     assert got[6] == got[7] == got[8] == 0.0
 
 
+RULE_LEXICON = {"good": 1.9, "bad": -2.5, "no": -1.2, "kind": 2.4, "mustard": 0.5, "very": 1.0, "friend": 2.2}
+# text -> sum of valences after the rules, worked out by hand
+RULE_CASES = {
+    "not good": 1.9 * -0.74,
+    "not never good": 1.9 * -0.74 * -0.74,
+    "isn't good": 1.9 * -0.74,
+    "really good": 1.9 + 0.293,
+    "really xx bad": -2.5 - 0.293 * 0.95,
+    "really xx yy bad": -2.5 - 0.293 * 0.9,
+    "hardly good": 1.9 - 0.293,
+    "not really good": (1.9 + 0.293) * -0.74,
+    "really not good": 1.9 * -0.74 - 0.293 * 0.95,
+    "never so good": (1.9 + 0.293) * 1.5,
+    "never this xx good": 1.9 * 1.25,
+    "xx yy so good": (1.9 + 0.293) * 1.25,
+    "without doubt good": 1.9,
+    "without xx good": 1.9 * -0.74,
+    "least good": 1.9 * -0.74,
+    "at least good": 1.9,
+    "xx least good": 1.9 * -0.74,
+    "no good": 1.9 * -0.74,
+    "no": -1.2,
+    "no xx or good": -1.2 + 1.9 * -0.74,
+    "no xx yy good": -1.2 + 1.9,
+    "good not bad": 1.9 + 2.5 * 0.74,
+    "not good bad": 1.9 * -0.74 + -2.5 * -0.74,  # "not" is one before "good" and two before "bad"
+    "very": 0.0,
+    "it was kind of good": 1.9 - 0.293,
+    "kind of good": 1.9,
+    "kind friend": 2.4 + 2.2,
+    "they cut the mustard": 2.0,
+    "cut the mustard": 0.5,
+    "good but bad": 1.9 * 0.5 - 2.5 * 1.5,
+    "good a but I bad": 1.9 * 0.5 - 2.5 * 1.5,
+    "": 0.0,
+    "a b c": 0.0,
+}
+
+
+@pytest.mark.parametrize("form", ["row", "join", "large"])
+def test_rules_by_hand(spark, monkeypatch, form):
+    df = local_table(spark, {"id": list(range(len(RULE_CASES))), "text": list(RULE_CASES)})
+    table = SE.starter_lexicon(spark, RULE_LEXICON)
+    if form == "row":
+        out = df.select("id", SE.lexicon_scorer(RULE_LEXICON)(F.col("text")).alias("compound"))
+    elif form == "join":
+        out = SE.score_texts(df, "id", "text", table)
+    else:
+        monkeypatch.setattr(SE, "MAX_DICTIONARY", 2)
+        out = SE.with_scores(df, F.col("text"), table, "compound").select("id", "compound")
+    got = {r["id"]: r["compound"] for r in out.collect()}
+    for i, (text, total) in enumerate(RULE_CASES.items()):
+        assert abs(got[i] - round(total / (total * total + 15) ** 0.5, 4)) < 1.1e-4, text
+
+
+def test_enrich_takes_a_lexicon_of_any_size(spark, monkeypatch):
+    raw = local_table(spark, RAW)
+    small = enrich(raw, SE.lexicon_scorer(V.STARTER_LEXICON)).select("raw_id", "sentiment_score", "text").collect()
+    monkeypatch.setattr(SE, "MAX_DICTIONARY", 2)
+    large = enrich(raw, SE.starter_lexicon(spark)).select("raw_id", "sentiment_score", "text").collect()
+    assert sorted(small) == sorted(large)
+
+
 def test_lexicon_bound(spark, monkeypatch):
     monkeypatch.setattr(SE, "MAX_DICTIONARY", 2)
     with pytest.raises(ValueError):

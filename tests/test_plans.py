@@ -75,4 +75,4 @@ def test_enrichment_has_no_shuffle(spark, stored_posts, small_dir):
     text = plan(enrich(raw, SE.lexicon_scorer(V.STARTER_LEXICON)))
     above = text[: text.index("REPARTITION_BY_NUM")]
     assert "SortMergeJoin" not in above and "HashJoin" not in above and above.count("Exchange") <= 1
-    assert "BatchEvalPython" not in text and "ArrowEvalPython" in text
+    assert "EvalPython" not in text

@@ -10,7 +10,7 @@ from tidemark.functions import labels as L
 from tidemark.functions import numbers as N
 from tidemark.functions import strings as S
 from tidemark.functions.matching import HybridMatcher
-from tidemark.functions.sentiment import Scorer, sentiment_label
+from tidemark.functions.sentiment import Scorer, sentiment_label, with_scores
 from tidemark.functions.staging import staged
 from tidemark.registry import group_of
 
@@ -59,19 +59,24 @@ def label_rows(raw: DataFrame, *, taxonomy: L.Taxonomy = V.TAXONOMY) -> DataFram
 
 def enrich(
     raw: DataFrame,
-    scorer: Scorer,
+    scorer: Scorer | DataFrame,
     *,
     taxonomy: L.Taxonomy = V.TAXONOMY,
     processed_at: Column | None = None,
     model: tuple[str, str] = (MODEL_NAME, MODEL_VERSION),
 ) -> DataFrame:
-    """`raw_posts` rows to `posts` rows.
+    """`raw_posts` rows to `posts` rows; `scorer` may also be a lexicon table of any size.
 
     Rows with a relevance below -2 are discarded and get no score. Every step is row-wise: nothing is
-    shuffled, and the cost grows with the number of rows alone.
+    shuffled, and the cost grows with the number of rows alone (but for a lexicon too large for an expression).
     """
     rows = label_rows(raw, taxonomy=taxonomy)
-    score = F.when(F.col("_status") == "processed", F.rint(scorer(F.col("_clean")) * 10_000) / 10_000)
+    wanted = F.when(F.col("_status") == "processed", F.col("_clean"))
+    if isinstance(scorer, DataFrame):
+        rows = with_scores(rows, wanted, scorer, "_compound")
+    else:
+        rows = rows.withColumn("_compound", scorer(wanted))
+    score = F.when(F.col("_status") == "processed", F.rint(F.col("_compound") * 10_000) / 10_000)
     rows = rows.withColumn("_sentiment", score)
     score = F.col("_sentiment")
     return rows.select(

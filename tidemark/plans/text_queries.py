@@ -243,25 +243,59 @@ LEX = ", ".join(f"({q(t)}, {v})" for t, v in V.STARTER_LEXICON.items())
 NEG = ", ".join(q(t) for t in V.NEGATIONS)
 UP = ", ".join(q(t) for t in V.BOOSTERS_UP)
 DOWN = ", ".join(q(t) for t in V.BOOSTERS_DOWN)
+DAMPING = ", ".join(q(t) for t in V.DAMPING_PHRASES)
+# Words around an entry: w0 is itself, w1 to w3 come before, n1 and n2 after; k1 to k3: there is such a word, no entry
+AROUND = ", ".join(
+    [f"case when i > {n} then coalesce(w[i - {n}], '') else '' end as w{n}, i > {n} and not list_contains(known, w[i - {n}]) as k{n}" for n in (1, 2, 3)]
+    + [f"coalesce(w[i + {n}], '') as n{n}" for n in (1, 2)]
+)
+
+
+def _idiom(phrase: str) -> str:
+    return "case " + " ".join(f"when {phrase} = {q(idiom)} then {value!r}" for idiom, value in V.IDIOMS.items()) + " end"
+
+
+def _negates(word: str) -> str:
+    return f"({word} in ({NEG}) or contains({word}, 'n''t'))"
+
+
+def _raised(v: str, word: str, damping: float) -> str:
+    step = f"case when {word} in ({UP}) then {0.293 * damping!r} when {word} in ({DOWN}) then -({0.293 * damping!r}) else 0 end"
+    return f"({v} + case when {v} < 0 then -({step}) else {step} end)"
+
+
+# The rule layer step by step, from the nearest predecessor to the third
+RULES = f""", around as (select id, text, w, i, token as w0, v, list_contains(known, coalesce(w[i + 1], '')) as next_known, {AROUND}
+  from val, (select list(token) as known from lex) where v <> 0),
+r0 as (select *, case when w1 = 'no' or w2 = 'no' or (w3 = 'no' and w1 in ('or', 'nor')) then v * -0.74
+  when w0 = 'no' and next_known then 0 else v end as x0 from around),
+r1 as (select *, case when k1 then {_raised("x0", "w1", 1.0)} * case when {_negates("w1")} then -0.74 else 1 end else x0 end as x1 from r0),
+r2 as (select *, case when k2 then {_raised("x1", "w2", 0.95)} * case when w2 = 'never' and w1 in ('so', 'this') then 1.5
+  when w2 = 'without' and w1 = 'doubt' then 1 when {_negates("w2")} then -0.74 else 1 end else x1 end as x2 from r1),
+r3 as (select *, case when k3 then {_raised("x2", "w3", 0.9)} * case when (w3 = 'never' and w2 in ('so', 'this')) or w1 in ('so', 'this') then 1.25
+  when w3 = 'without' and (w2 = 'doubt' or w1 = 'doubt') then 1 when {_negates("w3")} then -0.74 else 1 end else x2 end as x3 from r2),
+r4 as (select *, case when k3 then coalesce({_idiom("w0 || ' ' || n1 || ' ' || n2")}, {_idiom("w0 || ' ' || n1")}, {_idiom("w1 || ' ' || w0")},
+  {_idiom("w2 || ' ' || w1 || ' ' || w0")}, {_idiom("w2 || ' ' || w1")}, {_idiom("w3 || ' ' || w2 || ' ' || w1")}, {_idiom("w3 || ' ' || w2")}, x3)
+  - case when w3 || ' ' || w2 in ({DAMPING}) or w2 || ' ' || w1 in ({DAMPING}) then 0.293 else 0 end else x3 end as x4 from r3),
+r5 as (select id, text, w, i, case when w0 in ({UP}, {DOWN}) or (w0 = 'kind' and n1 = 'of') then 0
+  when k1 and w1 = 'least' and w2 not in ('at', 'very') then x4 * -0.74 else x4 end as x from r4),
+ruled as (select id, x * (case when coalesce(list_position(w, 'but'), 0) = 0 then 1.0 when i < list_position(w, 'but') then 0.5
+  when i > list_position(w, 'but') then 1.5 else 1.0 end) as x from r5),
+s0 as (select p.id, coalesce(sum(cast(round_even(x * 1e9, 0) as bigint)), 0) / 1e9 as s, any_value(p.text) as text
+  from text_posts p left join ruled r on r.id = p.id group by 1)"""
 
 
 def _sentiment_sql(rules: bool) -> str:
     base = f""", words as (select id, text, list_filter(list_transform(regexp_split_to_array(lower(text), '\\s+'),
-    lambda t: regexp_replace(regexp_replace(t, '^{PUNCT.replace("'", "''")}+', ''), '{PUNCT.replace("'", "''")}+$', '')), lambda t: t <> '') as w from text_posts),
+    lambda t: regexp_replace(regexp_replace(t, '^{PUNCT.replace("'", "''")}+', ''), '{PUNCT.replace("'", "''")}+$', '')), lambda t: length(t) > 1) as w from text_posts),
 tok as (select id, text, w, unnest(w) as token, generate_subscripts(w, 1) as i from words),
 lex as (select * from (values {LEX}) as l(token, valence)),
-val as (select id, text, w, i, coalesce(cast(valence as double), 0) as v from tok left join lex using (token))"""
+val as (select id, text, w, i, token, coalesce(cast(valence as double), 0) as v from tok left join lex using (token))"""
     if not rules:
-        body = ", s as (select id, sum(cast(round_even(v * 1e9, 0) as bigint)) / 1e9 as s from val group by 1)"
+        body = """, s1 as (select id, sum(cast(round_even(v * 1e9, 0) as bigint)) / 1e9 as s from val group by 1),
+s as (select p.id, coalesce(s1.s, 0) as s from text_posts p left join s1 on s1.id = p.id)"""
     else:
-        deg = " + ".join(
-            f"sign(v) * (case when i > {n} and w[i-{n}] in ({UP}) then {0.293 * f!r} when i > {n} and w[i-{n}] in ({DOWN}) then -({0.293 * f!r}) else 0 end)"
-            for n, f in ((1, 1.0), (2, 0.95), (3, 0.9))
-        )
-        neg = " or ".join(f"(i > {n} and (w[i-{n}] in ({NEG}) or ends_with(w[i-{n}], 'n''t')))" for n in (1, 2, 3))
-        body = f""", ruled as (select *, case when v = 0 then 0 else (v + {deg}) * (case when {neg} then -0.74 else 1.0 end)
-    * (case when coalesce(list_position(w, 'but'), 0) = 0 then 1.0 when i < list_position(w, 'but') then 0.5 when i > list_position(w, 'but') then 1.5 else 1.0 end) end as x from val),
-s0 as (select id, sum(cast(round_even(x * 1e9, 0) as bigint)) / 1e9 as s, any_value(text) as text from ruled group by 1),
+        body = RULES + """,
 e as (select id, s, length(text) - length(replace(text, '!', '')) as b, length(text) - length(replace(text, '?', '')) as q from s0),
 s as (select id, case when s > 0 then s + emph when s < 0 then s - emph else s end as s from
   (select id, s, least(b, 4) * 0.292 + case when q <= 1 then 0 when q <= 3 then q * 0.18 else 0.96 end as emph from e))"""

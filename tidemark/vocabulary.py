@@ -247,6 +247,15 @@ BUT_BEFORE, BUT_AFTER = 0.5, 1.5
 EXCLAMATION_STEP, EXCLAMATION_LIMIT = 0.292, 4
 QUESTION_STEP, QUESTION_LIMIT, QUESTION_MAX = 0.18, 3, 0.96
 LABEL_CUT = 0.05
+NEVER_SO_NEAR, NEVER_SO_FAR = 1.5, 1.25  # "never so/this" two and three words before
+INTENSE_AFTER_NEVER = ("so", "this")
+ALTERNATIVES = ("or", "nor")  # "no x or y"
+LEAST_EXEMPT = ("at", "very")  # "at least", "very least"
+DAMPING_PHRASES = ("kind of", "sort of", "just enough")
+IDIOMS: dict[str, float] = {
+    "the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "badass": 1.5, "bus stop": 0.0, "yeah right": -2.0,
+    "cut the mustard": 2.0, "kiss of death": -1.5, "hand to mouth": -2.0, "beating heart": 3.1, "broken heart": -2.9,
+}
 
 BOOSTERS_UP = _terms("""
     absolutely, amazingly, awfully, completely, considerably, decidedly, deeply, enormously,
