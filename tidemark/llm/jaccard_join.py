@@ -34,6 +34,8 @@ from tidemark.llm.shingles import shingle_sets
 SAMPLE_TEXTS = 20_000  # bound on the sample from which frequent shingles are learned
 FREQUENT_SHARE = 0.002  # of the sampled texts
 BLOCK = 1_500  # texts of a family's block
+BLOCK_SHINGLES = 1_000_000  # and their shingles
+PAIRS_AT_ONCE = 4_000_000  # pairs of shingles that are held in memory, some 32 bytes each
 PERCENT = 80
 _CHUNK = 16_000_000  # bytes of text whose shingles are sent together
 
@@ -202,7 +204,7 @@ def prefix_length(n: Column, percent: int = PERCENT) -> Column:
 
 
 def families(described: DataFrame, repeated: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(tid, digest, family) of the texts that may have a partner."""
+    """(tid, digest, n, family) of the texts that may have a partner."""
     texts = described.filter("n > 0").groupBy("tid", "digest").agg(F.max("n").alias("n"), F.first("common").alias("common"))
     counts = repeated.groupBy("tid").agg(F.count("*").alias("shared"))
     shared = F.coalesce("shared", F.lit(0))
@@ -218,7 +220,7 @@ def families(described: DataFrame, repeated: DataFrame, percent: int = PERCENT)
     stars = keys.groupBy("key").agg(F.min("tid").alias("least"), F.count("*").alias("n")).filter("n > 1").select("key", "least")
     links = keys.join(stars, "key").filter("tid != least").select("tid", "least").distinct()
     grouped = components(links, "tid", "least")
-    return able.select("tid", "digest").join(grouped.withColumnsRenamed({"node": "tid", "root": "family"}), "tid")
+    return able.select("tid", "digest", "n").join(grouped.withColumnsRenamed({"node": "tid", "root": "family"}), "tid")
 
 
 def _similar(overlap: np.ndarray, a: np.ndarray | int, b: np.ndarray | int, percent: int) -> np.ndarray:
@@ -229,7 +231,7 @@ def boundary(sizes: np.ndarray, scans: np.ndarray, percent: int) -> int:
     """The size up to which sets are light: enumerating pairs for those below and scanning lists above costs least."""
     order = np.argsort(sizes, kind="stable")
     prefix = sizes - -(-sizes * percent // 100) + 2
-    pairs = 4.0 * (prefix * (prefix - 1) // 2)  # a pair is a hash entry, a scan step is an array element
+    pairs = 4.0 * (prefix * (prefix - 1) // 2)  # a pair is made, sorted and compared; a scan step is an array element
     light = np.concatenate([[0.0], np.cumsum(pairs[order])])
     heavy = np.concatenate([[0.0], np.cumsum(scans[order][::-1])])[::-1]
     cut = int(np.argmin(light + heavy))
@@ -276,30 +278,73 @@ def join_sets(sets: list[np.ndarray], side: np.ndarray | None = None, percent: i
             if j != i and apart(i, j):
                 link(i, j)
     light = np.flatnonzero((sizes <= edge) & (sizes > 0))
-    table: dict[tuple[int, int], list[int]] = {}
-    for i in light[np.argsort(sizes[light], kind="stable")].tolist():  # light: pairs of shingles that two sets share
-        own = element[first[i] : first[i + 1]]
-        least = -(-len(own) * percent // 100)
-        ranked = own[np.lexsort((own, df[own]))][: len(own) - least + 2].tolist()
-        subsets = [(ranked[0], -1)] if len(own) == 1 else [(a, b) if a < b else (b, a) for x, a in enumerate(ranked) for b in ranked[x + 1 :]]
-        checked: set[int] = set()
-        for subset in subsets:
-            met = table.setdefault(subset, [])
-            for j in met:
-                if j in checked or not apart(i, j) or root(i) == root(j):
+    tried = np.zeros((n, n), bool)
+    for met in _meetings([element[first[i] : first[i + 1]] for i in light.tolist()], df, percent):
+        group = light[met]
+        for at, i in enumerate(group.tolist()):
+            for j in group[:at].tolist():
+                if tried[i, j] or not apart(i, j) or root(i) == root(j):
                     continue
-                checked.add(j)
+                tried[i, j] = tried[j, i] = True
                 overlap = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                 if overlap and 100 * overlap >= percent * (sizes[i] + sizes[j] - overlap):
                     link(i, j)
-            met.append(i)
     return links
 
 
+def _meetings(sets: list[np.ndarray], df: np.ndarray, percent: int) -> Iterator[np.ndarray]:
+    """Groups of (light) sets that share a pair of shingles among their rare ones; sets of one shingle share that.
+
+    Pairs are sorted numbers, made and met in chunks of `PAIRS_AT_ONCE`: those of one rarer shingle after the other.
+    """
+    rank = np.empty(len(df), np.int64)
+    rank[np.lexsort((np.arange(len(df)), df))] = np.arange(len(df))
+    prefixes = [np.sort(rank[own])[: len(own) + 2 - -(-len(own) * percent // 100)] for own in sets]
+    sizes = np.array([len(p) for p in prefixes], np.int64)
+    if not len(sizes):
+        return
+    flat, owner = np.concatenate(prefixes), np.repeat(np.arange(len(sizes)), sizes)
+    at = np.arange(len(flat))
+    ends = np.repeat(np.cumsum(sizes), sizes)
+    ones = flat[np.array([len(own) == 1 for own in sets])[owner]]  # a set of one shingle has no pair
+    if len(ones):
+        yield from _runs(flat[np.isin(flat, ones)], owner[np.isin(flat, ones)])
+    by_shingle = np.argsort(flat, kind="stable")
+    opens = np.flatnonzero(np.concatenate([[True], np.diff(flat[by_shingle]) != 0]))
+    shared = np.repeat(np.diff(np.append(opens, len(flat))) > 1, np.diff(np.append(opens, len(flat))))
+    by_shingle = by_shingle[shared]  # a pair whose rarer shingle no other set has meets nothing
+    follow = ends[by_shingle] - at[by_shingle] - 1
+    start = 0
+    while start < len(by_shingle):
+        stop = int(np.searchsorted(np.cumsum(follow[start:]), PAIRS_AT_ONCE, "right")) + start
+        stop = max(stop, start + 1)
+        while stop < len(by_shingle) and flat[by_shingle[stop]] == flat[by_shingle[stop - 1]]:
+            stop += 1  # all pairs of one shingle together; no more than the sets' prefixes hold
+        entries = by_shingle[start:stop]
+        second = gather(flat, at[entries] + 1, follow[start:stop])
+        pair = np.repeat(flat[entries], follow[start:stop]) << np.int64(32) | second
+        yield from _runs(pair, np.repeat(owner[entries], follow[start:stop]))
+        start = stop
+
+
+def _runs(keys: np.ndarray, owner: np.ndarray) -> Iterator[np.ndarray]:
+    """Owners of every key that more than one owner has; equal groups that follow each other come once."""
+    order = np.lexsort((owner, keys))
+    keys, owner = keys[order], owner[order]
+    opens = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    counts = np.diff(np.append(opens, len(keys)))
+    last = None
+    for a, m in zip(opens[counts > 1].tolist(), counts[counts > 1].tolist()):
+        group = owner[a : a + m]
+        if last is None or len(last) != m or not np.array_equal(last, group):
+            yield group
+        last = group
+
+
 def family_links(texts: DataFrame, family: DataFrame, size: int, percent: int) -> DataFrame:
     """(a, b) digests of similar texts that span the components of every family."""
-    counts = family.groupBy("family").agg(F.count("*").alias("m")).filter("m > 1")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    counts = family.groupBy("family").agg(F.count("*").alias("m"), F.sum("n").alias("shingles")).filter("m > 1")
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     placed = family.join(counts, "family").select(
         "tid", "digest", "family", blocks.alias("blocks"), F.pmod(F.xxhash64("digest", F.lit(3)), blocks).cast("int").alias("block")
     )
