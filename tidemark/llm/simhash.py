@@ -65,23 +65,26 @@ def sealed() -> list[Column]:
 def fingerprints(rows: DataFrame, texts: dict[str, str], keys: Sequence[str]) -> DataFrame:
     """Fingerprints (array of longs) of several texts per row, named by `texts` (text column -> result).
 
-    `keys` identify a row and are returned. A row's terms are summed in the task that reads it, so that one row of
-    sums per text is sent, however long the text is.
+    `keys` are returned and settle the texts: rows with equal keys have equal texts. Their votes are added up together,
+    which changes no majority, and the rows come back as often as they were. A row's terms are summed in the task that
+    reads it, so that one row of sums per text is sent, however long the text is.
     """
     each = F.explode(F.array(*[F.struct(F.lit(i).alias("which"), F.col(c).alias("text")) for i, c in enumerate(texts)]))
     split = rows.select(*keys, each.alias("_t")).select(*keys, F.col("_t.which").alias("_which"), F.col("_t.text").alias("_text"))
     named = staged(split, {"_list": terms_of(F.col("_text"))})
-    term = named.select(*keys, "_which", F.explode_outer("_list").alias("_term"))
+    term = named.select(*keys, "_which", F.posexplode_outer("_list").alias("_at", "_term"))
     hashed = term.select(
-        *keys, "_which", F.col("_term").isNotNull().alias("_is"),
+        *keys, "_which", F.col("_term").isNotNull().alias("_is"), F.coalesce(F.col("_at") == 0, F.lit(True)).alias("_first"),
         F.xxhash64("_term.a", "_term.b").alias("_h0"), F.xxhash64("_term.b", "_term.a", F.lit(1)).alias("_h1"),
     )
-    counted = hashed.groupBy(*keys, "_which").agg(F.sum(F.col("_is").cast("long")).alias("_terms"), *vote_sums())
-    done = counted.select(*keys, "_which", F.when(F.col("_terms") > 0, F.array(*sealed())).otherwise(
+    counted = hashed.groupBy(*keys, "_which").agg(
+        F.sum(F.col("_is").cast("long")).alias("_terms"), F.count_if("_first").alias("_copies"), *vote_sums())
+    done = counted.select(*keys, "_which", "_copies", F.when(F.col("_terms") > 0, F.array(*sealed())).otherwise(
         F.array(*[F.lit(0).cast("long")] * WORDS_OF_64)).alias("_fp"))
-    return done.groupBy(*keys).agg(*[
+    rows = done.groupBy(*keys).agg(F.max("_copies").alias("_copies"), *[
         F.max(F.when(F.col("_which") == i, F.col("_fp"))).alias(name) for i, name in enumerate(texts.values())
     ])
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).drop("_copy", "_copies")
 
 
 def as_hex(fp: Column) -> Column:
@@ -136,7 +139,8 @@ def neighbours(queries: DataFrame, table: DataFrame, radius: int = RADIUS) -> Da
     Fingerprints within the radius differ in `radius // N_BLOCKS` bits or fewer in some block. The table has one key
     per block, a query one for each value so near to its own; rows that meet are compared exactly, and a pair counts
     in the first block that brings it together. Copies meet once: both sides are reduced to distinct fingerprints
-    first. Keys of many fingerprints are dealt in parts, and the queries' probes of them go to every part.
+    first. Keys of many fingerprints are dealt in parts, and the queries' probes of them go to every part. Probes are
+    many and compress well, so their join is told to shuffle; the stored list of hot keys may be broadcast by its size.
     """
     flips = radius // N_BLOCKS
     q, f = ([F.col(f"_{n}{k}") for k in range(WORDS_OF_64)] for n in "qf")
@@ -146,8 +150,7 @@ def neighbours(queries: DataFrame, table: DataFrame, radius: int = RADIUS) -> Da
 
     stored = longs(table, "f").select(*f, F.explode(F.array(*[block_key(b, v) for b, v in enumerate(block_values(f))])).alias("_key"))
     sizes = stored.groupBy("_key").agg(F.count("*").alias("_n")).filter(F.col("_n") > HOT_KEY)
-    # one row for each HOT_KEY rows of the table at most
-    hot = F.broadcast(sizes.select("_key", F.ceil(F.col("_n") / HOT_KEY).alias("_parts")))
+    hot = saved(sizes.select("_key", F.ceil(F.col("_n") / HOT_KEY).alias("_parts")), "hot-keys")
     stored = stored.join(hot, "_key", "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*f), F.col("_parts")), F.lit(0)).cast("long")).drop("_parts")
     asked = longs(queries, "q").select(*q, F.explode(probes(q, flips)).alias("_key")).join(hot, "_key", "left")
     last = F.coalesce(F.col("_parts") - 1, F.lit(0)).cast("long")
@@ -156,7 +159,7 @@ def neighbours(queries: DataFrame, table: DataFrame, radius: int = RADIUS) -> Da
     apart = [a.bitwiseXOR(b) for a, b in zip(q, f)]
     bits = sum((F.bit_count(x) for x in apart[1:]), F.bit_count(apart[0]))
     first = F.coalesce(*[F.when(F.bit_count(v) <= flips, F.lit(b)) for b, v in enumerate(block_values(apart))])
-    near = asked.join(stored, ["_key", "_part"]).withColumn("distance", bits).filter(F.col("distance").between(1, radius))
+    near = asked.join(stored.hint("shuffle_merge"), ["_key", "_part"]).withColumn("distance", bits).filter(F.col("distance").between(1, radius))
     return near.filter(first == F.shiftright("_key", 32)).select(F.array(*q).alias("query"), F.array(*f).alias("found"), "distance")
 
 
@@ -199,11 +202,10 @@ def compare_with_edited(docs: DataFrame) -> DataFrame:
     paired = with_next(rows, {"_text": "_after"})
     both = staged(paired, {"_edited": edited(F.col("_text"), F.col("_after"))})
     keyed = staged(both, {
-        "_row": F.monotonically_increasing_id(),
         "n_chars": F.length("_text").cast("long"),
         "edited_sha256": F.sha2(F.col("_edited").cast("binary"), 256),
     })
-    keys = ["_row", "doc_id", "_digest", "n_chars", "edited_sha256"]
+    keys = ["doc_id", "_digest", "n_chars", "edited_sha256"]
     # stored, as the ranges below read it several times
     printed = saved(fingerprints(keyed, {"_text": "_own", "_edited": "_other"}, keys), "printed")
     followed = with_next(printed, {"_own": "_next_own"})
