@@ -23,6 +23,13 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], *,
     )
 
 
+def first_with_copies(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """The row with the smallest `order` per key, and how many rows have that key, in one aggregation."""
+    whole = F.struct(*[F.col(c) for c in df.columns])
+    grouped = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    return grouped.agg(F.min_by(whole, F.struct(*order)).alias("_row"), F.count(F.lit(1)).alias(name)).select("_row.*", name)
+
+
 def newest_per_group(df: DataFrame, groups: Sequence[str], order: Sequence[Column], count: int) -> DataFrame:
     """Top `count` rows per group. Spark keeps the top rows of every task before the shuffle, so a hot
     group sends at most `count` rows per task."""

@@ -13,7 +13,7 @@ from tidemark.operators import routing as RO
 from tidemark.plans import views
 from tidemark.plans.catalog import query
 from tidemark.plans.ingest_queries import TSF, UNIFIED, VERSIONS, _archive_files, _category_rows, ARCHIVED, archive_manifest_of
-from tidemark.plans.post_queries import mean4, r4
+from tidemark.plans.post_queries import KEYS, mean4, r4
 from tidemark.plans.text_queries import ENRICHED
 from tidemark.plans.views import AS_OF, LABELS, LIFECYCLE, MESSAGES, POSTS, RAW, REQUESTS, ctes
 from tidemark.registry import SOURCES
@@ -66,7 +66,7 @@ def bounded_batches(spark, d):
 
 @query("r05_late_copies", VERSIONS + "select distinct id from (select id from first_batch union all select id from second_batch)")
 def late_copies(spark, d):
-    """Overlapping deliveries of the same rows; stored ids are not written again."""
+    """Overlapping deliveries of the same rows: recent copies are dropped by state, stored ids are not written again."""
     rows = views.posts(spark, d).selectExpr("raw_id as id", "created_at", "harvested_at", "cast(substring(raw_id, 5) as bigint) as k")
     twice = rows.where("k % 3 <> 0").unionByName(rows.where("k % 2 = 0"))
     table = scratch_dir(spark, "r05-table")
@@ -74,7 +74,7 @@ def late_copies(spark, d):
     def body(batch, _):
         K.insert_if_absent(K.with_month(batch), table)
 
-    J.run_available(_landed(spark, twice, "r05-files")[1], body, scratch_dir(spark, "r05-checkpoint"))
+    J.run_available(J.first_copies(_landed(spark, twice, "r05-files")[1]), body, scratch_dir(spark, "r05-checkpoint"))
     return spark.read.parquet(table).select("id")
 
 
@@ -194,7 +194,7 @@ def reclaim_stale(spark, d):
 
 @query(
     "r14_topic_trend",
-    ctes(POSTS, LABELS) + f"""select strftime(created_at, '%Y-%m') as period, topic as cost_category, category_label, count(*) as document_count, {mean4()} as avg_sentiment,
+    ctes(POSTS, LABELS) + f"""select strftime(created_at, '%Y-%m') as period, topic as cost_category, category_label, {KEYS}, {mean4()} as avg_sentiment,
   count(*) filter (where sentiment_label = 'positive') as positive_count, count(*) filter (where sentiment_label = 'neutral') as neutral_count,
   count(*) filter (where sentiment_label = 'negative') as negative_count, {r4("count(*) filter (where sentiment_label = 'positive') / count(*)")} as positive_ratio,
   {r4("count(*) filter (where sentiment_label = 'neutral') / count(*)")} as neutral_ratio, {r4("count(*) filter (where sentiment_label = 'negative') / count(*)")} as negative_ratio
@@ -203,8 +203,8 @@ def reclaim_stale(spark, d):
 def topic_trend(spark, d):
     _, stream = _landed(spark, views.posts(spark, d), "r14-files")
     table = scratch_dir(spark, "r14-table")
-    J.topic_trend(stream, table, scratch_dir(spark, "r14-checkpoint"))
-    return spark.read.parquet(table)
+    J.topic_trend(stream, table, scratch_dir(spark, "r14-sightings"), scratch_dir(spark, "r14-checkpoint"))
+    return J.trend_rows(spark, table)
 
 
 # ------------------------------------------------------------- windows, messages

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.filters import MONTH
-from tidemark.operators.latest import last_per_key
+from tidemark.operators.latest import first_with_copies, last_per_key
 
 
 def with_month(df: DataFrame, ts: str = "created_at") -> DataFrame:
@@ -60,29 +60,38 @@ def _order(df: DataFrame) -> list[Column]:
     return [*lead, F.xxhash64(*plain)]
 
 
-def insert_if_absent(df: DataFrame, path: str, *, key: str = "id", partition: str | None = MONTH) -> DataFrame:
+def insert_if_absent(df: DataFrame, path: str, *, key: str = "id", partition: str | None = MONTH, key_has_partition: bool = False) -> DataFrame:
     """Append the rows whose key is not in the table; the first of several rows with one key is taken.
 
-    Returns one row (attempted, written). The stored keys are first reduced to those in the batch: when
-    the batch is small Spark broadcasts it, and the table's key column is read without a shuffle.
+    Returns one row: `attempted` rows came in, `written` were new, `skipped` were copies or stored already, and
+    `rejected` had no key and are not stored. The stored keys are first reduced to those in the batch: when the batch is
+    small Spark broadcasts it, and the table's key column is read without a shuffle. Where equal keys are always in the
+    same partition (`key_has_partition`), only the partitions that occur in the batch are read.
     """
     spark = df.sparkSession
-    batch = last_per_key(df, [key], _order(df), first=True).persist()
+    counted = first_with_copies(df, [key], _order(df), "_copies").persist()
+    batch = counted.where(F.col(key).isNotNull())
     fresh = batch
     try:
+        sums = counted.agg(
+            F.coalesce(F.sum("_copies"), F.lit(0)).alias("attempted"),
+            F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("_copies"))), F.lit(0)).alias("rejected"),
+        ).first()
         if table_exists(spark, path):
-            stored = spark.read.parquet(path).select(key)
-            seen = stored.join(batch.select(key), key, "left_semi")
+            stored = spark.read.parquet(path)
+            if partition and key_has_partition:
+                stored = stored.where(F.col(partition).isin([r[0] for r in batch.select(partition).distinct().collect()]))
+            seen = stored.select(key).join(batch.select(key), key, "left_semi")
             fresh = batch.join(seen, key, "left_anti").persist()
-        attempted, written = batch.count(), fresh.count()
+        written = fresh.count()
         if written or not table_exists(spark, path):
-            _write(fresh, path, "append", partition)
+            _write(fresh.drop("_copies"), path, "append", partition)
     finally:
         fresh.unpersist()
-        batch.unpersist()
-    return spark.range(1).select(
-        F.lit(attempted).cast("bigint").alias("attempted"), F.lit(written).cast("bigint").alias("written")
-    )
+        counted.unpersist()
+    counts = {"attempted": sums["attempted"], "written": written, "rejected": sums["rejected"],
+              "skipped": sums["attempted"] - sums["rejected"] - written}
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()])
 
 
 def upsert(df: DataFrame, path: str, *, key: str = "id", partition: str = MONTH,
@@ -91,9 +100,10 @@ def upsert(df: DataFrame, path: str, *, key: str = "id", partition: str = MONTH,
 
     Only the partitions that hold or receive a key of the batch are rewritten, and inside them only rows
     of those keys are merged; all other rows are copied. Stored rows lose ties, so writing a batch again
-    changes nothing.
+    changes nothing. Rows without a key are not stored.
     """
     spark = df.sparkSession
+    df = df.where(F.col(key).isNotNull()) if key in df.columns else df
     latest = lambda rows: last_per_key(rows, [key], _order(df))
     batch = (resolve or latest)(df).persist()
     try:

@@ -6,7 +6,7 @@ that is replayed after a failure writes the same rows again, which the keyed sin
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from tidemark.functions import times
 from tidemark.functions.sentiment import Scorer
 from tidemark.operators.enrich import enrich
 from tidemark.operators.filters import PostFilter, filter_posts
-from tidemark.operators.metrics import LABELS, category, with_label
+from tidemark.operators.metrics import LABELS, category, document_key, with_label
 from tidemark.operators.routing import MAX_ATTEMPTS, decode_messages, merge_runs, route_messages, run_parts
 from tidemark.registry import SourceSpec
 from tidemark.sources import archives as AR
@@ -54,6 +54,16 @@ def run_available(df: DataFrame, body: Callable[[DataFrame, int], None], checkpo
     return query
 
 
+def first_copies(stream: DataFrame, key: str = "id", *, hours: int = 2) -> DataFrame:
+    """The stream without rows whose key arrived in the last `hours` already.
+
+    The watermark runs on the time of arrival, so that no row is ever late and the state holds the keys of that span
+    only. Older copies pass and are met by the keyed sink.
+    """
+    arrived = stream.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", f"{hours} hours")
+    return arrived.dropDuplicatesWithinWatermark([key]).drop("_arrived")
+
+
 # -------------------------------------------------------------------- ingest
 def ingest(stream: DataFrame, source: SourceSpec, table: str, checkpoint: str, **options) -> StreamingQuery:
     """Raw stream to the unified table. Overlapping deliveries and late copies are harmless: the id is
@@ -191,26 +201,79 @@ def count_windows(requests: DataFrame, table: str, checkpoint: str, *, seconds:
     return run_available(requests, body, checkpoint)
 
 
-def topic_trend(posts: DataFrame, table: str, checkpoint: str, *, period: str = "month",
-                f: PostFilter = PostFilter()) -> StreamingQuery:
-    """Running period x category counts and sentiment. The state holds one row per period and category,
-    so the whole result is kept and rewritten after each batch."""
-    units = N.score_units(F.col("sentiment_score"))
-    rows = filter_posts(posts, f).where(F.col("created_at").isNotNull())
-    counts = rows.groupBy(times.period_of(F.col("created_at"), period).alias("period"), category()).agg(
-        F.count(F.lit(1)).alias("document_count"),
-        F.sum(units).alias("_units"), F.count(units).alias("_scored"),
-        *[F.count_if(F.col("sentiment_label") == label).alias(f"{label}_count") for label in LABELS],
-    )
+def add_measures(deltas: DataFrame, batch_id: int, table: str, *, keys: Sequence[str], measures: Sequence[str], partition: str) -> None:
+    """Add one batch's sums per key to a stored table; measures may be negative, keys null.
 
-    def body(batch: DataFrame, _: int) -> None:
-        out = batch.withColumn("avg_sentiment", N.mean_score(F.col("_units"), F.col("_scored")))
-        out = out.withColumns(
-            {f"{label}_ratio": N.ratio(F.col(f"{label}_count"), F.col("document_count")) for label in LABELS}
-        )
-        K.replace_table(with_label(out.drop("_units", "_scored")), table, partition=None)
+    As in `add_window_counts` a stored row names the batch that it last took, and what each measure was `before` it.
+    """
+    rows = deltas.withColumns({
+        "id": F.md5(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).cast("binary")),
+        "last_batch": F.lit(batch_id).cast("bigint"), **{f"before_{m}": F.lit(None).cast("bigint") for m in measures},
+    })
+    same = F.col("last_batch").eqNullSafe(F.lit(batch_id))
+
+    def added(df: DataFrame) -> DataFrame:
+        sums = []
+        for m in measures:
+            # null where nothing is stored yet, as a sum before may be negative
+            before = F.coalesce(F.max(F.when(~same, F.col(m))), F.max(F.when(same, F.col(f"before_{m}"))))
+            own = F.coalesce(F.max(F.when(same, F.col(m) - F.coalesce(f"before_{m}", F.lit(0)))), F.lit(0))
+            sums += [before.alias(f"before_{m}"), (F.coalesce(before, F.lit(0)) + own).cast("bigint").alias(m)]
+        merged = df.groupBy("id").agg(*[F.first(k, ignorenulls=True).alias(k) for k in keys], *sums)
+        return merged.withColumn("last_batch", F.lit(batch_id).cast("bigint"))
 
-    return run_available(counts, body, checkpoint, mode="complete")
+    K.upsert(rows, table, partition=partition, resolve=added)
+
+
+TREND_KEYS = ("period", "cost_category")
+TREND_SUMS = ("document_count", "unique_document_count", "_units", "_scored", *[f"{label}_count" for label in LABELS])
+
+
+def topic_trend(posts: DataFrame, table: str, sightings: str, checkpoint: str, *, period: str = "month",
+                f: PostFilter = PostFilter()) -> StreamingQuery:
+    """Running period x category counts, distinct documents and sentiment, in whatever order files come.
+
+    `sightings` holds each (period, category, document key) once, with the batch that first saw it; what a batch adds to
+    the distinct count is what it sighted first, so a batch that is run again adds the same. Sums are added to `table`,
+    which has one row per period and category; `trend_rows` gives the chart columns.
+    """
+    def body(batch: DataFrame, batch_id: int) -> None:
+        units = N.score_units(F.col("sentiment_score"))
+        rows = filter_posts(batch, f).where(F.col("created_at").isNotNull())
+        rows = rows.select("*", times.period_of(F.col("created_at"), period).alias("period"), category(), document_key(rows).alias("_document")).persist()
+        try:
+            seen = rows.where(F.col("_document").isNotNull()).select(*TREND_KEYS, "_document").distinct()
+            seen = seen.select(*TREND_KEYS, F.md5(F.to_json(F.struct(*TREND_KEYS, "_document")).cast("binary")).alias("id"),
+                               F.lit(batch_id).cast("bigint").alias("first_batch"))
+            K.insert_if_absent(seen, sightings, partition="period", key_has_partition=True)
+            periods = [r[0] for r in rows.select("period").distinct().collect()]
+            fresh = batch.sparkSession.read.parquet(sightings).where(F.col("period").isin(periods) & (F.col("first_batch") == batch_id))
+            fresh = fresh.groupBy(F.col("period").cast("string").alias("period"), "cost_category").agg(F.count(F.lit(1)).alias("unique_document_count"))
+            counts = rows.groupBy(*TREND_KEYS).agg(
+                F.count(F.lit(1)).alias("document_count"), F.coalesce(F.sum(units), F.lit(0)).cast("bigint").alias("_units"), F.count(units).alias("_scored"),
+                *[F.count_if(F.col("sentiment_label") == label).alias(f"{label}_count") for label in LABELS],
+            )
+            deltas = counts.join(fresh, list(TREND_KEYS), "left").fillna(0, ["unique_document_count"])
+            add_measures(deltas.select(*TREND_KEYS, *TREND_SUMS), batch_id, table, keys=TREND_KEYS, measures=TREND_SUMS, partition="period")
+        finally:
+            rows.unpersist()
+
+    return run_available(posts, body, checkpoint)
+
+
+def trend_rows(spark: SparkSession, table: str) -> DataFrame:
+    """The stored trend with distinct counts, ratios and means, as the batch form gives them."""
+    rows = spark.read.parquet(table).withColumn("period", F.col("period").cast("string"))
+    unique = F.when(F.col("unique_document_count") == 0, F.col("document_count")).otherwise(F.col("unique_document_count"))
+    rows = rows.withColumn("unique_document_count", unique).withColumns({
+        "duplicate_ratio": N.duplicate_ratio(F.col("document_count"), F.col("unique_document_count")),
+        "avg_sentiment": N.mean_score(F.col("_units"), F.col("_scored")),
+        **{f"{label}_ratio": N.ratio(F.col(f"{label}_count"), F.col("document_count")) for label in LABELS},
+    })
+    return with_label(rows.select(
+        *TREND_KEYS, "document_count", "unique_document_count", "duplicate_ratio", "avg_sentiment",
+        *[f"{label}_{kind}" for kind in ("count", "ratio") for label in LABELS],
+    ))
 
 
 # ------------------------------------------------------------ events, messages
