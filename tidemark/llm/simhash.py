@@ -198,19 +198,19 @@ def edited(text: Column, following: Column) -> Column:
 def compare_with_edited(docs: DataFrame) -> DataFrame:
     """Fingerprint of each text and of its edited form, and how alike these and the next document's are."""
     rows = docs.select("doc_id", text_or_empty().alias("_text"))
-    rows = rows.select("doc_id", "_text", F.md5(F.col("_text").cast("binary")).alias("_digest"))
+    rows = rows.select("doc_id", "_text", F.unhex(F.md5(F.col("_text").cast("binary"))).alias("_digest"))
     paired = with_next(rows, {"_text": "_after"})
     both = staged(paired, {"_edited": edited(F.col("_text"), F.col("_after"))})
     keyed = staged(both, {
         "n_chars": F.length("_text").cast("long"),
-        "edited_sha256": F.sha2(F.col("_edited").cast("binary"), 256),
+        "_sha": F.unhex(F.sha2(F.col("_edited").cast("binary"), 256)),
     })
-    keys = ["doc_id", "_digest", "n_chars", "edited_sha256"]
+    keys = ["doc_id", "_digest", "n_chars", "_sha"]
     # stored, as the ranges below read it several times
     printed = saved(fingerprints(keyed, {"_text": "_own", "_edited": "_other"}, keys), "printed")
     followed = with_next(printed, {"_own": "_next_own"})
     return followed.select(
-        "doc_id", "n_chars", "edited_sha256", as_hex(F.col("_own")).alias("fingerprint"),
+        "doc_id", "n_chars", F.lower(F.hex("_sha")).alias("edited_sha256"), as_hex(F.col("_own")).alias("fingerprint"),
         as_hex(F.col("_other")).alias("edited_fingerprint"),
         likeness(F.col("_own"), F.col("_other")).alias("near_edited"),
         likeness(F.col("_own"), F.col("_next_own")).alias("near_next"),
