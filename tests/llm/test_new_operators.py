@@ -208,3 +208,14 @@ def test_empty(spark):
     docs, convs = spark.createDataFrame([], SCHEMA), spark.createDataFrame([], CONVERSATIONS)
     for df in (secret_scan.digests(secret_scan.find_secrets(docs)), merkle.tamper_check(docs), prefix_trie.rebuilt_trie(convs)):
         assert df.count() == 0
+
+
+def test_language_sets_of_every_size():
+    from tidemark.llm.language_id import infer
+
+    for size in range(1, 8):
+        scores = np.full((size * 100, 8), -12.0, np.float32)
+        scores[np.arange(size * 100), np.arange(size * 100) % size] = -2.0
+        shares = infer(scores, np.array([0, size * 100, size * 100]), penalty=2.0)
+        assert np.allclose(shares[0, :size], 1 / size, atol=1e-3) and (shares[0] > 0.005).sum() == size
+        assert (shares[1] > 0.005).sum() <= 1

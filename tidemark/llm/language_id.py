@@ -27,7 +27,7 @@ from tidemark.llm.common import text_slices
 TRIGRAM_SLOTS = 1 << 18  # trigrams share slots by hash
 CONTEXT_SLOTS = 1 << 16  # every pair of bytes has its own
 SMOOTHING = 0.02
-MAX_SET = 4  # largest language set that is tried
+LEAST_SHARE = 0.01  # a language with less of the unrestricted mixture enters no set
 _BLANK = 0x20
 
 
@@ -147,7 +147,8 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def infer(scores: np.ndarray, bounds: np.ndarray, penalty: float, rounds: int = 12) -> np.ndarray:
     """Language shares of each document over its chosen language set.
 
-    `penalty` times log(words) is the price of each language after the first.
+    `penalty` times log(words) is the price of each language after the first. Sets of every size are tried, the k-th
+    with the k largest shares of the mixture over all languages.
     """
     n, languages = len(bounds) - 1, scores.shape[1]
     peak = scores.max(axis=1) if len(scores) else np.zeros(0)
@@ -160,9 +161,9 @@ def infer(scores: np.ndarray, bounds: np.ndarray, penalty: float, rounds: int =
     best = np.zeros((n, languages))
     best[np.arange(n), best_one] = 1
     best_value = single[np.arange(n), best_one]
-    for k in range(2, min(languages, MAX_SET) + 1):
+    for k in range(2, languages + 1):
         kth = np.take_along_axis(shares, order[:, k - 1 : k], axis=1)[:, 0]
-        some = np.flatnonzero((kth > 0.01) & (words > 0))
+        some = np.flatnonzero((kth > LEAST_SHARE) & (words > 0))
         if not len(some):
             break
         rows = np.concatenate([np.arange(bounds[d], bounds[d + 1]) for d in some])
