@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -350,6 +351,55 @@ def test_html_pages(spark):
     assert texts == sorted([("1", expected, len(expected))] * 2 + [("2", "", 0), ("None", "", 0), ("3", "short", 5)])
 
 
+PAGE_FORMS = {  # article text by page form; the frame around it is the same
+    "formula and label": (
+        "<p>where <math><mi>x</mi><annotation>x_1</annotation></math> is <label>seen</label> and counted, at length, in full</p>",
+        "where x is seen and counted, at length, in full"),
+    "own header": (
+        "<header><h1>Own title</h1><p>By a writer, who is named here, in the paper</p><nav><a href=x>Next</a></nav></header>"
+        "<p>A paragraph, with commas, long enough to be scored.</p>",
+        "Own title\nBy a writer, who is named here, in the paper\nA paragraph, with commas, long enough to be scored."),
+    "table": ("<table><tr><td>Cell one, long enough to score, yes<td>Cell two, long enough to score, too</table>",
+              "Cell one, long enough to score, yes\nCell two, long enough to score, too"),
+    "misnested": ("<p>Some <b>bold <i>both</b> slanted</i> words, and more of them, to the end.</p>",
+                  "Some bold both slanted words, and more of them, to the end."),
+    "quotes in attributes": ("<p title='a > b' class=\"x\"\">It is, after all, a paragraph like others.</p>",
+                             "It is, after all, a paragraph like others."),
+    "references": ("<p>Fish &amp; chips, &lt;b&gt; and &#x41;&nbsp;b, all of it, decoded once.</p>",
+                   "Fish & chips, <b> and A b, all of it, decoded once."),
+    "hidden": ("<p>What is seen, of course, and is long enough to score.</p><div hidden>unseen</div><p style='display: none'>gone</p>",
+               "What is seen, of course, and is long enough to score."),
+    "definitions": ("<dl><dt>Term<dd>Its meaning, given at length, and with commas.</dl>", "Term\nIts meaning, given at length, and with commas."),
+    "breaks": ("<p>One line,<br>a second line,<br/>and a third line.</p>", "One line, a second line, and a third line."),
+    "comments in markup": ("<p>Text <!-- not <p>this --> goes on, after the comment, to here.</p>", "Text goes on, after the comment, to here."),
+}
+
+
+@pytest.mark.parametrize("form", PAGE_FORMS)
+def test_html_page_forms(form):
+    body, expected = PAGE_FORMS[form]
+    page = (f"<html><head><title>T</title></head><body><header><a href=/>Home</a></header><nav><ul><li>Menu</ul></nav>"
+            f"<main><article>{body}</article></main><aside><p>Aside, with commas, and rather long, to score.</p></aside>"
+            f"<div class=comments><p>A comment, with commas, and rather long, to score.</p></div><footer>foot</footer></body></html>")
+    assert html_extract.main_text(page) == expected
+
+
+@pytest.mark.parametrize("page, words", [
+    ("<div>" * 100_000 + "<p>the only text", "the only text"),
+    ("<b>" * 50_000 + "</i>" * 50_000 + "end", "end"),
+    ("<ul><li>" * 50_000 + "item", "item"),
+    ('<a =">"' * 20_000 + "'", ""),
+    ("<p><label>x" * 30_000, "x"),
+    ("".join(f"<div><p>a paragraph, long enough to score, number {i}" for i in range(20_000)), "number 19999"),
+])
+def test_html_time_grows_with_length(page, words):
+    """Deep and broken pages: a walk over all open elements for each tag would take minutes."""
+    started = time.process_time()
+    text = html_extract.main_text(page)
+    assert words in text
+    assert time.process_time() - started < 10
+
+
 def test_simhash_edits_and_likeness(odd):
     rows = simhash.compare_with_edited(odd).collect()
     assert len(rows) == odd.count()

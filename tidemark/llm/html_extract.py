@@ -6,17 +6,22 @@ they are; a container's points are discounted by the share of its text that lies
 most points and those of its siblings that hold text of their own are kept, and their blocks are returned in
 page order.
 
+An article's own `header` is part of it, formulas are text, and a `label` is text inside a paragraph and a form's
+part elsewhere. Fallback content that browsers do not show (`object`, `canvas`, `audio`, `video`, the annotations of
+a formula) is markup; drawings, menus and dialogs are removed.
+
 Null and empty pages give an empty text, and so do pages without text outside of the removed elements. A page
 without any scored container gives all blocks that were not removed. Unclosed and misnested tags, cut-off pages
-and unknown character references are read as browsers read them, near enough. Pages of any length are read whole;
-each row is read on its own, so repeated rows, null ids and extra columns do no harm.
+and unknown character references are read as browsers read them, near enough. Pages of any length and any depth of
+nesting are read whole, in time that grows with their length: the stack of open elements is indexed by tag. Each row is
+read on its own, so repeated rows, null ids and extra columns do no harm.
 """
 
 from __future__ import annotations
 
 import html as references
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -25,7 +30,8 @@ from pyspark.sql import functions as F
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)",
+    # a quote counts behind an equals sign only, and only if it is closed
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)(?:>|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -48,8 +54,8 @@ _SAME_CLOSES = {
 
 # Elements that never are part of an article.
 REMOVED = frozenset(
-    "head script style noscript template title nav aside footer form button select input textarea label fieldset"
-    " iframe object embed svg canvas math audio video dialog menu map xmp noembed noframes".split()
+    "head script style noscript template title nav aside footer form button select input textarea fieldset"
+    " iframe object embed svg canvas annotation annotation-xml audio video dialog menu xmp noembed noframes".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 _UNLIKELY = re.compile(
@@ -87,8 +93,36 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): references.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)}
 
 
-def _removed(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
-    if tag in REMOVED or (tag == "header" and not in_article):
+class _Open:
+    """The stack of open elements, with the depths of each tag, so that no question walks the stack."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = [("#root", 0)]  # tag, node of the nearest block
+        self.depths: dict[str, list[int]] = {}
+
+    def push(self, tag: str, node: int) -> None:
+        self.depths.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, node))
+
+    def pop(self) -> str:
+        tag, _ = self.stack.pop()
+        self.depths[tag].pop()
+        return tag
+
+    def last(self, tags: Iterable[str]) -> int:
+        """Depth of the innermost open element of these tags, 0 if none is open."""
+        deepest = 0
+        for tag in tags:
+            depths = self.depths.get(tag)
+            if depths and depths[-1] > deepest:
+                deepest = depths[-1]
+        return deepest
+
+
+def _removed(tag: str, attributes: dict[str, str], opened: _Open) -> bool:
+    if tag in REMOVED:
+        return True
+    if (tag == "header" and not opened.last(("article", "main"))) or (tag == "label" and not opened.last(PARAGRAPHS)):
         return True
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or _HIDDEN.search(attributes.get("style", "")):
         return True
@@ -103,11 +137,11 @@ def _removed(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
 def parse(source: str) -> Page:
     """Read a page; removed elements leave no nodes and no text."""
     page = Page()
-    stack: list[tuple[str, int]] = [("#root", 0)]  # open elements: tag, node of the nearest block
+    opened = _Open()
+    stack = opened.stack
     text: list[str] = []
     linked = 0
     removing = 0  # depth of the stack at which a removed element is open
-    in_link = in_article = in_header = 0
 
     def flush() -> None:
         nonlocal linked
@@ -120,31 +154,25 @@ def parse(source: str) -> Page:
 
     def add(data: str) -> None:
         nonlocal linked
-        if not removing and not (in_header and not any(t in HEADINGS for t, _ in stack[-4:])):
+        if not removing:
             text.append(data)
-            if in_link:
+            if opened.depths.get("a"):
                 linked += len(data.strip())
 
     def close_to(depth: int) -> None:
         """Close open elements down to a stack depth."""
-        nonlocal removing, in_link, in_article, in_header
-        if not removing and any(t in BLOCK for t, _ in stack[depth:]):
+        nonlocal removing
+        if not removing and any(stack[i][0] in BLOCK for i in range(depth, len(stack))):
             flush()
-        for tag, _ in stack[depth:]:
-            in_link -= tag == "a"
-            in_article -= tag in ("article", "main")
-            in_header -= tag == "header"
-        del stack[depth:]
+        while len(stack) > depth:
+            opened.pop()
         if removing and len(stack) < removing:
             removing = 0
 
-    def close_open(tags: set[str], borders: tuple[str, ...]) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth][0] in borders:
-                return
-            if stack[depth][0] in tags:
-                close_to(depth)
-                return
+    def close_open(tags: Iterable[str], borders: Iterable[str]) -> None:
+        depth = opened.last(tags)
+        if depth > opened.last(borders):
+            close_to(depth)
 
     at, end = 0, len(source)
     while at < end:
@@ -155,23 +183,16 @@ def parse(source: str) -> Page:
         if found.start() > at:
             add(source[at : found.start()])
         at = max(found.end(), at + 1)
-        if not (found[2] or found[5]):
-            if found[0].startswith("<![CDATA["):
-                continue
+        if not found[2]:
             continue
-        closing, tag = bool(found[1] or found[4]), (found[2] or found[5]).lower()
+        closing, tag = bool(found[1]), found[2].lower()
         if closing:
             if tag == "br":
                 add(" ")
             elif tag in VOID:
                 continue
             else:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth][0] == tag:
-                        close_to(depth)
-                        break
-                    if stack[depth][0] in ("td", "th", "table") and tag not in BLOCK:
-                        break
+                close_open((tag,), () if tag in BLOCK else ("td", "th", "table"))
             continue
         if tag in RAW:  # its content is no markup; a script may hold tags in strings
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(source, at)
@@ -185,25 +206,22 @@ def parse(source: str) -> Page:
         if tag in VOID:
             continue
         if tag in CLOSES_P:
-            close_open({"p"}, ("button", "td", "th", "table", "object", "caption"))
+            close_open(("p",), ("button", "td", "th", "table", "object", "caption"))
         if tag in HEADINGS and stack[-1][0] in HEADINGS:
             close_to(len(stack) - 1)
         if tag in _SAME_CLOSES:
             tags, borders = _SAME_CLOSES[tag]
-            close_open(set(tags.split()), borders)
+            close_open(tags.split(), borders)
         if tag == "body":
-            close_open({"head"}, ())
+            close_open(("head",), ())
         attributes = _attributes(found[3] or "") if not removing else {}
         node = stack[-1][1]
         if not removing:
-            if _removed(tag, attributes, bool(in_article)):
+            if _removed(tag, attributes, opened):
                 if tag in BLOCK:
                     flush()
-                stack.append((tag, node))
+                opened.push(tag, node)
                 removing = len(stack)
-                in_link += tag == "a"
-                in_article += tag in ("article", "main")
-                in_header += tag == "header"
                 continue
             if tag in BLOCK:
                 flush()
@@ -212,10 +230,7 @@ def parse(source: str) -> Page:
                 names = _CAMEL.sub("-", f"{attributes.get('class', '')} {attributes.get('id', '')}")
                 page.points.append(_TAG_POINTS.get(tag, 0.0) + (25.0 if _LIKELY.search(names) else 0.0))
                 node = len(page.tags) - 1
-        stack.append((tag, node))
-        in_link += tag == "a"
-        in_article += tag in ("article", "main")
-        in_header += tag == "header"
+        opened.push(tag, node)
     flush()
     return page
 
@@ -224,6 +239,7 @@ def chosen(page: Page) -> set[int]:
     """The kept container and its kept siblings."""
     n = len(page.tags)
     length, linked, gained, scored = [0] * n, [0] * n, [0.0] * n, [False] * n
+    far = [0.0] * n  # points for all ancestors from here on
     for block in page.blocks:
         size = len(block.text)
         points = 1 + block.text.count(",") + block.text.count("，") + min(size / 100, 3.0) if size >= 25 else 0.0
@@ -232,14 +248,19 @@ def chosen(page: Page) -> set[int]:
         linked[node] += block.linked
         # a paragraph scores for what contains it; text that lies directly in a container scores for that
         level, above = 0, page.parents[node] if page.tags[node] in PARAGRAPHS else node
-        while above >= 0 and points:
-            gained[above] += points / (1, 2, 6, 9, 12)[min(level, 4)]
-            scored[above] = scored[above] or level < 4
+        while above >= 0 and points and level < 4:
+            gained[above] += points / (1, 2, 6, 9)[level]
+            scored[above] = True
             above, level = page.parents[above], level + 1
+        if above >= 0 and points:
+            far[above] += points / 12
     for node in range(n - 1, 0, -1):  # sums over subtrees
+        far[page.parents[node]] += far[node]
         length[page.parents[node]] += length[node]
         linked[page.parents[node]] += linked[node]
 
+    gained = [near + beyond for near, beyond in zip(gained, far)]
+
     def density(node: int) -> float:
         return linked[node] / length[node] if length[node] else 0.0
 
