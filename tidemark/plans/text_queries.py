@@ -14,6 +14,7 @@ from tidemark.functions.numbers import engagement_total
 from tidemark.functions.staging import staged
 from tidemark.operators.enrich import enrich
 from tidemark.operators.keywords import category_keywords
+from tidemark.operators.terms import term_documents
 from tidemark.plans import views
 from tidemark.plans.catalog import query
 from tidemark.plans.views import TEXT, ctes
@@ -419,21 +420,8 @@ tok as (select id, ' ' || trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g
 select topic, keyword, count(*) as documents from tok join k on contains(words, gram) group by 1, 2""",
 )
 def term_join_phrases(spark, d):
-    """The term join with phrases and hyphenated terms: runs of as many words as the terms have, joined to the term table."""
-    words = lambda text: F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
-    terms = taxonomy_dimension(spark).select("topic", "keyword", words("keyword").alias("_words"))
-    lengths = sorted(r[0] for r in terms.select(F.size("_words")).distinct().collect() if r[0])
-
-    def runs(n):
-        if n == 1:
-            return F.col("_words")
-        starts = F.when(F.size("_words") >= n, F.sequence(F.lit(1), F.size("_words") - n + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice("_words", i, n), " "))
-
-    rows = staged(_text(spark, d).select("text"), {"_words": words("text")})
-    grams = rows.select(F.explode(F.array_distinct(F.concat(*[runs(n) for n in lengths]))).alias("_gram"))
-    joined = grams.join(terms.withColumn("_gram", F.array_join("_words", " ")), "_gram")
-    return joined.groupBy("topic", "keyword").agg(F.count(F.lit(1)).alias("documents"))
+    """The term join with phrases and hyphenated terms: words of texts meet the terms that begin with them."""
+    return term_documents(_text(spark, d), taxonomy_dimension(spark).select("topic", "keyword"), "id")
 
 
 # ------------------------------------------------------------------- keywords
