@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -187,6 +188,24 @@ def test_nearest_rank_large_group(spark):
         assert got == want
 
 
+def test_nearest_rank_every_size(spark):
+    """Groups of 1 to 260 rows, a hot key, a value that makes up most of a group, null keys and null values."""
+    draw = random.Random(5)
+    rows = [(f"g{n}", float(draw.randint(0, n))) for n in range(1, 261) for _ in range(n)]
+    rows += [("hot", float(draw.randint(0, 5000))) for _ in range(20_000)]
+    rows += [("tie", 7.0)] * 5000 + [("tie", float(i)) for i in range(300)]
+    rows += [(None, 3.0), (None, 1.0), ("none", None), ("g5", None)]
+    table = spark.createDataFrame(rows, "k string, v double").repartition(4)
+    groups: dict = {}
+    for k, v in rows:
+        if v is not None:
+            groups.setdefault(k, []).append(v)
+    for fraction in (0.0, 0.5, 0.95, 1.0):
+        got = {r["k"]: r["value"] for r in nearest_rank(table, ["k"], "v", fraction).collect()}
+        assert got == {k: sorted(v)[round((len(v) - 1) * fraction)] for k, v in groups.items()}
+    assert nearest_rank(table.limit(0), ["k"], "v", 0.5).count() == 0
+
+
 def test_dimensions_are_joined_alike_at_every_size(spark):
     from tidemark import registry
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import strings as S
@@ -15,8 +15,10 @@ TERM_FIELDS = (
     "platform", "stage", "category", "analysis_status", "sentiment_label", "topic", "source", "source_index",
     "domain", "has_engagement_metrics",
 )
-# Rank accuracy of the bracketing sketch: the bracket of a large group holds about 8 / ACCURACY of its rows.
+# Rank accuracy of the sketch, and the distances from the target at which it cuts: the range around the target of a
+# large group holds about 8 / ACCURACY of its rows.
 ACCURACY = 100_000
+BRACKETS = (-0.02, -4 / ACCURACY, 4 / ACCURACY, 0.02)
 
 
 def profile_summary(df: DataFrame, date_fields: Sequence[str] = DATE_FIELDS) -> DataFrame:
@@ -58,38 +60,48 @@ def samples(df: DataFrame, fields: Sequence[str], size: int, key: str) -> DataFr
     return df.orderBy(key).limit(size).select(*columns)
 
 
+def _slot(value, bounds) -> Column:
+    """Number of the range between bounds that holds a value; each bound is a range of its own."""
+    steps = [(value >= bounds[i]).cast("int") + (value > bounds[i]).cast("int") for i in range(len(BRACKETS))]
+    return sum(steps[1:], steps[0])
+
+
+def _with_group(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the columns of their group; null keys are a group."""
+    named = groups.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], *[c for c in groups.columns if c not in keys])
+    same = [rows[k].eqNullSafe(named[f"_g{i}"]) for i, k in enumerate(keys)]
+    return rows.join(named, same).drop(*[f"_g{i}" for i in range(len(keys))])
+
+
 def nearest_rank(df: DataFrame, keys: Sequence[str], value: str, fraction: float) -> DataFrame:
     """Exact value at sorted index round((n - 1) * fraction) per group, without sorting whole groups.
 
-    A sketch with a known rank error brackets the target. Everything below the bracket is only counted;
-    values inside it are counted per distinct value and ranked. Both steps aggregate partially, so a
-    hot group costs each task one small table.
+    One method for groups of every size. A sketch cuts the values of a group into ranges, the narrowest of them around
+    the target; rows are counted per range, and the counts say which range holds the target, whatever the error of the
+    sketch. Only the values of that range are counted one by one and ranked. All steps aggregate partially, so a hot
+    group costs each task one small table, and a value that makes up most of a group is a range of its own. Null
+    values are left out, null keys are a group; a group without values has no row.
     """
     keys = list(keys)
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
-    tight, loose = 4.0 / ACCURACY, 0.02
-    points = [fraction - loose, fraction - tight, fraction + tight, fraction + loose]
-    bounds = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", [min(max(p, 0.0), 1.0) for p in points], ACCURACY).alias("_b"),
-    )
-    # The bracket must hold the sketch error and two rows of index rounding; small groups need none.
-    large, medium = F.col("_n") >= 1_000_000, F.col("_n") >= 200
-    low = F.when(large, F.col("_b")[1]).when(medium, F.col("_b")[0])
-    high = F.when(large, F.col("_b")[2]).when(medium, F.col("_b")[3])
-    placed = rows.join(bounds.select(*keys, "_n", low.alias("_low"), high.alias("_high")), keys)
-    slot = (
-        F.when(F.col("_v") < F.col("_low"), 0)
-        .when(F.col("_high").isNull() | (F.col("_v") <= F.col("_high")), 1)
-        .otherwise(2)
+    points = [min(max(fraction + d, 0.0), 1.0) for d in BRACKETS]
+    bounds = rows.groupBy(*keys).agg(F.percentile_approx("_v", points, ACCURACY).alias("_b"))
+    counts = (
+        _with_group(rows, bounds, keys).groupBy(*keys, _slot(F.col("_v"), F.col("_b")).alias("_slot"))
+        .agg(F.count(F.lit(1)).alias("_c"), F.first("_b").alias("_b"))
     )
-    counted = placed.groupBy(*keys, "_n", slot.alias("_slot"), F.when(slot == 1, F.col("_v")).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_c")
+    group = Window.partitionBy(*keys)
+    upto = F.sum("_c").over(group.orderBy("_slot").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    target = F.rint((F.sum("_c").over(group) - 1) * F.lit(fraction)).cast("bigint")
+    ranges = counts.select(*keys, "_slot", "_b", "_c", upto.alias("_to"), target.alias("_target"))
+    holding = ranges.where((F.col("_to") > F.col("_target")) & (F.col("_to") - F.col("_c") <= F.col("_target"))).select(
+        *keys, "_b", F.col("_slot").alias("_wanted"), (F.col("_target") - F.col("_to") + F.col("_c")).alias("_index")
     )
-    order = Window.partitionBy(*keys).orderBy("_slot", "_v")
-    upto = F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    target = F.rint((F.col("_n") - 1) * F.lit(fraction)).cast("bigint")
-    hit = counted.withColumn("_to", upto).where((F.col("_to") > target) & (F.col("_to") - F.col("_c") <= target))
+    inside = _with_group(rows, holding, keys).where(_slot(F.col("_v"), F.col("_b")) == F.col("_wanted"))
+    values = inside.groupBy(*keys, "_v", "_index").agg(F.count(F.lit(1)).alias("_c"))
+    running = F.sum("_c").over(group.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    hit = values.select("*", running.alias("_to"))
+    hit = hit.where((F.col("_to") > F.col("_index")) & (F.col("_to") - F.col("_c") <= F.col("_index")))
     return hit.select(*keys, F.col("_v").alias("value"))
 
 
@@ -104,7 +116,8 @@ def latency_summary(df: DataFrame, *, key: str = "route", duration: str = "durat
     )
     p95 = nearest_rank(df, [key], duration, 0.95).withColumnRenamed("value", "_p95")
     three = lambda c: F.rint(c * 1000) / 1000
-    return basic.join(p95, key, "left").select(
+    p95 = p95.withColumnRenamed(key, "_key")
+    return basic.join(p95, F.col(key).eqNullSafe(F.col("_key")), "left").select(
         key, "count", "failure_count",
         three(F.col("_u") / F.lit(1e6) / F.col("count")).alias("average_duration"),
         three(F.col("_p95")).alias("p95_duration"),
