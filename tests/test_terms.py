@@ -1,10 +1,13 @@
-"""The term join against brute force, with odd rows and long lists."""
+"""The term join against brute force, with odd rows and long lists; full case folding."""
 
 import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.functions import strings as S
+from tidemark.operators.filters import find_indicators, measure_like
 from tidemark.operators.terms import term_documents, term_hits
 
 
@@ -55,3 +58,18 @@ def test_empty_sides_and_clashing_names(spark):
     assert term_hits(texts, terms.limit(0), "id").count() == 0
     with pytest.raises(ValueError):
         term_hits(texts, terms.withColumnRenamed("topic", "id"), "id")
+
+
+def test_casefold_equals_python(spark):
+    texts = ["Straße", "GROẞ", "ΟΔΟΣ Σ ς", "ﬁn ﬂug ﬀ", "ŉ ǰ", "ſtill", "İstanbul", "plain ASCII", "", "Ꭰꭰ", "µ", None]
+    texts += [chr(i) for i in range(0x3000) if chr(i).isalpha()]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", S.casefold(F.col("t")).alias("f")).collect()
+    assert [(r["t"], r["f"]) for r in rows if r["f"] != (None if r["t"] is None else r["t"].casefold())] == []
+
+
+def test_indicators_are_found_whatever_the_case(spark):
+    rows = spark.createDataFrame([("Straßenbau", "GROSS"), ("STRASSENBAU", "groß"), ("Rent", None)], "item_name string, measure string")
+    rows = rows.selectExpr("*", "'i' as indicator", "date'2024-01-01' as period_start", "uuid() as id")
+    for part in ("straßen", "STRASSEN"):
+        assert find_indicators(rows, item_name=part).count() == 2
+    assert rows.where(measure_like("Groß")).count() == 2

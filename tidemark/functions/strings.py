@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tidemark.functions.matching import let
+
 
 def strip_text(value: Column) -> Column:
     """Trim any white space from both ends."""
@@ -37,10 +40,39 @@ def trimmed(value: Column) -> Column:
 
 
 def fold(value: Column) -> Column:
-    """Case folding for matching (lower case; the sharp s is not expanded)."""
+    """Lower case, as the matchers read texts (the sharp s is not expanded; see `casefold`)."""
     return F.lower(value)
 
 
+def _foldings() -> tuple[dict[str, str], dict[str, str]]:
+    """What full case folding changes in lower-cased text: letters to one letter, letters to several."""
+    lowered = (c for c in map(chr, range(sys.maxunicode + 1)) if not 0xD800 <= ord(c) <= 0xDFFF and c.lower() == c)
+    pairs = {c: c.casefold() for c in lowered if c.casefold() != c}
+    return {c: f for c, f in pairs.items() if len(f) == 1}, {c: f for c, f in pairs.items() if len(f) > 1}
+
+
+LETTER_FOLDINGS, LONG_FOLDINGS = _foldings()
+
+
+def casefold(value: Column) -> Column:
+    """Full Unicode case folding, equal to Python's `casefold`: sharp s, ligatures, final sigma and the like.
+
+    Texts of ASCII letters are only lower-cased; letters that fold to several are looked for before they are replaced.
+    Null stays null.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("letter"), F.lit(f).alias("folded")) for c, f in LONG_FOLDINGS.items()])
+
+    def long(text: Column) -> Column:
+        spelled = F.aggregate(pairs, text, lambda done, pair: F.replace(done, pair["letter"], pair["folded"]))
+        return F.when(text.rlike(f"[{''.join(LONG_FOLDINGS)}]"), spelled).otherwise(text)
+
+    def full(text: Column) -> Column:
+        letters = F.translate(text, "".join(LETTER_FOLDINGS), "".join(LETTER_FOLDINGS.values()))
+        return F.when(text.rlike(r"[^\x00-\x7F]"), let(letters, long)).otherwise(text)
+
+    return let(F.lower(value), full)
+
+
 def clean_markup(text: Column) -> Column:
     """Drop links, hashtags, mentions and tags, squeeze white space, lower-case."""
     cleaned = F.coalesce(text, F.lit(""))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import vocabulary as V
+from tidemark.functions import strings as S
 from tidemark.functions import times
 from tidemark.functions.matching import HybridMatcher
 from tidemark.functions.labels import has_local_context, topic_of_seed, with_relevance
@@ -178,7 +179,7 @@ def keep_social(df: DataFrame, *, text: str = "text", seed: str = "harvested_que
 
 # ----------------------------------------------------------------- indicators
 def measure_like(measure: str) -> Column:
-    return F.contains(F.lower(F.col("measure")), F.lit(measure.casefold()))
+    return F.contains(S.casefold(F.col("measure")), F.lit(measure.casefold()))
 
 
 def find_indicators(df: DataFrame, *, indicator: str | None = None, item_name: str | None = None,
@@ -187,6 +188,6 @@ def find_indicators(df: DataFrame, *, indicator: str | None = None, item_name: s
     if indicator:
         df = df.where(F.col("indicator") == indicator)
     if item_name:
-        df = df.where(F.contains(F.lower(F.col("item_name")), F.lit(item_name.casefold())))
+        df = df.where(F.contains(S.casefold(F.col("item_name")), F.lit(item_name.casefold())))
     df = df.orderBy(F.col("period_start").desc(), "item_name", "measure", "id")
     return df.limit(size) if size else df

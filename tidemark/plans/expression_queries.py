@@ -41,6 +41,11 @@ SQUEEZED = r"trim(regexp_replace(text, '\s+', ' ', 'g'))"
 
 text("e01_clean_markup", lambda: S.clean_markup(T()), CLEAN)
 text("e02_fold", lambda: F.sha1(S.fold(T())), "sha1(lower(text))")
+SPELLED = "lower(text)"
+for letter, folded in S.LONG_FOLDINGS.items():
+    SPELLED = f"replace({SPELLED}, '{letter}', '{folded}')"
+FOLDED = f"translate({SPELLED}, '{''.join(S.LETTER_FOLDINGS)}', '{''.join(S.LETTER_FOLDINGS.values())}')"
+text("e02_casefold", lambda: F.sha1(S.casefold(T())), f"sha1({FOLDED})")
 text("e03_compact", lambda: F.sha1(S.compact(T())), f"sha1({SQUEEZED})")
 text("e05_squeeze", lambda: F.length(S.squeeze(T())).cast("bigint"), f"length({SQUEEZED})")
 text(
