@@ -177,8 +177,10 @@ def rule_total(words: Column) -> Column:
 
 
 def _compound(total: Column, text: Column) -> Column:
+    """Both the total and its raised form are used several times: each is evaluated once, as the total walks all words."""
     lift = _emphasis(F.coalesce(text, F.lit("")))
-    return normalise(F.when(total > 0, total + lift).when(total < 0, total - lift).otherwise(total))
+    raised = _let(total, lambda sum_: F.when(sum_ > 0, sum_ + lift).when(sum_ < 0, sum_ - lift).otherwise(sum_))
+    return _let(raised, lambda sum_: normalise(sum_))
 
 
 def score_texts(

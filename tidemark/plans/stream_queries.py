@@ -27,11 +27,11 @@ def _ddl(df) -> str:
 
 
 def _landed(spark, df, name):
-    """Land a frame as one file per core of the cluster (column store) and stream them in two batches."""
+    """Land a frame as files (column store) and stream them in two batches, each with a file for every core."""
     path = scratch_dir(spark, name)
-    files = max(2, spark.sparkContext.defaultParallelism)
-    df.repartition(files).write.parquet(path)
-    return path, J.file_stream(spark, path, _ddl(df), file_format="parquet", files_per_batch=(files + 1) // 2)
+    cores = spark.sparkContext.defaultParallelism
+    df.repartition(2 * cores).write.parquet(path)
+    return path, J.file_stream(spark, path, _ddl(df), file_format="parquet", files_per_batch=cores)
 
 
 def _social_frame(spark, d, platform="bluesky"):
