@@ -15,6 +15,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Archives and bodies are large values: a Python worker holds a batch several times over, so that is kept small.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
