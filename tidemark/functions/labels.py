@@ -95,8 +95,9 @@ def with_relevance(
     default: str = V.DEFAULT_TOPIC,
     blocked: Mapping[str, Sequence[str]] = V.BLOCKED_TERMS,
     strict: Sequence[str] = V.STRICT_TOPICS,
+    local_name: str | None = None,
 ) -> DataFrame:
-    """Add a boolean: is the text about the scenario?
+    """Add a boolean: is the text about the scenario? And, under `local_name`, if it has local context.
 
     Noise, blocked terms of its topic, and foreign places without a local one rule a text out. Strict
     topics need a keyword and a cost signal (a trusted hint equal to the topic replaces the signal);
@@ -127,7 +128,8 @@ def with_relevance(
     blank = ~F.rlike(m.lowered, F.lit(r"(?U)\S"))
     foreign_only = found(V.FOREIGN_TERMS) & ~found(V.LOCAL_CONTEXT_TERMS)
     stopped = found(V.NOISE_TEXTS) | is_blocked | foreign_only
-    return df.withColumn(name, ~blank & ~stopped & verdict).drop(
+    added = {name: ~blank & ~stopped & verdict, **({local_name: found(V.LOCAL_CONTEXT_TERMS)} if local_name else {})}
+    return df.withColumns(added).drop(
         "_hint", "_trust", "_r_low", "_r_tok", "_hits", "_topic"
     )
 

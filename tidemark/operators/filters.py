@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tidemark import vocabulary as V
 from tidemark.functions import strings as S
 from tidemark.functions import times
-from tidemark.functions.matching import HybridMatcher
-from tidemark.functions.labels import has_local_context, topic_of_seed, with_relevance
+from tidemark.functions.labels import topic_of_seed, with_relevance
+from tidemark.functions.staging import staged
 from tidemark.registry import group_platforms, social_platforms
 
 TIME_FIELDS = ("created_at", "harvested_at", "processed_at")
@@ -166,15 +166,13 @@ def keep_social(df: DataFrame, *, text: str = "text", seed: str = "harvested_que
     """Off by default. When strict, social rows need local context and must be relevant to their seed."""
     if not strict:
         return df
-    hint = topic_of_seed(F.col(seed))
-    df = df.withColumn("_hint_topic", hint)
+    social = F.coalesce(F.col("platform").isin(*social_platforms()), F.lit(False))
+    # other rows pass unread; a social text is searched once for both questions
+    df = staged(df, {"_hint_topic": topic_of_seed(F.when(social, F.col(seed))), "_social_text": F.when(social, F.col(text))})
     df = with_relevance(
-        df, text, hint=F.col("_hint_topic"), trust_hint=F.col("_hint_topic").isNotNull(), name="_relevant"
+        df, "_social_text", hint=F.col("_hint_topic"), trust_hint=F.col("_hint_topic").isNotNull(), name="_relevant", local_name="_local"
     )
-    social = F.coalesce(F.col("platform").isin(*social_platforms()), F.lit(False))
-    df, matcher = HybridMatcher.attach(df, F.col(text), "_k")
-    wanted = F.col("_relevant") & has_local_context(matcher)
-    return df.where(~social | wanted).drop("_hint_topic", "_relevant", "_k_low", "_k_tok")
+    return df.where(~social | (F.col("_relevant") & F.col("_local"))).drop("_hint_topic", "_social_text", "_relevant", "_local")
 
 
 # ----------------------------------------------------------------- indicators
