@@ -36,6 +36,9 @@ FREQUENT_SHARE = 0.002  # of the sampled texts
 BLOCK = 1_500  # texts of a family's block
 BLOCK_SHINGLES = 1_000_000  # and their shingles
 PAIRS_AT_ONCE = 4_000_000  # pairs of shingles that are held in memory, some 32 bytes each
+DENSE_SHARE = 8  # shingles in more than one of so many sets are counted by a matrix product
+DENSE_SETS = 64  # in families of fewer sets, those in more than an eighth of this number
+MEETING = 40.0  # cost of a meeting of two light sets, in scan steps
 PERCENT = 80
 _CHUNK = 16_000_000  # bytes of text whose shingles are sent together
 
@@ -227,68 +230,99 @@ def _similar(overlap: np.ndarray, a: np.ndarray | int, b: np.ndarray | int, perc
     return (overlap > 0) & (100 * overlap >= percent * (a + b - overlap))
 
 
-def boundary(sizes: np.ndarray, scans: np.ndarray, percent: int) -> int:
+def _light_costs(element: np.ndarray, first: np.ndarray, df: np.ndarray, percent: int) -> np.ndarray:
+    """What each set costs as a light one: its pairs of rare shingles, and the sets that may be met on each."""
+    sizes = np.diff(first)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((element, df[element], owner))
+    place = np.arange(len(element)) - first[owner]
+    follow = np.maximum((sizes - -(-sizes * percent // 100) + 2)[owner] - place - 1, 0)
+    met = df[element[order]]
+    # a pair is made, sorted and compared, a meeting is a look at two sets; a scan step is an array element
+    return np.bincount(owner, np.where(met > 1, follow * (4.0 + MEETING * met), 0.0), len(sizes))
+
+
+def boundary(sizes: np.ndarray, lights: np.ndarray, scans: np.ndarray) -> int:
     """The size up to which sets are light: enumerating pairs for those below and scanning lists above costs least."""
     order = np.argsort(sizes, kind="stable")
-    prefix = sizes - -(-sizes * percent // 100) + 2
-    pairs = 4.0 * (prefix * (prefix - 1) // 2)  # a pair is made, sorted and compared; a scan step is an array element
-    light = np.concatenate([[0.0], np.cumsum(pairs[order])])
+    light = np.concatenate([[0.0], np.cumsum(lights[order])])
     heavy = np.concatenate([[0.0], np.cumsum(scans[order][::-1])])[::-1]
-    cut = int(np.argmin(light + heavy))
+    ends = np.append(np.flatnonzero(np.diff(sizes[order])) + 1, len(sizes))  # sets of one size are on one side
+    cuts = np.concatenate([[0], ends])
+    cut = int(cuts[np.argmin((light + heavy)[cuts])])
     return int(sizes[order[cut - 1]]) if cut else 0
 
 
 def join_sets(sets: list[np.ndarray], side: np.ndarray | None = None, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links that span the components of the sets; with sides (0 and 1), only links across them are looked for."""
+    """Links that span the components of the sets; with sides (0 and 1), only links across them are looked for.
+
+    Shingles in many of the sets are columns of a matrix of zeros and ones, and products of its rows count them; lists
+    of the others are scanned.
+    """
     n = len(sets)
+    if not n:
+        return []
     sizes = np.array([len(s) for s in sets], np.int64)
-    flat = np.concatenate(sets) if n else np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(n), sizes)
-    _, element, df = np.unique(flat, return_inverse=True, return_counts=True)
+    _, element, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     first = np.concatenate([[0], np.cumsum(sizes)])
+    dense = df * DENSE_SHARE > max(n, DENSE_SETS)
+    columns = int(dense.sum())
     by_list = np.argsort(element, kind="stable")
     members = owner[by_list]  # inverted lists on end
     list_first = np.cumsum(df) - df
-    scans = np.zeros(n)
-    np.add.at(scans, owner, df[element].astype(float))
-    edge = boundary(sizes, scans, percent)
-    parent = list(range(n))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
+    listed = (df > 1) & ~dense
+    scans = np.bincount(owner, np.where(listed[element], df[element], 0).astype(float), n) + n * columns / 16 + 100
+    edge = boundary(sizes, _light_costs(element, first, df, percent), scans)
+    component = np.arange(n)
     links: list[tuple[int, int]] = []
 
-    def link(i: int, j: int) -> None:
-        a, b = root(i), root(j)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-            links.append((i, j))
-
-    def apart(i: int, j: int) -> bool:
-        return side is None or side[i] != side[j]
-
-    for i in np.flatnonzero(sizes > edge).tolist():  # heavy: against all, by inverted lists
-        own = element[first[i] : first[i + 1]]
-        overlap = np.bincount(gather(members, list_first[own], df[own]), minlength=n)
-        for j in np.flatnonzero(_similar(overlap, sizes[i], sizes, percent)).tolist():
-            if j != i and apart(i, j):
-                link(i, j)
+    def link(i: int, others: np.ndarray) -> None:
+        """Link i with one of the given sets (all similar to it) from each component but its own."""
+        roots, at = np.unique(component[others], return_index=True)
+        for root, j in zip(roots.tolist(), others[at].tolist()):
+            if root != component[i]:
+                low, high = min(root, component[i]), max(root, component[i])
+                component[component == high] = low
+                links.append((i, j))
+
+    def open_to(i: int) -> np.ndarray:
+        out = component != component[i]
+        return out if side is None else out & (side != side[i])
+
+    heavy = np.flatnonzero(sizes > edge)  # against all
+    if len(heavy) and columns:
+        grid = np.zeros((n, columns), np.float32)
+        many = dense[element]
+        grid[owner[many], (np.cumsum(dense) - 1)[element[many]]] = 1
+    for at in range(0, len(heavy), 256):
+        rows = heavy[at : at + 256]
+        counted = grid[rows] @ grid.T if columns else np.zeros((len(rows), n), np.float32)
+        for i, common in zip(rows.tolist(), counted):
+            wanted = open_to(i)
+            if not wanted.any():
+                continue
+            own = element[first[i] : first[i + 1]]
+            own = own[listed[own]]
+            overlap = common.astype(np.int64) + np.bincount(gather(members, list_first[own], df[own]), minlength=n)
+            link(i, np.flatnonzero(wanted & _similar(overlap, sizes[i], sizes, percent)))
     light = np.flatnonzero((sizes <= edge) & (sizes > 0))
+    if not len(light):
+        return links
     tried = np.zeros((n, n), bool)
     for met in _meetings([element[first[i] : first[i + 1]] for i in light.tolist()], df, percent):
         group = light[met]
-        for at, i in enumerate(group.tolist()):
-            for j in group[:at].tolist():
-                if tried[i, j] or not apart(i, j) or root(i) == root(j):
+        if (component[group] == component[group[0]]).all():
+            continue
+        for at, i in enumerate(group[:-1].tolist()):
+            rest = group[at + 1 :]
+            for j in rest[open_to(i)[rest] & ~tried[i, rest]].tolist():
+                if component[i] == component[j]:
                     continue
                 tried[i, j] = tried[j, i] = True
                 overlap = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                 if overlap and 100 * overlap >= percent * (sizes[i] + sizes[j] - overlap):
-                    link(i, j)
+                    link(i, np.array([j]))
     return links
 
 
