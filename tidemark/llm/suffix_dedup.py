@@ -2,17 +2,18 @@
 
 A byte is removed if a string of `length` bytes that covers it also starts anywhere else, in any text. Texts that
 hold such a string agree on its sampled positions (minimisers: places whose `GRAM` bytes hash least among all that
-fit into the string), so only texts around places whose grams occur again are looked at. The surroundings of equal
-grams meet in one task. There a suffix array is built: suffixes smaller than their successors are sorted
-directly, all others are induced by scans over the buckets of first bytes; neighbours that agree on `length` bytes
-are repeats, if they start at different places.
+fit into the string), so only texts around places whose grams occur again are looked at, and each string only at its
+least gram. The surroundings of equal grams meet in one task. There a suffix array is built: suffixes smaller than
+their successors are sorted directly, all others are induced by scans over the buckets of first bytes; neighbours that
+agree on `length` bytes are repeats, if they start at different places.
 
 Within a text, equal surroundings (periodic text has many) are settled where it is read and stand for one place.
-The surroundings of grams at very many places are reduced to distinct ones before they are sorted and then dealt
-by longer common cores for eight ranges of offsets. Where a passage is longer than a core, its edges still give one
-core very many distinct surroundings: those of a core with too many bytes are dealt by each of their strings of
-`length` bytes, whose first and last place are aggregated. So no passage, however common, gathers all its texts in one
-task, and no suffix array is built over more than a few megabytes.
+Surroundings of one gram that are too many for one array are dealt by longer common cores for eight ranges of offsets.
+Those of grams at very many places (`HOT_PLACES`) are reduced to distinct ones first and dealt by their cores over all
+tasks. Where a passage is longer than a core, its edges still give one core very many distinct surroundings: those of
+a core with too many bytes are dealt by each of their strings of `length` bytes, whose first and last place are
+aggregated. So no passage, however common, gathers all its texts in one task (`HOT_PLACES` bounds it), and no suffix
+array is built over more than a few megabytes.
 
 Null texts are empty; nothing is removed from texts shorter than `length`. Repeated rows are texts that start
 elsewhere: all their bytes go, like those of all copies. Nulls in other columns do no harm. An empty table gives no
@@ -34,7 +35,7 @@ from tidemark.llm.shingles import mixed, text_buffer
 
 LENGTH = 200
 GRAM = 40
-HOT_PLACES = 4_000  # places of one gram beyond which its surroundings are dealt by longer cores
+HOT_PLACES = 50_000  # places of one gram beyond which its surroundings are dealt by longer cores
 GROUP_BYTES = 1 << 21  # bytes of the surroundings of one core beyond which they are dealt by their strings
 _CLASSES = 8
 _SALTS = 16
@@ -218,6 +219,26 @@ def _around(data: bytes, pos: int, length: int) -> tuple[int, bytes]:
     return base, data[base : pos + length]
 
 
+def _narrowed(pos: np.ndarray, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For places in ascending order: the range of bytes of the strings in which no place given has a smaller gram hash.
+
+    Equal strings have equal least grams, so each string is needed at its least gram only.
+    """
+    reach = length - GRAM
+    low, high = np.maximum(pos - reach, 0), pos + length
+    left, right = np.zeros(len(pos), bool), np.zeros(len(pos), bool)
+    for k in range(1, len(pos)):
+        near = pos[k:] - pos[:-k] <= reach
+        if not near.any():
+            break
+        down, up = near & (hashes[:-k] < hashes[k:]) & ~left[k:], near & (hashes[k:] < hashes[:-k]) & ~right[:-k]
+        low[k:][down] = pos[:-k][down] + 1
+        high[:-k][up] = pos[k:][up] + GRAM - 1
+        left[k:] |= down
+        right[:-k] |= up
+    return low, high
+
+
 def _settled(data: bytes, where: np.ndarray, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
     """(kept indices, whether each stands for several places, runs covered by surroundings that occur again here)."""
     _, group, count = np.unique(hashes, return_inverse=True, return_counts=True)
@@ -281,7 +302,7 @@ def places(texts: DataFrame, length: int) -> DataFrame:
 def surroundings(texts: DataFrame, found: DataFrame, length: int, hot: int) -> DataFrame:
     """(digest, base, key, around, at, twice, hot) of the places whose gram occurs at another place too.
 
-    `around` holds all strings of `length` bytes that cover the gram, which is at `at` in it, and starts at byte `base`; `twice` marks those
+    `around` holds all strings of `length` bytes of which the gram is the least; the gram is at `at` in it, and it starts at byte `base`; `twice` marks those
     that stand for several places of their text, `hot` those whose gram is at more than `hot` places.
     """
     grams = found.filter("hash is not null")
@@ -298,9 +319,11 @@ def surroundings(texts: DataFrame, found: DataFrame, length: int, hot: int) -> D
             rows: list[tuple] = []
             for digest, text, listed in zip(*(batch.column(k) for k in range(3))):
                 data, own = text.as_py().encode(), digest.as_py()
-                for p in listed.as_py():
-                    base, around = _around(data, p["pos"], length)
-                    rows.append((own, base, p["hash"], around, p["pos"] - base, p["twice"], p["hot"]))
+                found = sorted(listed.as_py(), key=lambda p: p["pos"])
+                limits = _narrowed(np.array([p["pos"] for p in found]), np.array([p["hash"] for p in found]).view(np.uint64), length)
+                for p, base, stop in zip(found, *(x.tolist() for x in limits)):
+                    if min(stop, len(data)) - base >= length:
+                        rows.append((own, base, p["hash"], data[base:stop], p["pos"] - base, p["twice"], p["hot"]))
                 if len(rows) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
                     rows = []
@@ -311,14 +334,55 @@ def surroundings(texts: DataFrame, found: DataFrame, length: int, hot: int) -> D
     return joined.mapInArrow(run, "digest binary, base long, key long, around binary, at long, twice boolean, hot boolean")
 
 
+def _place(row: tuple, shift: int = 0) -> int:
+    """A number for the byte of a text at which a row's surroundings (and a shift) start."""
+    return (int.from_bytes(row[2][:8], "little", signed=True) * 2 + row[3] + shift + (1 << 63)) % (1 << 64) - (1 << 63)
+
+
+def _offset_ranges(length: int) -> list[tuple[int, int]]:
+    """Ranges of the offsets that a gram may have in its strings."""
+    last = length - GRAM
+    span = -(-(last + 1) // _CLASSES)
+    return [(low, min(low + span - 1, last)) for low in range(0, last + 1, span)]
+
+
+def _sharing(strings: list[tuple], length: int) -> Iterator[tuple[int, int, list[int]]]:
+    """(low, high, members) of strings (row, members' rows, several) that agree on all bytes that their strings of
+    `length` bytes with the gram at an offset of a range have in common: only these can share such a string."""
+    for low, high in _offset_ranges(length):
+        cores: dict[bytes, list[int]] = {}
+        for i, (row, _, _) in enumerate(strings):
+            around, at = row[1], row[7]
+            if at >= low and at + length - high <= len(around):
+                cores.setdefault(around[at - low : at + length - high], []).append(i)
+        for members in cores.values():
+            if len(members) > 1 and not all(strings[i][2] for i in members):
+                yield low, high, members
+
+
+def _equal_strings(strings: list[tuple], members: list[int], low: int, high: int, length: int) -> dict[int, list[int]]:
+    """Repeated starts of very many members, an offset of the gram after the other."""
+    out: dict[int, list[int]] = {}
+    for offset in range(low, high + 1):
+        found: dict[bytes, list[int]] = {}
+        for i in members:
+            row = strings[i][0]
+            start = row[7] - offset
+            if start >= 0 and start + length <= len(row[1]):
+                found.setdefault(row[1][start : start + length], []).append(i)
+        for same in found.values():
+            if len(same) > 1 and (any(strings[i][2] for i in same) or len({_place(strings[i][0], strings[i][0][7]) for i in same}) > 1):
+                for i in same:
+                    out.setdefault(i, []).append(strings[i][0][7] - offset)
+    return out
+
+
 def _starts_of(group: list[tuple], length: int) -> tuple[list[int], list[int], list[int]]:
-    """(row, low, high) of the repeated runs of rows (key, around, digest, base, twice, ...)."""
-    index: dict[bytes, list[int]] = {}
-    keys: dict[int, int] = {}  # distinct surroundings of each key
+    """(row, low, high) of the repeated runs of rows (key, around, digest, base, twice, code, shift, at)."""
+    keys: dict[int, dict[tuple, list[int]]] = {}
     for i, row in enumerate(group):
-        if row[1] not in index:
-            keys[row[0]] = keys.get(row[0], 0) + 1
-        index.setdefault(row[1], []).append(i)
+        if len(row[1]) >= length:
+            keys.setdefault(row[0], {}).setdefault((row[1], row[7]), []).append(i)
     out: tuple[list[int], list[int], list[int]] = ([], [], [])
 
     def add(rows: list[int], low: list[int], high: list[int]) -> None:
@@ -327,29 +391,54 @@ def _starts_of(group: list[tuple], length: int) -> tuple[list[int], list[int], l
             out[1].extend(low)
             out[2].extend(high)
 
-    strings, base, many, members = [], [], [], []
-    for around, rows in index.items():
-        first = group[rows[0]]
-        several = first[4] or any(group[i][2:4] != first[2:4] or group[i][4] for i in rows)
-        if len(around) < length:
-            continue
-        if keys[first[0]] == 1:  # nothing to compare with: all of it is repeated, or nothing
-            if several:
+    units: list[tuple[bytes, int, bool, list[int], int]] = []  # bytes, their place, several places, rows, start in `around`
+    held = 0
+
+    def sort() -> None:
+        found = repeated_starts([u[0] for u in units], np.array([u[1] for u in units], np.int64), np.array([u[2] for u in units]), length)
+        for (_, _, _, rows, shift), starts in zip(units, found):
+            low, high = merged(starts + shift, starts + shift + length)
+            add(rows, low.tolist(), high.tolist())
+
+    for index in keys.values():
+        strings = []
+        for (around, _), rows in index.items():
+            first = group[rows[0]]
+            several = first[4] or any(group[i][2:4] != first[2:4] or group[i][4] for i in rows)
+            if several:  # all of it is repeated
                 add(rows, [0], [len(around)])
+            strings.append((first, rows, several))
+        if len(strings) == 1:
             continue
-        strings.append(around)
-        base.append((int.from_bytes(first[2][:8], "little", signed=True) * 2 + first[3] + (1 << 63)) % (1 << 64) - (1 << 63))
-        many.append(several)
-        members.append(rows)
-    if strings:
-        for rows, starts in zip(members, repeated_starts(strings, np.array(base, np.int64), np.array(many), length)):
-            low, high = merged(starts, starts + length)
-            add(rows, low.tolist(), high.tolist())
+        if sum(len(row[1]) for row, _, _ in strings) <= _CHUNK:
+            parts = [[(i, 0, None) for i in range(len(strings))]]
+        else:  # too much for one array: by what they agree on
+            parts = []
+            for low, high, members in _sharing(strings, length):
+                cut = [(i, max(0, strings[i][0][7] - high), strings[i][0][7] + length - low) for i in members]
+                if len(members) * (length + high - low) <= GROUP_BYTES:
+                    parts.append(cut)
+                    continue
+                for i, starts in _equal_strings(strings, members, low, high, length).items():
+                    where = np.array(sorted(starts))
+                    runs = merged(where, where + length)
+                    add(strings[i][1], runs[0].tolist(), runs[1].tolist())
+        for part in parts:
+            for i, start, stop in part:
+                row, rows, several = strings[i]
+                units.append((row[1][start:stop], _place(row, start), several, rows, start))
+                held += len(units[-1][0])
+            if held >= _CHUNK:  # an array holds whole parts
+                sort()
+                units.clear()
+                held = 0
+    if units:
+        sort()
     return out
 
 
 def _sorted_groups(rows: DataFrame, length: int) -> DataFrame:
-    """Repeated runs of rows (key, around, digest, base, twice, code, shift), by groups of one key.
+    """Repeated runs of rows (key, around, digest, base, twice, code, shift, at), by groups of one key.
 
     Returns (digest, code, low, high); low and high are offsets in `around` plus `shift`.
     """
@@ -365,7 +454,7 @@ def _sorted_groups(rows: DataFrame, length: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(arrays, names=["digest", "code", "low", "high"])
 
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(7))):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(8))):
                 if row[0] != key and size >= _CHUNK:  # an array holds whole groups
                     yield flush()
                     group, size = [], 0
@@ -375,7 +464,7 @@ def _sorted_groups(rows: DataFrame, length: int) -> DataFrame:
         if group:
             yield flush()
 
-    columns = ["key", "around", "digest", "base", "twice", "code", "shift"]
+    columns = ["key", "around", "digest", "base", "twice", "code", "shift", "at"]
     dealt = rows.select(*columns).repartition(shuffle_width(rows), "key").sortWithinPartitions("key")
     return dealt.mapInArrow(run, "digest binary, code binary, low long, high long")
 
@@ -383,28 +472,26 @@ def _sorted_groups(rows: DataFrame, length: int) -> DataFrame:
 def _by_cores(once: DataFrame, length: int) -> DataFrame:
     """Distinct surroundings of hot grams (code, around, digest, base, twice, at: the gram's offset) as one row for
     each range of offsets that their strings may have, keyed by the bytes that all strings of the range share."""
-    last = length - GRAM
-    span = -(-(last + 1) // _CLASSES)
+    ranges = _offset_ranges(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.binary(), pa.int64())
+        types = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64())
         for batch in batches:
             rows: list[tuple] = []
             for code, around, digest, base, twice, pos in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                for low in range(0, last + 1, span):
-                    high = min(low + span - 1, last)
+                for place, (low, high) in enumerate(ranges):
                     if pos - low < 0 or pos + length - high > len(around):
                         continue  # no string of this range fits into the text
-                    core = hashlib.blake2b(around[pos - low : pos + length - high], digest_size=8, key=bytes([low // span]))
+                    core = hashlib.blake2b(around[pos - low : pos + length - high], digest_size=8, key=bytes([place]))
                     start = max(0, pos - high)
                     key = int.from_bytes(core.digest(), "little", signed=True)
-                    rows.append((key, around[start : pos + length - low], digest, base + start, twice, code, start))
+                    rows.append((key, around[start : pos + length - low], digest, base + start, twice, code, start, pos - start))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                                                 names=["key", "around", "digest", "base", "twice", "code", "shift"])
+                                                 names=["key", "around", "digest", "base", "twice", "code", "shift", "at"])
 
     return once.select("code", "around", "digest", "base", "twice", "at").mapInArrow(
-        run, "key long, around binary, digest binary, base long, twice boolean, code binary, shift long"
+        run, "key long, around binary, digest binary, base long, twice boolean, code binary, shift long, at long"
     )
 
 
