@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.filters import MONTH
@@ -100,23 +100,35 @@ def upsert(df: DataFrame, path: str, *, key: str = "id", partition: str = MONTH,
 
     Only the partitions that hold or receive a key of the batch are rewritten, and inside them only rows
     of those keys are merged; all other rows are copied. Stored rows lose ties, so writing a batch again
-    changes nothing. Rows without a key are not stored.
+    changes nothing; without `resolve`, rows that are stored as they are are left out before, and such a write rewrites nothing. Rows without a key are not stored.
     """
     spark = df.sparkSession
     df = df.where(F.col(key).isNotNull()) if key in df.columns else df
     latest = lambda rows: last_per_key(rows, [key], _order(df))
     batch = (resolve or latest)(df).persist()
+    kept = [batch]
     try:
         if not table_exists(spark, path):
             _write(batch, path, "append", partition)
             return
         table = spark.read.parquet(path)
         keys = batch.select(key)
-        holding = table.select(key, partition).join(keys, key, "left_semi").select(partition)
+        if resolve or not _comparable(batch, table):
+            holding = table.select(key, partition).join(keys, key, "left_semi").select(partition)
+            sides = batch.select(partition, F.lit(True).alias("new")).union(holding.select(partition, F.lit(False)))
+        else:  # rows that are stored as they are change nothing
+            stored = table.select(key, F.col(partition).alias("_held"), F.struct(*batch.columns).alias("_stored"))
+            placed = batch.join(stored, key, "left").withColumn("_copies", F.count(F.lit(1)).over(Window.partitionBy(key)))
+            changed = placed.where(~F.struct(*batch.columns).eqNullSafe(F.col("_stored")) | (F.col("_copies") > 1)).select(*batch.columns, "_held").persist()
+            kept.append(changed)
+            batch, keys = changed.drop("_held"), changed.select(key)
+            sides = batch.select(partition, F.lit(True).alias("new")).union(
+                changed.where(F.col("_held").isNotNull()).select("_held", F.lit(False)))
         # partition values of one table: a few hundred months at most
-        sides = batch.select(partition, F.lit(True).alias("new")).union(holding.select(partition, F.lit(False)))
         found = sides.groupBy(partition).agg(F.max("new").alias("new")).collect()
         touched = [row[partition] for row in found]
+        if not touched:
+            return
         old = table.where(F.col(partition).isin(touched))
         rivals = old.join(keys, key, "left_semi")
         if resolve:
@@ -136,7 +148,14 @@ def upsert(df: DataFrame, path: str, *, key: str = "id", partition: str = MONTH,
         merged.unpersist()
         spark.catalog.refreshByPath(path)
     finally:
-        batch.unpersist()
+        for frame in kept:
+            frame.unpersist()
+
+
+def _comparable(batch: DataFrame, table: DataFrame) -> bool:
+    """Whether whole rows of both can be compared; maps cannot."""
+    types = {f.name: f.dataType.simpleString() for f in table.schema.fields}
+    return types == {f.name: f.dataType.simpleString() for f in batch.schema.fields} and not any("map<" in t for t in types.values())
 
 
 def with_results(raw: DataFrame, results: DataFrame, *, key: str = "id") -> DataFrame:
