@@ -10,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
@@ -135,18 +137,64 @@ class WordTable:
         prepare: Callable[[str], str] = lambda text: text,
         drop_spaces: bool = False,
         cache_words: int = 500_000,
+        encode_joined: Callable[[list[str]], tuple[np.ndarray, np.ndarray] | None] | None = None,
     ) -> None:
+        """`encode_joined`, where given, is tried first: the ids of some words on end and their number for each word."""
         self.starts, self.encode_words, self.simple, self.encode_text = starts, encode_words, simple, encode_text
-        self.prepare, self.drop_spaces, self.cache_words = prepare, drop_spaces, cache_words
-        self.cache: dict[str, bytes] = {}
+        self.prepare, self.drop_spaces, self.cache_words, self.encode_joined = prepare, drop_spaces, cache_words, encode_joined
+        self._afresh()
+
+    def _afresh(self) -> None:
+        self.known = pa.array([], pa.large_string())
+        self.seen = np.zeros(0, np.uint8)  # batches that held a known word
+        self.flat = np.zeros(0, np.int32)
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)  # where a known word's ids start, and their number
+
+    def _forget(self) -> None:
+        """Keep the words of two batches or more, or none if they are many: a bound on memory, not on results."""
+        keep = np.flatnonzero(self.seen > 1)
+        if len(keep) > self.cache_words // 2:
+            return self._afresh()
+        self.known, self.seen = self.known.take(pa.array(keep)), np.ones(len(keep), np.uint8)
+        self.flat, self.count = gather(self.flat, self.first[keep], self.count[keep]), self.count[keep]
+        self.first = np.cumsum(self.count) - self.count
+
+    def _encode_distinct(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words on end, and their number for each word."""
+        found = self.encode_joined(words) if self.encode_joined else None
+        if found is None:
+            lists = self.encode_words(words)
+            count = np.fromiter(map(len, lists), np.int64, len(words))
+            found = np.fromiter(chain.from_iterable(lists), np.int32, int(count.sum())), count
+        ids, count = found
+        if self.drop_spaces:
+            space = np.array([bool(w) and classes()[ord(w[0])] == SPACE for w in words], bool)
+            return ids[~np.repeat(space, count)], np.where(space, 0, count)
+        return ids, count
 
-    def _ids_of(self, words: list[str]) -> list[bytes]:
-        new = [w for w in words if w not in self.cache]
-        if len(self.cache) + len(new) > self.cache_words:  # start afresh: a bound on memory, not on results
-            self.cache, new = {}, words
-        for word, ids in zip(new, self.encode_words(new), strict=True):
-            self.cache[word] = np.asarray(ids, np.int32).tobytes()
-        return [self.cache[w] for w in words]
+    def _ids_of(self, words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Some ids, and where in them the ids of each word start, and their number."""
+        coded = words.dictionary_encode()
+        index, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+        if len(distinct) * 16 < len(self.known):  # looking through what is known would cost more
+            ids, count = self._encode_distinct(distinct.to_pylist())
+            return ids, (np.cumsum(count) - count)[index], count[index]
+        place = pc.fill_null(pc.index_in(self.known, value_set=distinct), -1).to_numpy(zero_copy_only=False)
+        held, row = np.flatnonzero(place >= 0), np.full(len(distinct), -1)
+        row[place[held]] = held
+        new = np.flatnonzero(row < 0)
+        if len(new):
+            if len(self.known) and len(self.known) + len(new) > self.cache_words:
+                self._forget()
+                return self._ids_of(words)
+            row[new] = len(self.known) + np.arange(len(new))
+            added = distinct.take(pa.array(new))
+            ids, count = self._encode_distinct(added.to_pylist())
+            self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(count) - count])
+            self.known, self.count = pa.concat_arrays([self.known, added]), np.concatenate([self.count, count])
+            self.flat, self.seen = np.concatenate([self.flat, ids]), np.concatenate([self.seen, np.zeros(len(count), np.uint8)])
+        self.seen[row] = np.minimum(self.seen[row], 254) + 1
+        return self.flat, self.first[row][index], self.count[row][index]
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids on end, offset of each text and the end)."""
@@ -155,17 +203,9 @@ class WordTable:
         start = self.starts(p)
         offsets = np.append(p.byte[start], p.byte[-1])
         words = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(data))
-        coded = words.dictionary_encode()
-        index = coded.indices.to_numpy(zero_copy_only=False)
-        distinct = coded.dictionary.to_pylist()
-        ids = self._ids_of(distinct)
-        if self.drop_spaces:
-            ids = [b"" if w and classes()[ord(w[0])] == SPACE else i for i, w in zip(ids, distinct, strict=True)]
-        counts = np.fromiter((len(i) >> 2 for i in ids), np.int64, len(ids))
-        flat = np.frombuffer(b"".join(ids), np.int32)
-        first = np.cumsum(counts) - counts
-        out = gather(flat, first[index], counts[index])
-        ends = np.concatenate([[0], np.cumsum(counts[index])])
+        flat, first, counts = self._ids_of(words)
+        out = gather(flat, first, counts)
+        ends = np.concatenate([[0], np.cumsum(counts)])
         bounds = ends[np.searchsorted(start, p.first)]
         if all(plain):
             return out, bounds

@@ -1,10 +1,10 @@
 """An adaptive context-mixing range coder for token ids, run on many blocks side by side.
 
 Every block starts from the same state and has its own checksum, so blocks are coded and read independently; here
-each block is a lane of numpy arrays and one step codes the next id of all lanes. The last two ids predict the next
-one (order 2), and so does the last one alone (order 1); how far each is trusted is learned for every pair of their
-confidences. Ids that neither predicts are coded by the adaptive frequencies of their high and low byte (order 0).
-The interval arithmetic is that of a carryless range coder with 48 bits, which gives out 16 bits at a time.
+each block is a lane of numpy arrays and one step codes the next id of all lanes. Three predictions are mixed: the id
+that followed the last two ids (order 2), the one that followed the last id (order 1), and the frequencies of all ids
+in the segment (order 0, in its head). The weights of the mix are learned in the block for every pair of confidences
+of orders 2 and 1. A range of 48 bits gives out 16 bits at a time; carries go into the words given out before.
 """
 
 from __future__ import annotations
@@ -15,140 +15,108 @@ import zlib
 import numpy as np
 
 BLOCK_IDS = 1024
-LANES = 4096
-_SLOTS = 1024  # of the order-1 and order-2 tables of a lane
-_REFRESH = 64  # ids between updates of the order-0 frequencies
-_PRIOR = 1024  # weight of the segment's own byte frequencies at the start of a block
-_GROW = 24
-_LIMIT = 1 << 15
-_BOTTOM, _TOP_SHIFT, _MASK = np.uint64(1 << 16), np.uint64(32), np.uint64((1 << 48) - 1)
-_WORD = np.uint64(16)
-_HEAD = struct.Struct("<4sIII")  # mark, ids, blocks, checksum of what follows in the head
-_MARK = b"TIDS"
+LANES = 8192  # blocks coded side by side
+_SLOTS = 512  # of the order-1 and order-2 tables of a lane
+_WEIGHT, _ORDER0 = 15, 18  # bits of the weights and of the order-0 frequencies
+_RARE, _SURE, _RATE = 1200, 31600, 5  # bounds of a learned weight and the speed of learning
+_LEAST, _WORD = 1 << 32, 16  # a smaller range gives out a word
+_HEAD = struct.Struct("<4sIIIII")  # mark, ids, blocks, distinct ids, size of their table, checksum of what follows in the head
+_MARK = b"TID2"
 
 
 class _Model:
-    """What all lanes have learned; `know` is told every id after it was coded."""
-
-    def __init__(self, lanes: int, prior: np.ndarray) -> None:
-        self.lanes = lanes
-        self.last = np.zeros(lanes, np.int64)
-        self.before = np.zeros(lanes, np.int64)
-        self.guess = np.zeros((2, lanes * _SLOTS), np.uint16)
-        self.trust = np.zeros((2, lanes * _SLOTS), np.uint8)
-        # outcomes by both confidences: order 2 right, order 1 right, neither
-        start = np.array([[[2 + 12 * a, 2 + 6 * b, 16] for b in range(4)] for a in range(4)], np.int64)
-        self.mix = np.tile(start.reshape(1, 16, 3), (lanes, 1, 1)).reshape(lanes * 16, 3)
-        self.counts = np.tile(prior.reshape(1, 2, 256), (lanes, 1, 1)).astype(np.int64)
-        self.recent: list[np.ndarray] = []
-        self._sum()
-
-    def _sum(self) -> None:
-        heavy = self.counts.sum(axis=2) > _LIMIT
-        self.counts[heavy] = (self.counts[heavy] + 1) >> 1
-        self.cumulative = np.zeros((self.lanes, 2, 257), np.int64)
-        np.cumsum(self.counts, axis=2, out=self.cumulative[:, :, 1:])
-
-    def look(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For the first k lanes: slots (order 2, order 1), guesses and the row of the mixing table."""
-        base = np.arange(k) * _SLOTS
-        one = base + (self.last[:k] * 40503 >> 4) % _SLOTS
-        two = base + ((self.last[:k] * 40503 ^ self.before[:k] * 30011) >> 3) % _SLOTS
-        slots = np.stack([two, one])
-        guesses = np.stack([self.guess[0, two], self.guess[1, one]]).astype(np.int64)
-        trust = np.stack([self.trust[0, two], self.trust[1, one]]).astype(np.int64)
-        return slots, guesses, trust, np.arange(k) * 16 + trust[0] * 4 + trust[1]
-
-    def know(self, ids: np.ndarray, slots: np.ndarray, guesses: np.ndarray, trust: np.ndarray, row: np.ndarray, outcome: np.ndarray) -> None:
-        k = len(ids)
-        self.mix[row, outcome] += _GROW
-        big = row[self.mix[row].sum(axis=1) > 4096]
-        self.mix[big] = (self.mix[big] >> 1) + 1
-        right = guesses == ids
-        for order in range(2):
-            was = trust[order]
-            self.trust[order, slots[order]] = np.where(right[order], np.minimum(was + 1, 3), np.where(was > 0, was - 1, 1))
-            self.guess[order, slots[order]] = np.where(right[order] | (was > 0), guesses[order], ids)
-        self.before[:k], self.last[:k] = self.last[:k], ids
-        self.recent.append(ids)
-        if len(self.recent) == _REFRESH:
-            for some in self.recent:
-                lane = np.arange(len(some))
-                self.counts[lane, 0, some >> 8] += _GROW
-                self.counts[lane, 1, some & 255] += _GROW
-            self.recent = []
-            self._sum()
+    """What all lanes have learned. `look` gives guesses and the bounds of their shares; `know` is told the ids."""
+
+    def __init__(self, lanes: int) -> None:
+        self.last = np.zeros(lanes, np.uint32)
+        self.before = np.zeros(lanes, np.uint32)
+        self.table = np.zeros(2 * lanes * _SLOTS, np.uint32)  # guess and, in the lowest two bits, how far it is trusted
+        self.base = np.arange(2 * lanes).reshape(2, lanes) * _SLOTS
+        # by both confidences: weight of order 2, and of order 1 where order 2 is wrong
+        start = np.array([[[3000, 11000, 16000, 24000][t // 4] for t in range(16)], [[2000, 5000, 8000, 16000][t % 4] for t in range(16)]])
+        self.odds = np.repeat(start.reshape(2, 1, 16), lanes, axis=1).astype(np.int32).ravel()
+        self.row = np.arange(2 * lanes).reshape(2, lanes) * 16
+        self.slots = np.empty((2, lanes), np.int64)
+
+    def look(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Guesses of orders 2 and 1, and where the share of each ends; order 0 has the rest."""
+        one = self.last * np.uint32(40503)
+        two = (one ^ self.before * np.uint32(30011)) >> np.uint32(3)
+        np.add(self.base[0], two & np.uint32(_SLOTS - 1), out=self.slots[0], casting="unsafe")
+        np.add(self.base[1], (one >> np.uint32(4)) & np.uint32(_SLOTS - 1), out=self.slots[1], casting="unsafe")
+        self.entry = self.table.take(self.slots)
+        self.guess = self.entry >> np.uint32(2)
+        self.trust = self.entry & np.uint32(3)
+        self.at = self.row + ((self.trust[0] << np.uint32(2)) | self.trust[1])
+        self.p = self.odds.take(self.at)
+        left = (1 << _WEIGHT) - self.p[0]
+        return self.guess, self.p[0].astype(np.int64), (self.p[0] + ((left * self.p[1]) >> _WEIGHT)).astype(np.int64)
+
+    def know(self, ids: np.ndarray) -> None:
+        right = self.guess == ids
+        step = (right * np.int32(_SURE - _RARE) + np.int32(_RARE) - self.p) >> _RATE
+        step[1] *= ~right[0]
+        self.odds[self.at] = self.p + step
+        held = self.trust > 0
+        entry = self.entry + (right & (self.trust < 3)) - (held & ~right)
+        np.copyto(entry, (ids << np.uint32(2)) | np.uint32(1), where=~(right | held))
+        self.table[self.slots] = entry
+        self.before, self.last = self.last, ids
 
 
 class _Encoder:
     def __init__(self, lanes: int, most: int) -> None:
-        self.low = np.zeros(lanes, np.uint64)
-        self.range = np.full(lanes, _MASK, np.uint64)
-        self.out = np.zeros((lanes, 3 * most + 8), np.uint16)
-        self.at = np.zeros(lanes, np.int64)
-
-    def put(self, lanes: np.ndarray, start: np.ndarray, size: np.ndarray, total: np.ndarray) -> None:
-        part = self.range[lanes] // total.astype(np.uint64)
-        low, width = self.low[lanes] + part * start.astype(np.uint64), part * size.astype(np.uint64)
-        self.low[lanes], self.range[lanes] = low, width
-        while True:
-            go, width = _ready(low, width)
-            if not len(go):
-                return
-            lanes, low, width = lanes[go], low[go], width[go]
-            self.out[lanes, self.at[lanes]] = (low >> _TOP_SHIFT).astype(np.uint16)
-            self.at[lanes] += 1
-            low, width = (low << _WORD) & _MASK, width << _WORD
-            self.low[lanes], self.range[lanes] = low, width
+        self.low = np.zeros(lanes, np.int64)
+        self.range = np.full(lanes, (1 << 48) - 1, np.int64)
+        self.room = 2 * most + 8
+        self.out = np.zeros(lanes * self.room, np.uint16)
+        self.at = np.arange(lanes) * self.room
+
+    def give(self) -> None:
+        """Words of the lanes whose range is small."""
+        lanes = np.flatnonzero(self.range < _LEAST)
+        while len(lanes):
+            low = self.low[lanes]
+            self._word(lanes, low >> 32)
+            self.low[lanes] = (low & (_LEAST - 1)) << _WORD
+            width = self.range[lanes] << _WORD
+            self.range[lanes] = width
+            lanes = lanes[width < _LEAST]
+
+    def _word(self, lanes: np.ndarray, word: np.ndarray) -> None:
+        at = self.at[lanes]
+        self.out[at] = word.astype(np.uint16)
+        self.at[lanes] = at + 1
+        at = at[word > 0xFFFF]
+        while len(at):
+            at = at - 1
+            raised = self.out[at] + np.uint16(1)
+            self.out[at] = raised
+            at = at[raised == 0]
 
     def end(self) -> None:
-        every = np.arange(len(self.low))
-        for shift in (32, 16, 0):
-            self.out[every, self.at] = (self.low >> np.uint64(shift)).astype(np.uint16)
-            self.at += 1
-
-
-def _ready(low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lanes that give out a word, and the widths (cut where a carry could come)."""
-    same = ((low ^ (low + width)) >> _TOP_SHIFT) == 0
-    tiny = ~same & (width < _BOTTOM)
-    if tiny.any():
-        width = np.where(tiny, (np.uint64(0) - low) & (_BOTTOM - np.uint64(1)), width)
-    return np.flatnonzero(same | tiny), width
-
-
-class _Decoder:
-    def __init__(self, words: np.ndarray, first: np.ndarray) -> None:
-        self.words, self.at = words, first.astype(np.int64)
-        self.low = np.zeros(len(first), np.uint64)
-        self.range = np.full(len(first), _MASK, np.uint64)
-        self.code = np.zeros(len(first), np.uint64)
-        for _ in range(3):
-            self.code = self.code << _WORD | self.words[self.at]
-            self.at += 1
-
-    def target(self, lanes: np.ndarray, total: np.ndarray) -> np.ndarray:
-        self.part = self.range[lanes] // total.astype(np.uint64)
-        behind = (self.code[lanes] - self.low[lanes]) & _MASK
-        return np.minimum((behind // self.part).astype(np.int64), total - 1)
-
-    def take(self, lanes: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        low, width = self.low[lanes] + self.part * start.astype(np.uint64), self.part * size.astype(np.uint64)
-        self.low[lanes], self.range[lanes] = low, width
-        while True:
-            go, width = _ready(low, width)
-            if not len(go):
-                return
-            lanes, low, width = lanes[go], low[go], width[go]
-            low, width = (low << _WORD) & _MASK, width << _WORD
-            self.low[lanes], self.range[lanes] = low, width
-            self.code[lanes] = (self.code[lanes] << _WORD | self.words[self.at[lanes]]) & _MASK
-            self.at[lanes] += 1
-
-
-def _prior(ids: np.ndarray) -> np.ndarray:
-    counts = np.stack([np.bincount(ids >> 8, minlength=256), np.bincount(ids & 255, minlength=256)])
-    return (1 + counts * _PRIOR // max(1, len(ids))).astype("<u2")
+        """Two words: whatever follows them, the value stays inside the range."""
+        every, low = np.arange(len(self.low)), self.low + (1 << _WORD) - 1
+        self._word(every, low >> 32)
+        self._word(every, (low >> 16) & 0xFFFF)
+        self.at -= every * self.room
+
+
+def _frequencies(present: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of all ids, at least 1 for each that occurs, and where the shares start."""
+    total, shares = 1 << _ORDER0, np.zeros(1 << 16, np.int64)
+    shares[present] = 1 + counts * (total - len(counts)) // max(1, counts.sum())
+    if len(present):
+        shares[np.argmax(shares)] += total - shares.sum()
+    return shares.astype(np.int32), (np.cumsum(shares) - shares).astype(np.int32)
+
+
+def _turned(grid: np.ndarray) -> np.ndarray:
+    """Rows as columns, a few at a time: whole columns of a large grid are slow to walk."""
+    out = np.empty(grid.shape[::-1], grid.dtype)
+    for i in range(0, len(out), 32):
+        out[i : i + 32] = grid[:, i : i + 32].T
+    return out
 
 
 def _lengths(total: int) -> np.ndarray:
@@ -160,84 +128,98 @@ def _lengths(total: int) -> np.ndarray:
 
 
 def compress(ids: np.ndarray) -> bytes:
-    """A segment: head, byte frequencies, words and checksum of every block, then the blocks."""
-    ids = np.asarray(ids, np.int64)
+    """A segment: head, ids that occur with their counts, words and checksum of every block, then the blocks."""
+    ids = np.asarray(ids)
     if len(ids) and (ids.min() < 0 or ids.max() >= 1 << 16):
         raise ValueError("ids must be below 65536")
-    sizes, prior = _lengths(len(ids)), _prior(ids)
-    raw = ids.astype("<u4")
-    checks = np.array([zlib.crc32(raw[i * BLOCK_IDS : (i + 1) * BLOCK_IDS].tobytes()) for i in range(len(sizes))], "<u4")
-    counts, payload = [], []
+    ids = ids.astype("<u4")
+    sizes = _lengths(len(ids))
+    checks = np.array([zlib.crc32(ids[i * BLOCK_IDS : (i + 1) * BLOCK_IDS]) for i in range(len(sizes))], "<u4")
+    counts = np.bincount(ids, minlength=1 << 16)
+    present = np.flatnonzero(counts)
+    share, start = _frequencies(present, counts[present])
+    lengths, payload = [], []
     for first in range(0, len(sizes), LANES):
-        own = sizes[first : first + LANES]  # only the last block of all may be shorter: lanes stay in falling order
-        grid = np.zeros((len(own), BLOCK_IDS), np.int64)
+        own = sizes[first : first + LANES]
+        grid = np.full((len(own), int(own.max())), ids[-1])  # a shorter last block is filled up; this is cut when read
         grid.ravel()[: own.sum()] = ids[first * BLOCK_IDS : first * BLOCK_IDS + own.sum()]
-        model, coder = _Model(len(own), prior), _Encoder(len(own), BLOCK_IDS)
-        for step in range(int(own.max())):
-            k = len(own) if step < own[-1] else len(own) - 1
-            now, lanes = grid[:k, step], np.arange(k)
-            slots, guesses, trust, row = model.look(k)
-            outcome = np.where(guesses[0] == now, 0, np.where(guesses[1] == now, 1, 2))
-            odds = model.mix[row]
-            start = np.where(outcome > 0, odds[:, 0], 0) + np.where(outcome > 1, odds[:, 1], 0)
-            coder.put(lanes, start, odds[lanes, outcome], odds.sum(axis=1))
-            rest = np.flatnonzero(outcome == 2)
-            for byte, value in enumerate((now[rest] >> 8, now[rest] & 255)):
-                edges = model.cumulative
-                start = edges[rest, byte, value]
-                coder.put(rest, start, edges[rest, byte, value + 1] - start, edges[rest, byte, 256])
-            model.know(now, slots, guesses, trust, row, outcome)
+        model, coder = _Model(len(own)), _Encoder(len(own), grid.shape[1])
+        for now in _turned(grid):
+            guess, two, one = model.look()
+            right = guess == now
+            part = coder.range >> _WEIGHT
+            begin = np.where(right[0], 0, np.where(right[1], two, one))
+            close = np.where(right[0], two, np.where(right[1], one, 1 << _WEIGHT))
+            coder.low += part * begin
+            coder.range = part * (close - begin)
+            rest = np.flatnonzero(~(right[0] | right[1]))
+            rare = now[rest]
+            part = coder.range[rest] >> _ORDER0
+            coder.low[rest] += part * start[rare]
+            coder.range[rest] = part * share[rare]
+            coder.give()
+            model.know(now)
         coder.end()
-        counts.append(coder.at)
-        payload.append(coder.out[np.arange(coder.out.shape[1]) < coder.at[:, None]].astype("<u2").tobytes())
-    words = (np.concatenate(counts) if counts else np.zeros(0, np.int64)).astype("<u4")
-    body = prior.tobytes() + words.tobytes() + checks.tobytes()
-    return _HEAD.pack(_MARK, len(ids), len(sizes), zlib.crc32(body)) + body + b"".join(payload)
+        lengths.append(coder.at)
+        payload.append(coder.out.reshape(len(own), -1)[np.arange(coder.room) < coder.at[:, None]].astype("<u2").tobytes())
+    words = (np.concatenate(lengths) if lengths else np.zeros(0, np.int64)).astype("<u4")
+    table = zlib.compress(np.diff(present, prepend=0).astype("<u2").tobytes() + counts[present].astype("<u4").tobytes(), 1)
+    body = table + words.tobytes() + checks.tobytes()
+    return _HEAD.pack(_MARK, len(ids), len(sizes), len(present), len(table), zlib.crc32(body)) + body + b"".join(payload)
 
 
 def expand(data: bytes) -> np.ndarray:
     """The ids of a segment; raises ValueError where a checksum does not agree."""
-    mark, total, blocks, check = _HEAD.unpack_from(data)
-    body_end = _HEAD.size + 1024 + 8 * blocks
+    mark, total, blocks, distinct, table_size, check = _HEAD.unpack_from(data)
+    table_end = _HEAD.size + table_size
+    body_end = table_end + 8 * blocks
     if mark != _MARK or zlib.crc32(data[_HEAD.size : body_end]) != check:
         raise ValueError("damaged segment head")
-    prior = np.frombuffer(data, "<u2", 512, _HEAD.size).reshape(2, 256)
-    words = np.frombuffer(data, "<u4", blocks, _HEAD.size + 1024).astype(np.int64)
-    checks = np.frombuffer(data, "<u4", blocks, _HEAD.size + 1024 + 4 * blocks)
-    flat = np.concatenate([np.frombuffer(data, "<u2", int(words.sum()), body_end), np.zeros(4, "<u2")]).astype(np.uint64)
+    table = zlib.decompress(data[_HEAD.size : table_end])
+    present = np.cumsum(np.frombuffer(table, "<u2", distinct), dtype=np.int64)
+    share, start = _frequencies(present, np.frombuffer(table, "<u4", distinct, 2 * distinct).astype(np.int64))
+    holder = np.repeat(np.arange(1 << 16, dtype=np.uint16), share)  # whose share a place of order 0 is in
+    words = np.frombuffer(data, "<u4", blocks, table_end).astype(np.int64)
+    checks = np.frombuffer(data, "<u4", blocks, table_end + 4 * blocks)
+    flat = np.concatenate([np.frombuffer(data, "<u2", int(words.sum()), body_end), np.zeros(2 * BLOCK_IDS + 4, "<u2")])  # a damaged block may read on
     first, sizes = np.cumsum(words) - words, _lengths(total)
-    out = np.zeros(total, np.int64)
-    for at in range(0, blocks, LANES):
-        own = sizes[at : at + LANES]
-        grid = np.zeros((len(own), BLOCK_IDS), np.int64)
-        model, coder = _Model(len(own), prior), _Decoder(flat, first[at : at + LANES])
-        for step in range(int(own.max())):
-            k = len(own) if step < own[-1] else len(own) - 1
-            lanes = np.arange(k)
-            slots, guesses, trust, row = model.look(k)
-            odds = model.mix[row]
-            target = coder.target(lanes, odds.sum(axis=1))
-            outcome = (target >= odds[:, 0]).astype(np.int64) + (target >= odds[:, 0] + odds[:, 1])
-            start = np.where(outcome > 0, odds[:, 0], 0) + np.where(outcome > 1, odds[:, 1], 0)
-            coder.take(lanes, start, odds[lanes, outcome])
-            now = np.where(outcome == 0, guesses[0], guesses[1])
-            rest = np.flatnonzero(outcome == 2)
-            value = np.zeros(len(rest), np.int64)
-            for byte in range(2):
-                edges = model.cumulative
-                target = coder.target(rest, edges[rest, byte, 256])
-                found = np.zeros(len(rest), np.int64)
-                for jump in (128, 64, 32, 16, 8, 4, 2, 1):  # the last edge that is not above the target
-                    found += jump * (edges[rest, byte, found + jump] <= target)
-                start = edges[rest, byte, found]
-                coder.take(rest, start, edges[rest, byte, found + 1] - start)
-                value = value << 8 | found
-            now[rest] = value
-            grid[:k, step] = now
-            model.know(now, slots, guesses, trust, row, outcome)
-        out[at * BLOCK_IDS : at * BLOCK_IDS + own.sum()] = grid.ravel()[: own.sum()]
-    raw = out.astype("<u4")
+    out = np.zeros(total, "<u4")
+    for begin in range(0, blocks, LANES):
+        own = sizes[begin : begin + LANES]
+        grid = np.zeros((int(own.max()), len(own)), np.uint32)
+        at, code = first[begin : begin + LANES].copy(), np.zeros(len(own), np.int64)
+        for _ in range(3):
+            code = code << _WORD | flat[at]
+            at += 1
+        width, model = np.full(len(own), (1 << 48) - 1, np.int64), _Model(len(own))
+        for step in range(len(grid)):
+            guess, two, one = model.look()
+            part = width >> _WEIGHT
+            two, one = part * two, part * one
+            past_two, past = code >= two, code >= one
+            now = np.where(past_two, guess[1], guess[0])
+            low = np.where(past, one, np.where(past_two, two, 0))
+            width = np.where(past, part << _WEIGHT, np.where(past_two, one, two)) - low
+            code = code - low
+            rest = np.flatnonzero(past)
+            part, behind = width[rest] >> _ORDER0, code[rest]
+            # both are below 2**53, so the quotient is exact; only damage leads out of the table
+            found = holder[np.clip((behind / part).astype(np.int64), 0, (1 << _ORDER0) - 1)]
+            now[rest] = found
+            code[rest] = behind - part * start[found]
+            width[rest] = part * share[found]
+            lanes = np.flatnonzero(width < _LEAST)
+            while len(lanes):
+                place = at[lanes]
+                code[lanes] = code[lanes] << _WORD | flat[place]
+                at[lanes] = place + 1
+                wider = width[lanes] << _WORD
+                width[lanes] = wider
+                lanes = lanes[wider < _LEAST]
+            grid[step] = now
+            model.know(now)
+        out[begin * BLOCK_IDS : begin * BLOCK_IDS + own.sum()] = _turned(grid).ravel()[: own.sum()]
     for i in range(blocks):
-        if zlib.crc32(raw[i * BLOCK_IDS : (i + 1) * BLOCK_IDS].tobytes()) != checks[i]:
+        if zlib.crc32(out[i * BLOCK_IDS : (i + 1) * BLOCK_IDS]) != checks[i]:
             raise ValueError(f"damaged block {i}")
     return out

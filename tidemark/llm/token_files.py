@@ -52,7 +52,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         for batch in batches:
             for piece in text_slices(batch, "text", 4_000_000):
                 own = piece.column(0).to_pylist()
-                for first, ids, bounds in encode_all(table, piece.column(1).to_pylist()):
+                for first, ids, bounds in encode_all(table, piece.column(1).to_pylist(), 4_000_000):
                     short = ids.astype(np.uint16)
                     for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
                         if held and held + b - a >= SEGMENT_IDS:
@@ -74,7 +74,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """Per document: `doc_id`, `start`, `n_tokens`, `ids` (array of int), in the files' order of documents."""
     def unpack(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+        return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32)))
 
     return _read(spark, path, unpack, "ids array<int>")
 
@@ -82,8 +82,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 def read_token_checksums(spark: SparkSession, path: str) -> DataFrame:
     """As `read_token_files`, with the checksum `ids_crc32` in place of the ids."""
     def check(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
-        raw = ids.astype("<u4")
-        return pa.array([zlib.crc32(raw[a:b].tobytes()) for a, b in zip(bounds, bounds[1:])], pa.int64())
+        return pa.array([zlib.crc32(ids[a:b]) for a, b in zip(bounds, bounds[1:])], pa.int64())
 
     return _read(spark, path, check, "ids_crc32 long")
 
