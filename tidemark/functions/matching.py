@@ -47,7 +47,7 @@ def plain_tokens(lowered: Column) -> Column:
 
 def word_tokens(lowered: Column) -> Column:
     """Distinct Unicode word runs."""
-    return F.array_distinct(F.split(lowered, r"(?U)[^\w]+"))
+    return F.array_distinct(F.split(lowered, r"(?U)\W+"))
 
 
 def _by_shared_part(terms: list[str]) -> list[tuple[str, list[str]]]:

@@ -80,12 +80,16 @@ def late_copies(spark, d):
 
 # -------------------------------------------------------------------- archives
 def _landed_archives(spark, d):
-    """Archives as a stream of (path, content) rows, and their manifest; every ninth checksum is wrong."""
+    """Archives as a stream of (path, content) rows, and their manifest; every ninth checksum is wrong.
+
+    The manifest is stored: every batch meets it, and none reads all archives again for their checksums.
+    """
     files = _archive_files(spark, d)
     named = files.select(F.concat(F.lit("/landing/"), "archive_id", F.lit(".gkg.csv.zip")).alias("path"), "archive_id", "content")
     path, stream = _landed(spark, named, "stream-archives")
-    stored = spark.read.parquet(path)
-    return stream, stored.select("archive_id", "content"), archive_manifest_of(stored)
+    stored, listed = spark.read.parquet(path), scratch_dir(spark, "stream-manifest")
+    archive_manifest_of(stored).write.parquet(listed)
+    return stream, stored.select("archive_id", "content"), spark.read.parquet(listed)
 
 
 def _ingested(spark, d):

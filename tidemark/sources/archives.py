@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import io
-import itertools
 import struct
 import zipfile
 import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -19,10 +19,10 @@ from tidemark import vocabulary as V
 from tidemark.functions import strings as S
 from tidemark.functions import times
 from tidemark.functions.labels import best_phrase, news_categories
-from tidemark.functions.matching import WordMatcher
+from tidemark.functions.matching import WordMatcher, contains_term
 from tidemark.functions.staging import staged
 
-LINES_PER_BATCH = 2_000
+LINES_PER_BATCH, CHARACTERS_PER_BATCH = 2_000, 2_000_000
 ARCHIVE_LINES = "archive_id string, actual_md5 string, sequence bigint, line string"
 
 
@@ -111,28 +111,35 @@ def keep_verified(rows: DataFrame, manifest: DataFrame) -> DataFrame:
     return joined.where((F.col("md5") == "") | (F.col("md5") == F.col("actual_md5"))).drop("md5", "actual_md5")
 
 
-def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """First member of each zip, line by line; undecodable bytes are replaced. A file that cannot be read to
-    its end has no lines: `verify_archives` tells why."""
+    its end has no lines: `verify_archives` tells why. Lines of small archives share a batch."""
+    names = ["archive_id", "actual_md5", "sequence", "line"]
+    held: tuple[list, ...] = ([], [], [], [])
+    size = 0
+
+    def flush() -> pa.RecordBatch:
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(values, kind) for values, kind in zip(held, kinds)], names=names)
+
     for batch in batches:
-        for archive_id, content in zip(batch["archive_id"], batch["content"]):
+        for archive_id, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+            content = value.as_py()
             if _fault(content):
                 continue
             checksum = hashlib.md5(content).hexdigest()
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
                 with archive.open(archive.namelist()[0]) as member:
                     text = io.TextIOWrapper(member, encoding="utf-8", errors="replace")
-                    start = 1
-                    while lines := [line.rstrip("\n") for line in itertools.islice(text, LINES_PER_BATCH)]:
-                        yield pd.DataFrame(
-                            {
-                                "archive_id": archive_id,
-                                "actual_md5": checksum,
-                                "sequence": range(start, start + len(lines)),
-                                "line": lines,
-                            }
-                        )
-                        start += len(lines)
+                    for sequence, line in enumerate(text, 1):
+                        for values, item in zip(held, (archive_id, checksum, sequence, line.rstrip("\n"))):
+                            values.append(item)
+                        size += len(line)
+                        if len(held[0]) >= LINES_PER_BATCH or size >= CHARACTERS_PER_BATCH:
+                            yield flush()
+                            held, size = ([], [], [], []), 0
+    if held[0]:
+        yield flush()
 
 
 def archive_lines(files: DataFrame) -> DataFrame:
@@ -141,7 +148,7 @@ def archive_lines(files: DataFrame) -> DataFrame:
     Spark has no zip codec, so each task unpacks the files of its own split (their total size is bounded by
     `spark.sql.files.maxPartitionBytes`), one archive and one batch of lines at a time.
     """
-    return files.select("archive_id", "content").mapInPandas(_unzip, ARCHIVE_LINES)
+    return files.select("archive_id", "content").mapInArrow(_unzip, ARCHIVE_LINES)
 
 
 def search_text(fields: Column) -> Column:
@@ -155,10 +162,13 @@ def archive_documents(lines: DataFrame, manifest: DataFrame, *, collected_at: Co
     """Archive lines to raw stream rows, one per matched category (none if nothing matches).
 
     Lines are filtered where they are unpacked; only the few that match meet the manifest, which drops
-    those of archives with a wrong checksum.
+    those of archives with a wrong checksum. Texts are only cut into words if they hold a cost and a local term as
+    plain substrings: a squeezed text without them has no category.
     """
     rows = staged(lines, {"_f": F.split("line", "\t")})
     rows = staged(rows, {"_text": search_text(F.col("_f"))})
+    for terms in (V.NEWS_COST_TERMS, V.NEWS_LOCAL_TERMS):
+        rows = rows.where(contains_term(F.col("_text"), [" ".join(t.lower().split()) for t in terms]))
     rows, matcher = WordMatcher.attach(rows, F.col("_text"))
     rows = keep_verified(rows.select("*", F.inline(news_categories(matcher))), manifest)
     field = lambda i: F.coalesce(F.get("_f", F.lit(i)), F.lit(""))
