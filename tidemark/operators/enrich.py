@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,11 +66,13 @@ def enrich(
     taxonomy: L.Taxonomy = V.TAXONOMY,
     processed_at: Column | None = None,
     model: tuple[str, str] = (MODEL_NAME, MODEL_VERSION),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """`raw_posts` rows to `posts` rows; `scorer` may also be a lexicon table of any size.
 
     Rows with a relevance below -2 are discarded and get no score. Every step is row-wise: nothing is
     shuffled, and the cost grows with the number of rows alone (but for a lexicon too large for an expression).
+    The columns of `raw` in `keep` go along as a struct `_raw`.
     """
     rows = label_rows(raw, taxonomy=taxonomy)
     wanted = F.when(F.col("_status") == "processed", F.col("_clean"))
@@ -105,4 +109,5 @@ def enrich(
         "url",
         F.col("_score").alias("relevance_score"),
         F.col("_flags").alias("quality_flags"),
+        *([F.struct(*keep).alias("_raw")] if keep else []),
     )

@@ -17,7 +17,7 @@ from tidemark.plans.post_queries import KEYS, mean4, r4
 from tidemark.plans.text_queries import ENRICHED
 from tidemark.plans.views import AS_OF, LABELS, LIFECYCLE, MESSAGES, POSTS, RAW, REQUESTS, ctes
 from tidemark.registry import SOURCES
-from tidemark.session import scratch_dir
+from tidemark.session import scratch_dir, shuffles_dropped
 from tidemark.sources import sinks as K
 from tidemark.streaming import jobs as J
 
@@ -30,7 +30,8 @@ def _landed(spark, df, name):
     """Land a frame as files (column store) and stream them in two batches, each with a file for every core."""
     path = scratch_dir(spark, name)
     cores = spark.sparkContext.defaultParallelism
-    df.repartition(2 * cores).write.parquet(path)
+    with shuffles_dropped(spark):
+        df.repartition(2 * cores).write.option("compression", K.CODEC).parquet(path)
     return path, J.file_stream(spark, path, _ddl(df), file_format="parquet", files_per_batch=cores)
 
 

@@ -21,6 +21,7 @@ from tidemark.operators.filters import PostFilter, filter_posts
 from tidemark.operators.metrics import LABELS, category, document_key, with_label
 from tidemark.operators.routing import MAX_ATTEMPTS, decode_messages, merge_runs, route_messages, run_parts
 from tidemark.registry import SourceSpec
+from tidemark.session import shuffles_dropped
 from tidemark.sources import archives as AR
 from tidemark.sources import sinks as K
 from tidemark.sources.streams import unify
@@ -79,19 +80,23 @@ def enrich_stream(stream: DataFrame, source: SourceSpec, raw_table: str, post_ta
                   scorer: Scorer, *, processed_at: Column | None = None, **options) -> StreamingQuery:
     """Raw stream to processed posts in one step: insert raw rows, label them, write status back.
 
-    One query owns its input, so no row needs to be claimed.
+    One query owns its input, so no row needs to be claimed. A batch is cached once, with its raw columns and its results side
+    by side, so that no text is moved to meet its status; shuffle files go with the write that made them.
     """
 
     def body(batch: DataFrame, _: int) -> None:
-        raw = unify(batch, source, **options).persist()
-        try:
-            posts = enrich(raw, scorer, processed_at=processed_at).persist()
-            results = posts.select(F.col("raw_id").alias("id"), F.col("processing_status").alias("status"), "processed_at")
-            K.insert_if_absent(K.with_month(K.with_results(raw, results)), raw_table)
-            K.upsert(K.with_month(posts), post_table, key="raw_id")
-            posts.unpersist()
-        finally:
-            raw.unpersist()
+        raw = unify(batch, source, **options)
+        with shuffles_dropped(raw.sparkSession):
+            rows = enrich(raw, scorer, processed_at=processed_at, keep=[c for c in raw.columns if c != "text"]).persist()
+            try:
+                results = rows.select(F.col("raw_id").alias("id"), F.col("processing_status").alias("status"), "processed_at")
+                own = rows.select(*[F.col("raw_text" if c == "text" else f"_raw.{c}").alias(c) for c in raw.columns],
+                                  F.col("processing_status").alias("_status"), F.col("processed_at").alias("_processed_at"))
+                stamped = K.with_results(own, results, own=("_status", "_processed_at"))
+                K.insert_if_absent(K.with_month(stamped), raw_table, cached=True)
+                K.upsert(K.with_month(rows.drop("_raw")), post_table, key="raw_id", cached=True)
+            finally:
+                rows.unpersist()
 
     return run_available(stream, body, checkpoint)
 
